@@ -48,8 +48,7 @@ def lenient_long(c, fill: int | None = None) -> Column:
 def lenient_timestamp(c, formats=TIMESTAMP_FORMATS) -> Column:
     """Parse text into a timestamp; unparseable text becomes null."""
     s = F.trim(_c(c).cast("string"))
-    tries = [F.try_to_timestamp(s, F.lit(f)) for f in formats]
-    tries.append(F.try_to_timestamp(s))
+    tries = [F.try_to_timestamp(s)] + [F.try_to_timestamp(s, F.lit(f)) for f in formats]
     return F.coalesce(*tries)
 
 
