@@ -22,9 +22,12 @@ DEFAULT_CONF = {
 
 
 def get_spark(app: str = "plantwise", master: str | None = None,
-              shuffle_partitions: int | None = None, **conf) -> SparkSession:
+              shuffle_partitions: int | None = None, driver_memory: str | None = None,
+              **conf) -> SparkSession:
     """Return the active session or build one with the library defaults."""
     b = SparkSession.builder.appName(app)
+    if driver_memory:
+        b = b.config("spark.driver.memory", driver_memory)
     if master:
         b = b.master(master)
     for k, v in {**DEFAULT_CONF, **conf}.items():
