@@ -3,18 +3,27 @@
 Multi-pass operators (group statistics joined back, quantiles) reference
 their input several times; chaining many of them over an unmaterialised
 lineage makes plans (and recomputation after a lost executor) grow with the
-depth.  ``materialize`` writes a reliable checkpoint into the cluster's
+depth.  ``materialize`` writes the frame once as parquet into the cluster's
 shared ``spark.checkpoint.dir`` -- never a node-local folder, never
-``localCheckpoint`` -- so later stages scan it and survive executor loss.
+``localCheckpoint`` -- and reads it back, so later stages scan compact
+columnar files (with statistics for adaptive planning) and survive executor
+loss.  A parquet write is one job; ``Dataset.checkpoint`` would compute the
+lineage twice (once to count, once to write) unless it was cached.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame
 
 from plantwise.session import ensure_checkpoint_dir
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = os.path.join(base, "plantwise-materialized", f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

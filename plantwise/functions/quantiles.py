@@ -34,11 +34,21 @@ def _default_names(probs: Sequence[float]) -> list[str]:
     return [f"q{int(round(p * 1000)):04d}" for p in probs]
 
 
+# Largest group (values) for which Spark's in-memory exact ``percentile``
+# aggregate is used by ``method="auto"``; bigger groups take the ranked path.
+MAX_IN_MEMORY_GROUP = 2_000_000
+
+
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-              names: Sequence[str] | None = None, method: str = "exact",
-              accuracy: int = 100000) -> DataFrame:
+              names: Sequence[str] | None = None, method: str = "auto",
+              accuracy: int = 100000, max_group: int = MAX_IN_MEMORY_GROUP) -> DataFrame:
     """One row per group (``by``) with one column per probability.
 
+    ``method``: ``exact`` (distributed ranks, any group size), ``percentile``
+    (Spark's exact aggregate: one group's values are held by one task),
+    ``approx`` (``percentile_approx``) or ``auto`` -- measure the largest
+    group first (one small aggregation) and use ``percentile`` only when it
+    is at most ``max_group`` values, else ``exact``.
     With ``by=()`` the result has exactly one row (nulls on empty input).
     """
     by = list(by)
@@ -48,6 +58,17 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]
     for k in by:
         base = base.where(F.col(k).isNotNull())
 
+    if method == "auto":
+        sizes = base.groupBy(*by).count() if by else base.groupBy().count()
+        largest = sizes.agg(F.max("count")).first()[0] or 0
+        method = "percentile" if largest <= max_group else "exact"
+
+    if method == "percentile":
+        arr = F.percentile(F.col(_V), F.array(*[F.lit(float(p)) for p in probs]))
+        out = (base.groupBy(*by).agg(arr.alias("__q_arr")) if by
+               else base.agg(arr.alias("__q_arr")))
+        return out.select(*by, *[F.col("__q_arr")[i].alias(n) for i, n in enumerate(names)])
+
     if method == "approx":
         arr = F.percentile_approx(_V, list(probs), accuracy)
         out = (base.groupBy(*by).agg(arr.alias("__q_arr")) if by

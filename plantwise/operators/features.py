@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantwise.functions.dates import date_key_parts, month_start_of_key
-from plantwise.functions.quantiles import quantiles
+from plantwise.functions.quantiles import MAX_IN_MEMORY_GROUP, quantiles
 from plantwise.functions.ranking import rank_rows
 from plantwise.functions.safe import ratio
 
@@ -74,10 +74,18 @@ def _stack(df: DataFrame, cols: Sequence[str], keep: Sequence[str]) -> DataFrame
 def impute_hierarchical(df: DataFrame, cols: Sequence[str] = KPI_COLS,
                         levels: Sequence[Sequence[str]] = (("site_code", "m"), ("site_code",),
                                                            ("m",), ()),
-                        suffix: str = "_imp", method: str = "exact") -> DataFrame:
+                        suffix: str = "_imp", method: str = "auto") -> DataFrame:
     """``<c>_imp`` = value, else median by each level in turn (medians always
-    of the original column; null group keys get no group median)."""
+    of the original column; null group keys get no group median).
+
+    Each level is one multi-column quantile pass (columns stacked) and one
+    join.  With ``method="auto"`` the method is chosen once from the
+    largest possible group (a whole column: the global level).
+    """
     cols = list(cols)
+    if method == "auto":
+        n = df.agg(*[F.count(c).alias(c) for c in cols]).first()
+        method = "percentile" if max(n[c] for c in cols) <= MAX_IN_MEMORY_GROUP else "exact"
     out = df
     fills = {c: [] for c in cols}
     for i, lv in enumerate(levels):
@@ -139,7 +147,7 @@ def flag_outliers_many(df: DataFrame, cols: Sequence[str], by: Sequence[str] | N
 
 
 def winsorize_by_group(df: DataFrame, col: str, by: Sequence[str], lower: float = 0.01,
-                       upper: float = 0.99, method: str = "exact") -> DataFrame:
+                       upper: float = 0.99, method: str = "auto") -> DataFrame:
     """``<col>_cap`` = value clipped to the group's [lower, upper] quantiles."""
     q = quantiles(df, col, [lower, upper], by=by, names=["__lo", "__hi"], method=method)
     out = df.join(q, list(by), "left")
@@ -164,13 +172,13 @@ def _group_stats_wide(df: DataFrame, cols: Sequence[str], by: Sequence[str],
 
 
 def add_robust_scaled(df: DataFrame, col: str, by: Sequence[str] | None = None,
-                      method: str = "exact") -> DataFrame:
+                      method: str = "auto") -> DataFrame:
     """``<col>_robust`` = (x - median) / IQR per group (IQR 0 -> 1)."""
     return add_robust_scaled_many(df, [col], by, method)
 
 
 def add_robust_scaled_many(df: DataFrame, cols: Sequence[str], by: Sequence[str] | None = None,
-                           method: str = "exact") -> DataFrame:
+                           method: str = "auto") -> DataFrame:
     by = list(by or [])
     st = _group_stats_wide(df, cols, by, [0.25, 0.5, 0.75], ["q1", "q2", "q3"], method)
     out = df.join(st, by, "left") if by else df.crossJoin(st)
@@ -182,7 +190,7 @@ def add_robust_scaled_many(df: DataFrame, cols: Sequence[str], by: Sequence[str]
 
 
 def robust_zscore(df: DataFrame, col: str, out_col: str | None = None,
-                  method: str = "exact") -> DataFrame:
+                  method: str = "auto") -> DataFrame:
     """(x - median) / (1.4826 * MAD); MAD 0 -> sample std if > 0, else 1.
     Nulls are ignored by the statistics and stay null."""
     out = add_robust_features(df, [col], method=method)
@@ -192,7 +200,7 @@ def robust_zscore(df: DataFrame, col: str, out_col: str | None = None,
 
 
 def add_robust_features(df: DataFrame, cols: Sequence[str] = IMP_COLS,
-                        method: str = "exact") -> DataFrame:
+                        method: str = "auto") -> DataFrame:
     """``<c>_robust`` robust z-scores of several columns (two distributed
     quantile passes in total: medians, then median absolute deviations)."""
     cols = [c for c in cols if c in df.columns]
@@ -231,7 +239,7 @@ def drift_mom(kpi: DataFrame, col: str = "cost_per_unit", threshold: float = 0.3
 
 
 def percentile_outliers(kpi: DataFrame, col: str = "cost_per_unit", by: Sequence[str] = ("site_code",),
-                        lower: float = 0.01, upper: float = 0.99, method: str = "exact") -> DataFrame:
+                        lower: float = 0.01, upper: float = 0.99, method: str = "auto") -> DataFrame:
     """Rows outside their group's [P1, P99] (inner join: null group keys drop)."""
     q = quantiles(kpi, col, [lower, upper], by=by, names=["__p_lo", "__p_hi"], method=method)
     j = kpi.join(q, list(by))

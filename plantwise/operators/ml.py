@@ -78,7 +78,7 @@ class PreprocessModel:
 
 
 def fit_preprocess(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str],
-                   scaler: str | None = "robust", method: str = "exact") -> PreprocessModel:
+                   scaler: str | None = "robust", method: str = "auto") -> PreprocessModel:
     """Fit median imputation + scaling (``robust``: divide by IQR, no
     centring; ``standard``: centre and divide by the population std) and
     most-frequent imputation + level lists for the categoricals."""

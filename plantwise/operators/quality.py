@@ -385,3 +385,159 @@ def energy_silver_check(df: DataFrame) -> DataFrame:
     return df.agg(F.count_if(F.col("kwh").isNull()).alias("kwh_nulls"),
                   F.count_if(F.col("kwh") < 0).alias("kwh_negative")) \
         .withColumn("success", (F.col("kwh_nulls") == 0) & (F.col("kwh_negative") == 0))
+
+
+# ------------------------------------------------- one-scan suite over key tables
+
+KEY_COLS = {
+    "costs": ["date_key", "site_code"],
+    "manufacturing": ["date_key", "site_code", "line_code", "product_code"],
+    "energy": ["date_key", "site_code", "line_code"],
+}
+
+
+def fact_key_tables(star: Star, materialized: bool = True) -> dict[str, DataFrame]:
+    """Each fact reduced once to its key combinations with the row count
+    ``n``, the invalid-row count ``bad`` and the sums the rules need.
+
+    Every rule, dimension and KPI of the suite is derived from these tables,
+    so a run scans each fact exactly once; they are bounded by the key
+    domains (days x sites x lines x products), not by fact rows, and are
+    materialised so later stages never re-read the facts.
+    """
+    from plantwise.functions.materialize import materialize
+    one = F.count(F.lit(1)).alias("n")
+    fc, fm, fe = star.fact_costs, star.fact_manufacturing, star.fact_energy
+    out = {
+        "costs": fc.groupBy(*KEY_COLS["costs"]).agg(
+            one, F.count_if(costs_invalid(fc)).alias("bad"), F.sum("amount_br").alias("s"),
+            F.sum(F.col("amount_br").cast("double") - F.col("amount_fx") * F.col("fx_rate"))
+            .alias("s_fx")),
+        "manufacturing": fm.groupBy(*KEY_COLS["manufacturing"]).agg(
+            one, F.count_if(manufacturing_invalid(fm)).alias("bad"), F.sum("units_ok").alias("s")),
+        "energy": fe.groupBy(*KEY_COLS["energy"]).agg(
+            one, F.count_if(energy_invalid(fe)).alias("bad"), F.sum("kwh_day").alias("s")),
+    }
+    if materialized:
+        out = {k: materialize(v, f"keys-{k}") for k, v in out.items()}
+    return out
+
+
+def dims_from_keys(keys: dict[str, DataFrame]) -> Star:
+    """The four dimensions from the key tables (same rows as from the facts);
+    facts are left as the key tables themselves."""
+    from plantwise.operators import star as S
+    c, m, e = keys["costs"], keys["manufacturing"], keys["energy"]
+    return Star(c, m, e, S.dim_site(c, m, e), S.dim_line(m, e), S.dim_product(m),
+                S.dim_date(c, m, e))
+
+
+def _weighted_orphans(keys_df: DataFrame, dim: DataFrame, cols: list[str], key_expr: Column,
+                      count_name: str, list_name: str) -> DataFrame:
+    per_key = keys_df.groupBy(*cols).agg(F.sum("n").alias("__rows"))
+    hit = dim.select(*cols).distinct().withColumn("__hit", F.lit(True))
+    j = per_key.join(hit, cols, "left").withColumn("__orphan", F.col("__hit").isNull())
+    return j.agg(
+        F.coalesce(F.sum(F.when(F.col("__orphan"), F.col("__rows"))), F.lit(0)).alias(count_name),
+        _sorted_keys(key_expr, F.col("__orphan")).alias(list_name))
+
+
+def _pair_frame(left: DataFrame, right: DataFrame, dd: DataFrame) -> DataFrame:
+    """Fan-out pair sums per (date_key, site) from per-key sums and counts."""
+    lk = left.groupBy("date_key", "site_code").agg(F.sum("s").alias("__ls"), F.sum("n").alias("__ln"))
+    rk = right.groupBy("date_key", "site_code").agg(F.sum("s").alias("__ms"), F.sum("n").alias("__mn"))
+    j = lk.join(dd.select("date_key", "y", "m"), "date_key").join(rk, ["date_key", "site_code"], "left")
+    return j.select("date_key", "y", "m", "site_code",
+                    (F.col("__ls") * F.greatest(F.coalesce(F.col("__mn"), F.lit(0)), F.lit(1)))
+                    .alias("__pair_l"),
+                    (F.col("__ln") * F.col("__ms")).alias("__pair_r"))
+
+
+def _recon_from_pairs(pairs: DataFrame, total_name: str) -> DataFrame:
+    base = (pairs.groupBy("y", "m", "site_code")
+            .agg(F.sum("__pair_l").cast("double").alias("total_cost_brl"),
+                 F.sum("__pair_r").cast("double").alias(total_name))
+            .where(F.col(total_name) > 0))
+    return K.recon_deviation(base, total_name)
+
+
+def run_suite(star: Star, as_of=None, meta_digits: int | None = None,
+              materialized: bool = True) -> DataFrame:
+    """The 15 results of R1..R13 with one scan per fact (see
+    :func:`fact_key_tables`); same rows as :func:`run_rules`."""
+    keys = fact_key_tables(star, materialized)
+    ks = dims_from_keys(keys)
+    c, mk, e = keys["costs"], keys["manufacturing"], keys["energy"]
+
+    # R1: dimension sizes and fact row counts
+    dims = ["dim_date", "dim_site", "dim_line", "dim_product"]
+    facts = {"fact_costs": c, "fact_manufacturing": mk, "fact_energy": e}
+    row = _cross([getattr(ks, n).agg(F.count(F.lit(1)).alias(n)) for n in dims]
+                 + [f.agg(F.coalesce(F.sum("n"), F.lit(0)).alias(n)) for n, f in facts.items()])
+    names = dims + list(facts)
+    parts = []
+    for i, n in enumerate(names):
+        parts += (["; "] if i else []) + [f"{n}=", _s(n)]
+    r1 = qa_assert(row, "R1_COUNTS", reduce(lambda a, b: a & b, [F.col(n) > 0 for n in names]),
+                   _txt(*parts))
+
+    # R2: freshness from the calendar of each fact
+    fresh = []
+    for rid, kt, unit in (("R2A_FRESHNESS_COSTS", c, "month"), ("R2B_FRESHNESS_MANU", mk, "day"),
+                          ("R2C_FRESHNESS_ENERGY", e, "day")):
+        mx = _max_date(kt, ks.dim_date)
+        today = _as_of(as_of)
+        if unit == "month":
+            lag, limit, label = month_lag("max_date", today), MAX_MONTH_LAG, " month(s) lag"
+        else:
+            lag, limit, label = day_lag("max_date", today), MAX_DAY_LAG, " day(s) lag"
+        fresh.append(qa_assert(mx, rid, lag <= limit, _txt(lag.cast("string"), label),
+                               json_object(max_date=F.col("max_date"))))
+
+    # R5..R7: invalid rows counted during the key aggregation
+    dom = [qa_assert(kt.agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("c")), rid,
+                     F.col("c") == 0, _txt("rows_invalid=", _s("c")))
+           for rid, kt in (("R5_DOMAIN_COSTS", c), ("R6_DOMAIN_MANU", mk), ("R7_DOMAIN_ENERGY", e))]
+
+    # R8..R10: orphans, weighted by the fact rows behind each key
+    dim_spec = {"date": (ks.dim_date, ["date_key"], F.col("date_key"), "bad_date_keys"),
+                "site": (ks.dim_site, ["site_code"], F.col("site_code"), "bad_sites"),
+                "line": (ks.dim_line, ["site_code", "line_code"],
+                         key_text("site_code", "line_code"), "bad_lines"),
+                "prod": (ks.dim_product, ["product_code"], F.col("product_code"), "bad_products")}
+    fk = []
+    for rid, kt, checks in (("R8_FK_COSTS", c, ["date", "site"]),
+                            ("R9_FK_MANU", mk, ["date", "site", "line", "prod"]),
+                            ("R10_FK_ENERGY", e, ["date", "site", "line"])):
+        frames, cn = [], []
+        for k in checks:
+            dim, cols, expr, lname = dim_spec[k]
+            frames.append(_weighted_orphans(kt, dim, cols, expr, "missing_" + k, lname))
+            cn.append(("missing_" + k, lname))
+        row = _cross(frames)
+        msg = []
+        for i, (cname, _) in enumerate(cn):
+            msg += (["; "] if i else []) + [f"{cname}=", _s(cname)]
+        meta = {ln: (F.transform(F.col(ln), lambda x: x.cast("int")) if ln == "bad_date_keys"
+                     else F.col(ln)) for _, ln in cn}
+        fk.append(qa_assert(row, rid, reduce(lambda a, b: a & b, [F.col(x) == 0 for x, _ in cn]),
+                            _txt(*msg), json_object(**meta)))
+
+    # R11, R12: reconciliation from the same per-key sums
+    rec = [_recon_rule(_recon_from_pairs(_pair_frame(c, mk, ks.dim_date), "total_units"),
+                       "R11_RECON_COST_VS_PROD", RECON_TOLERANCE, meta_digits),
+           _recon_rule(_recon_from_pairs(_pair_frame(c, e, ks.dim_date), "total_kwh"),
+                       "R12_RECON_COST_VS_ENERGY", RECON_TOLERANCE, meta_digits)]
+
+    # R13: KPIs from the key tables
+    cost = _pair_frame(c, mk, ks.dim_date).select(
+        K._dratio("__pair_l", "__pair_r").alias("cost_per_unit"))
+    energy = _pair_frame(e, mk, ks.dim_date).select(
+        K._dratio("__pair_l", "__pair_r").alias("kwh_per_unit"))
+    fx = c.groupBy("date_key", "site_code").agg(
+        K._dratio(F.sum("s_fx"), F.sum("s")).alias("fx_effect_ratio"))
+    r13 = rule_kpi_range(ks, {"kpi_cost_per_unit": cost, "kpi_energy_per_unit": energy,
+                              "kpi_fx_effect": fx})
+
+    parts = [r1, *fresh, rule_dim_keys_not_null(ks), rule_dim_duplicates(ks), *dom, *fk, *rec, r13]
+    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -43,7 +43,7 @@ def consolidated(star: Star, materialized: bool = False) -> DataFrame:
     return materialize(df) if materialized else df
 
 
-def imputed(star: Star, method: str = "exact") -> DataFrame:
+def imputed(star: Star, method: str = "auto") -> DataFrame:
     return W.impute_hierarchical(consolidated(star, materialized=True), method=method)
 
 
@@ -53,7 +53,7 @@ def with_lags(df: DataFrame) -> DataFrame:
     return df
 
 
-def model_frame(star: Star, method: str = "exact") -> DataFrame:
+def model_frame(star: Star, method: str = "auto") -> DataFrame:
     """Rows with a target and a month, helper columns dropped."""
     df = with_lags(imputed(star, method))
     return materialize(df.na.drop(subset=[TARGET, "m"]).drop(*DROP_AFTER_FEATURES))
@@ -63,7 +63,7 @@ def flagged(model_df: DataFrame) -> DataFrame:
     return W.flag_outliers_many(model_df, W.IMP_COLS, by=OUTLIER_KEYS)
 
 
-def treated(model_df: DataFrame, method: str = "exact") -> DataFrame:
+def treated(model_df: DataFrame, method: str = "auto") -> DataFrame:
     """Outlier flags, winsorised FX by site and IQR-robust KPIs by site."""
     df = W.winsorize_by_group(flagged(model_df), "fx_effect_ratio_imp", ["site_code"],
                               method=method)
@@ -75,7 +75,7 @@ def outlier_reports(model_df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return W.outlier_report_counts(long), long
 
 
-def build_feature_table(star: Star, out_dir: str | None = None, method: str = "exact"
+def build_feature_table(star: Star, out_dir: str | None = None, method: str = "auto"
                         ) -> DataFrame:
     """The treated feature table; written as parquet when ``out_dir`` is given
     (the write also cuts the lineage for the modelling steps)."""
