@@ -41,8 +41,10 @@ def rank_rows(df: DataFrame, order: Sequence, by: Sequence[str] = (),
     w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("__rk_pid")
     offsets = blocks.withColumn("__rk_off", F.coalesce(
         F.sum("__rk_bn").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    cond = [indexed["__rk_pid"] == offsets["__rk_pid"]] + \
-        [indexed[b].eqNullSafe(offsets[b]) for b in by]
+    offsets = offsets.select(F.col("__rk_pid").alias("__rk_opid"), "__rk_off", "__rk_b0",
+                             *[F.col(b).alias(f"__rk_by{i}") for i, b in enumerate(by)])
+    cond = [F.col("__rk_pid") == F.col("__rk_opid")] + \
+        [F.col(b).eqNullSafe(F.col(f"__rk_by{i}")) for i, b in enumerate(by)]
     j = indexed.join(offsets, cond)
-    rank = (offsets["__rk_off"] + indexed["__rk_li"] - offsets["__rk_b0"]).alias(name)
-    return j.select(*[indexed[c] for c in df.columns], rank)
+    rank = (F.col("__rk_off") + F.col("__rk_li") - F.col("__rk_b0")).alias(name)
+    return j.select(*[F.col(c) for c in df.columns], rank)
