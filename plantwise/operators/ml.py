@@ -49,24 +49,24 @@ class PreprocessModel:
             out += [f"{c}_{v}" for v in self.levels.get(c, [])[1:]]
         return out
 
-    def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    def transform(self, df: DataFrame, keep: Sequence[str] = (), prefix: str = "") -> DataFrame:
         """Imputed/scaled numerics and drop-first one-hot columns (unknown or
         missing level -> all zeros after mode imputation), plus ``keep``."""
         exprs = []
         for c in self.num_cols:
             x = F.coalesce(F.col(c).cast("double"), F.lit(self.medians.get(c)).cast("double"))
             x = (x - F.lit(self.centers.get(c, 0.0))) / F.lit(self.scales.get(c, 1.0))
-            exprs.append(x.alias(c))
+            exprs.append(x.alias(prefix + c))
         for c in self.cat_cols:
             v = F.coalesce(F.col(c).cast("string"), F.lit(self.modes.get(c)))
             for lv in self.levels.get(c, [])[1:]:
-                exprs.append((v == F.lit(lv)).cast("double").alias(f"{c}_{lv}"))
+                exprs.append((v == F.lit(lv)).cast("double").alias(f"{prefix}{c}_{lv}"))
         return df.select(*keep, *exprs)
 
     def assemble(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        t = self.transform(df, keep)
-        va = VectorAssembler(inputCols=self.output_columns(), outputCol=FEATURES,
-                             handleInvalid="keep")
+        t = self.transform(df, keep, prefix="__f_")
+        va = VectorAssembler(inputCols=["__f_" + c for c in self.output_columns()],
+                             outputCol=FEATURES, handleInvalid="keep")
         return va.transform(t).select(*keep, FEATURES)
 
     def to_json(self) -> str:

@@ -19,6 +19,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "4g")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="pw-wh-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():
