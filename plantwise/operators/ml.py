@@ -136,6 +136,12 @@ def regressors(n_rows: int | None = None, y_std_pop: float | None = None,
     }
 
 
+def elastic_net(alpha: float = 1.0, l1_ratio: float = 0.5) -> LinearRegression:
+    """Elastic net (declared in the analysis, not used by its leaderboard)."""
+    return LinearRegression(regParam=alpha, elasticNetParam=l1_ratio, standardization=False,
+                            maxIter=10000)
+
+
 def fit(prep: PreprocessModel, train: DataFrame, target: str, estimator) -> PipelineModel:
     data = prep.assemble(train, keep=[target]).withColumnRenamed(target, "label")
     return Pipeline(stages=[estimator]).fit(data)

@@ -109,3 +109,18 @@ def test_energy_silver_check(spark):
     df = spark.createDataFrame([(1.0,), (None,), (-1.0,)], "kwh double")
     r = Q.energy_silver_check(df).first()
     assert (r.kwh_nulls, r.kwh_negative, r.success) == (1, 1, False)
+
+
+def test_validation_plan(spark, tmpdir_path):
+    from plantwise.plans.validation import register_rules, run_validation
+    st = _faulty_star(spark)
+    out = run_validation(spark, st, gold_dir=f"{tmpdir_path}/gold",
+                         results_path=f"{tmpdir_path}/results", database=None, as_of="2025-10-28")
+    assert out["report"].count() == 15
+    run_validation(spark, st, results_path=f"{tmpdir_path}/results", database=None, as_of="2025-10-28")
+    assert spark.read.parquet(f"{tmpdir_path}/results").count() == 30   # history kept
+    assert spark.read.parquet(f"{tmpdir_path}/gold/qa_report").count() == 15
+    assert register_rules(Q.rules_frame(spark), spark).count() == 15
+    import pytest
+    with pytest.raises(RuntimeError):
+        run_validation(spark, st, database=None, as_of="2025-10-28", fail_on_error=True)
