@@ -27,6 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plantwise.functions.materialize import materialize
+
 _V, _PID, _LI, _R = "__q_v", "__q_pid", "__q_li", "__q_r"
 
 
@@ -83,6 +85,9 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]
     pid = F.spark_partition_id()
     indexed = ordered.withColumn(_PID, pid).withColumn(
         _LI, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
+    # Offsets and row indices must come from the same physical partitioning:
+    # two independently planned range shuffles may sample different bounds.
+    indexed = materialize(indexed, "quantile-ranks")
 
     blocks = indexed.groupBy(*by, _PID).agg(F.min(_LI).alias("__q_b0"), F.count("*").alias("__q_bn"))
     w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(_PID)

@@ -6,7 +6,8 @@ rows are range-partitioned on (group, order keys) -- Spark samples the
 boundaries, so a hot group spans many partitions -- then each row's rank is
 the number of rows of its group in earlier partitions (from a per-partition
 count table of at most ``partitions + groups`` rows) plus its position in
-its own partition.
+its own partition.  The range-sorted, indexed rows are materialised once so
+both the offsets and the positions are read from the same physical rows.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plantwise.functions.materialize import materialize
+
 
 def _sort_col(c) -> Column:
     return F.asc_nulls_last(c) if isinstance(c, str) else c
@@ -36,6 +39,9 @@ def rank_rows(df: DataFrame, order: Sequence, by: Sequence[str] = (),
     pid = F.spark_partition_id()
     indexed = ordered.withColumn("__rk_pid", pid).withColumn(
         "__rk_li", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
+    # Offsets and positions must come from the same physical partitioning
+    # (independently planned range shuffles may sample different bounds).
+    indexed = materialize(indexed, "row-ranks")
     blocks = indexed.groupBy(*by, "__rk_pid").agg(F.min("__rk_li").alias("__rk_b0"),
                                                   F.count(F.lit(1)).alias("__rk_bn"))
     w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("__rk_pid")

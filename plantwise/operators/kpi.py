@@ -33,6 +33,20 @@ def _dratio(num, den):
     return ratio(n.cast("double"), d.cast("double"))
 
 
+def with_calendar(df: DataFrame, dd: DataFrame | None) -> DataFrame:
+    """Inner join with the calendar for (y, m).
+
+    ``dd=None`` means the calendar is the one derived from these same facts
+    (every non-null fact key is in it): the join is then equivalent to
+    ``date_key IS NOT NULL`` plus key arithmetic, and skipping it saves
+    re-scanning every fact just to rebuild the calendar.
+    """
+    if dd is None:
+        p = date_key_parts("date_key")
+        return df.where(F.col("date_key").isNotNull()).withColumn("y", p["y"]).withColumn("m", p["m"])
+    return df.join(dd.select("date_key", "y", "m"), "date_key")
+
+
 def _per_key(df: DataFrame, value: str, s: str, n: str) -> DataFrame:
     return df.groupBy(*KEYS).agg(F.sum(value).alias(s), F.count(F.lit(1)).alias(n))
 
@@ -41,22 +55,21 @@ def _fanout_pair(left: DataFrame, lval: str, fm: DataFrame, dd: DataFrame) -> Da
     """left JOIN dim_date LEFT JOIN manufacturing, as pair sums per key."""
     lk = _per_key(left, lval, "__ls", "__ln")
     mk = _per_key(fm, "units_ok", "__ms", "__mn")
-    j = (lk.join(dd.select("date_key", "y", "m"), "date_key")
-         .join(mk, KEYS, "left"))
+    j = with_calendar(lk, dd).join(mk, KEYS, "left")
     return j.select(
         "date_key", "y", "m", "site_code",
         (F.col("__ls") * F.greatest(F.coalesce(F.col("__mn"), F.lit(0)), F.lit(1))).alias("__pair_l"),
         (F.col("__ln") * F.col("__ms")).alias("__pair_units"))
 
 
-def kpi_cost_per_unit(fc: DataFrame, fm: DataFrame, dd: DataFrame) -> DataFrame:
+def kpi_cost_per_unit(fc: DataFrame, fm: DataFrame, dd: DataFrame | None) -> DataFrame:
     """SUM(amount_br) / NULLIF(SUM(units_ok), 0) over the fan-out join."""
     p = _fanout_pair(fc, "amount_br", fm, dd)
     return p.select("date_key", "y", "m", "site_code",
                     _dratio("__pair_l", "__pair_units").alias("cost_per_unit"))
 
 
-def kpi_energy_per_unit(fe: DataFrame, fm: DataFrame, dd: DataFrame) -> DataFrame:
+def kpi_energy_per_unit(fe: DataFrame, fm: DataFrame, dd: DataFrame | None) -> DataFrame:
     """SUM(kwh_day) / NULLIF(SUM(units_ok), 0) over the fan-out join."""
     p = _fanout_pair(fe, "kwh_day", fm, dd)
     return p.select("date_key", "y", "m", "site_code",
@@ -81,14 +94,14 @@ def kpi_cost_per_unit_preagg(fc: DataFrame, fm: DataFrame, dd: DataFrame,
     m = fm.withColumn("date_key", _month_key()) if grain == "month" else fm
     c = fc.groupBy(*KEYS).agg(F.sum("amount_br").alias("__c"))
     u = m.groupBy(*KEYS).agg(F.sum("units_ok").alias("__u"))
-    return (c.join(dd.select("date_key", "y", "m"), "date_key").join(u, KEYS, "left")
+    return (with_calendar(c, dd).join(u, KEYS, "left")
             .select("date_key", "y", "m", "site_code", _dratio("__c", "__u").alias("cost_per_unit")))
 
 
 def kpi_energy_per_unit_preagg(fe: DataFrame, fm: DataFrame, dd: DataFrame) -> DataFrame:
     e = fe.groupBy(*KEYS).agg(F.sum("kwh_day").alias("__e"))
     u = fm.groupBy(*KEYS).agg(F.sum("units_ok").alias("__u"))
-    return (e.join(dd.select("date_key", "y", "m"), "date_key").join(u, KEYS, "left")
+    return (with_calendar(e, dd).join(u, KEYS, "left")
             .select("date_key", "y", "m", "site_code", _dratio("__e", "__u").alias("kwh_per_unit")))
 
 
@@ -103,7 +116,7 @@ def recon_base(fc: DataFrame, other: DataFrame, other_value: str, dd: DataFrame,
     keeping groups whose driver total is > 0 (``HAVING SUM(x) > 0``)."""
     lk = _per_key(fc, "amount_br", "__ls", "__ln")
     ok = _per_key(other, other_value, "__os", "__on")
-    j = lk.join(dd.select("date_key", "y", "m"), "date_key").join(ok, KEYS, "left")
+    j = with_calendar(lk, dd).join(ok, KEYS, "left")
     pair_cost = F.col("__ls") * F.greatest(F.coalesce(F.col("__on"), F.lit(0)), F.lit(1))
     pair_other = F.col("__ln") * F.col("__os")
     return (j.groupBy("y", "m", "site_code")

@@ -285,7 +285,7 @@ def _recon_rule(dev: DataFrame, rid: str, tol: float, meta_digits: int | None) -
 
 def rule_recon_cost_vs_production(star: Star, tol: float = RECON_TOLERANCE,
                                   meta_digits: int | None = None) -> DataFrame:
-    base = K.recon_base(star.fact_costs, star.fact_manufacturing, "units_ok", star.dim_date,
+    base = K.recon_base(star.fact_costs, star.fact_manufacturing, "units_ok", star.calendar(),
                         "total_units")
     return _recon_rule(K.recon_deviation(base, "total_units"), "R11_RECON_COST_VS_PROD", tol,
                        meta_digits)
@@ -293,7 +293,7 @@ def rule_recon_cost_vs_production(star: Star, tol: float = RECON_TOLERANCE,
 
 def rule_recon_cost_vs_energy(star: Star, tol: float = RECON_TOLERANCE,
                               meta_digits: int | None = None) -> DataFrame:
-    base = K.recon_base(star.fact_costs, star.fact_energy, "kwh_day", star.dim_date, "total_kwh")
+    base = K.recon_base(star.fact_costs, star.fact_energy, "kwh_day", star.calendar(), "total_kwh")
     return _recon_rule(K.recon_deviation(base, "total_kwh"), "R12_RECON_COST_VS_ENERGY", tol,
                        meta_digits)
 
@@ -301,9 +301,9 @@ def rule_recon_cost_vs_energy(star: Star, tol: float = RECON_TOLERANCE,
 def kpis(star: Star) -> dict[str, DataFrame]:
     return {
         "kpi_cost_per_unit": K.kpi_cost_per_unit(star.fact_costs, star.fact_manufacturing,
-                                                 star.dim_date),
+                                                 star.calendar()),
         "kpi_energy_per_unit": K.kpi_energy_per_unit(star.fact_energy, star.fact_manufacturing,
-                                                     star.dim_date),
+                                                     star.calendar()),
         "kpi_fx_effect": K.kpi_fx_effect(star.fact_costs),
     }
 

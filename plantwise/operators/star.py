@@ -94,6 +94,12 @@ class Star:
     dim_line: DataFrame
     dim_product: DataFrame
     dim_date: DataFrame
+    derived_calendar: bool = True   # dim_date is the union of the facts' keys
+
+    def calendar(self) -> DataFrame | None:
+        """Calendar to join KPIs with; None when it is derived from the facts
+        themselves (see :func:`plantwise.operators.kpi.with_calendar`)."""
+        return None if self.derived_calendar else self.dim_date
 
     def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "Star":
         """Keep facts and dims for a run of many rules (views re-expand otherwise)."""

@@ -33,8 +33,8 @@ OUTLIER_KEYS = ["site_code", "m"]
 
 
 def kpi_frames(star: Star) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return (K.kpi_cost_per_unit(star.fact_costs, star.fact_manufacturing, star.dim_date),
-            K.kpi_energy_per_unit(star.fact_energy, star.fact_manufacturing, star.dim_date),
+    return (K.kpi_cost_per_unit(star.fact_costs, star.fact_manufacturing, star.calendar()),
+            K.kpi_energy_per_unit(star.fact_energy, star.fact_manufacturing, star.calendar()),
             K.kpi_fx_effect(star.fact_costs))
 
 

@@ -111,3 +111,18 @@ def test_sample_moments_match_pandas(spark):
     s = pd.Series(xs)
     assert r[0] == pytest.approx(s.skew(), rel=1e-9)
     assert r[1] == pytest.approx(s.kurtosis(), rel=1e-9)
+
+
+def test_ranked_quantiles_consistent_under_sampling(spark):
+    # large enough that the range partitioner samples its boundaries
+    n = 300_000
+    df = spark.range(n).select((F.col("id") % 3).alias("g"),
+                               ((F.col("id") * 7919) % 100_003).cast("double").alias("v"))
+    got = {r.g: r for r in quantiles(df, "v", [0.1, 0.5, 0.9], by=["g"], method="exact").collect()}
+    pdf = df.toPandas()
+    for g, part in pdf.groupby("g"):
+        want = np.quantile(part["v"].to_numpy(), [0.1, 0.5, 0.9])
+        assert list(got[g][1:]) == pytest.approx(list(want), rel=1e-12)
+    r = rank_rows(df, ["v", "g"]).select("row_rank").agg(
+        F.min("row_rank"), F.max("row_rank"), F.countDistinct("row_rank")).first()
+    assert tuple(r) == (0, n - 1, n)
