@@ -6,7 +6,7 @@ import __spark_entry__ as E
 
 SF_SMALL = "/root/testdata/sf0.001"
 
-ROWS_ONLY = {"model_leaderboard", "kmeans_clusters", "pca_components", "sample500"}
+ROWS_ONLY = {"model_leaderboard", "kmeans_clusters", "pca_components", "sample500"}  # no SQL twin
 
 
 def test_entry_smoke(spark):
