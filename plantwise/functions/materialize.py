@@ -27,3 +27,14 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = os.path.join(base, "plantwise-materialized", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def materialize_all(frames: dict[str, DataFrame], max_workers: int = 4) -> dict[str, DataFrame]:
+    """Materialise independent frames as concurrent Spark jobs (a small
+    driver thread pool; the jobs share the cluster's task slots)."""
+    from concurrent.futures import ThreadPoolExecutor
+    if len(frames) <= 1:
+        return {k: materialize(v, k) for k, v in frames.items()}
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(frames))) as pool:
+        futures = {k: pool.submit(materialize, v, k) for k, v in frames.items()}
+        return {k: f.result() for k, f in futures.items()}

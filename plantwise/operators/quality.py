@@ -405,7 +405,7 @@ def fact_key_tables(star: Star, materialized: bool = True) -> dict[str, DataFram
     domains (days x sites x lines x products), not by fact rows, and are
     materialised so later stages never re-read the facts.
     """
-    from plantwise.functions.materialize import materialize
+    from plantwise.functions.materialize import materialize_all
     one = F.count(F.lit(1)).alias("n")
     fc, fm, fe = star.fact_costs, star.fact_manufacturing, star.fact_energy
     out = {
@@ -419,7 +419,7 @@ def fact_key_tables(star: Star, materialized: bool = True) -> dict[str, DataFram
             one, F.count_if(energy_invalid(fe)).alias("bad"), F.sum("kwh_day").alias("s")),
     }
     if materialized:
-        out = {k: materialize(v, f"keys-{k}") for k, v in out.items()}
+        out = materialize_all(out)
     return out
 
 
@@ -467,6 +467,11 @@ def run_suite(star: Star, as_of=None, meta_digits: int | None = None,
     :func:`fact_key_tables`); same rows as :func:`run_rules`."""
     keys = fact_key_tables(star, materialized)
     ks = dims_from_keys(keys)
+    if materialized:   # dimensions feed most rules: derive them once
+        from plantwise.functions.materialize import materialize_all
+        names = ("dim_site", "dim_line", "dim_product", "dim_date")
+        for d, df in materialize_all({d: getattr(ks, d) for d in names}).items():
+            setattr(ks, d, df)
     c, mk, e = keys["costs"], keys["manufacturing"], keys["energy"]
 
     # R1: dimension sizes and fact row counts
