@@ -50,8 +50,11 @@ def load_csv_glob(spark: SparkSession, pattern: str) -> DataFrame:
     if not files:
         return spark.createDataFrame([], T.StructType([]))
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for f in files:
-        groups[_header(fs, jvm, f)].append(f)
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=16) as pool:   # one small read per file
+        headers = list(pool.map(lambda f: _header(fs, jvm, f), files))
+    for f, h in zip(files, headers):
+        groups[h].append(f)
     frames = []
     for header, paths in groups.items():
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
