@@ -275,7 +275,7 @@ def _recon_rule(dev: DataFrame, rid: str, tol: float, meta_digits: int | None) -
     def shape(x):
         r = x["rel_diff"]
         if meta_digits is not None:
-            r = F.floor(r * float(10 ** meta_digits) + 0.5) / float(10 ** meta_digits)
+            r = F.floor(r * float(10 ** meta_digits) + 0.5001) / float(10 ** meta_digits)
         return F.struct(x["site_code"].alias("site_code"), r.alias("rel_diff"))
 
     meta = F.to_json(F.transform("off", shape), {"ignoreNullFields": "false"})
