@@ -89,3 +89,25 @@ def test_streaming_silver_ingest(spark, tmpdir_path):
     assert sorted(r.kwh for r in silver.collect()) == [0.0, 5.0]
     daily = ST.energy_daily_stream(ST.silver_stream(ST.raw_stream(spark, src, cols), "energy"))
     assert daily.isStreaming and "kwh_day" in daily.columns
+
+
+def test_streaming_daily_rollup_emits_closed_days(spark, tmpdir_path):
+    src = f"{tmpdir_path}/drop2"
+    os.makedirs(src)
+    cols = ["timestamp", "site_code", "line_code", "equip_code", "kwh", "kw_demand", "kvarh"]
+    head = ",".join(cols) + "\n"
+    with open(f"{src}/a.csv", "w") as f:
+        f.write(head + "2025-04-01 10:00:00,SC01,L1,E1,5,2,1\n2025-04-01 11:00:00,SC01,L1,E1,7,4,1\n")
+    daily = ST.energy_daily_stream(ST.silver_stream(ST.raw_stream(spark, src, cols), "energy"),
+                                   lateness="1 hour")
+    q = daily.writeStream.format("memory").queryName("pw_daily").outputMode("append").start()
+    try:
+        q.processAllAvailable()
+        with open(f"{src}/b.csv", "w") as f:   # advances the watermark past 2025-04-01
+            f.write(head + "2025-04-03 10:00:00,SC01,L1,E1,1,1,1\n")
+        q.processAllAvailable()
+        q.processAllAvailable()
+        rows = spark.sql("SELECT * FROM pw_daily").collect()
+    finally:
+        q.stop()
+    assert [(r.date_key, r.kwh_day, r.kw_demand_peak_day) for r in rows] == [(20250401, 12.0, 4.0)]
