@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantwise.functions.materialize import materialize
+from plantwise.functions.scalars import with_scalars
 
 _V, _PID, _LI, _R = "__q_v", "__q_pid", "__q_li", "__q_r"
 
@@ -108,7 +109,7 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]
     picked = ranked.join(targets, [*by, _R]).groupBy(*by).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(_R), F.col(_V)))).alias("__q_map"))
 
-    res = counts.join(picked, by, "left") if by else counts.crossJoin(picked)
+    res = counts.join(picked, by, "left") if by else with_scalars(counts, picked)
     cols = []
     for p, n in zip(probs, names):
         pos = F.lit(float(p)) * (F.col("__q_n") - 1)

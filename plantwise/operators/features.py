@@ -19,6 +19,7 @@ from plantwise.functions.dates import date_key_parts, month_start_of_key
 from plantwise.functions.quantiles import MAX_IN_MEMORY_GROUP, quantiles
 from plantwise.functions.ranking import rank_rows
 from plantwise.functions.safe import ratio
+from plantwise.functions.scalars import one_row, with_scalars
 
 MERGE_KEYS = ["date_key", "site_code", "y", "m"]
 KPI_COLS = ["cost_per_unit", "kwh_per_unit", "fx_effect_ratio"]
@@ -91,7 +92,7 @@ def impute_hierarchical(df: DataFrame, cols: Sequence[str] = KPI_COLS,
     for i, lv in enumerate(levels):
         lv = list(lv)
         wide = _group_stats_wide(df, cols, lv, [0.5], [f"med{i}"], method)
-        out = out.join(wide, lv, "left") if lv else out.crossJoin(wide)
+        out = out.join(wide, lv, "left") if lv else with_scalars(out, wide)
         for c in cols:
             fills[c].append(F.col(f"__med{i}_{c}"))
     for c in cols:
@@ -136,7 +137,7 @@ def flag_outliers_many(df: DataFrame, cols: Sequence[str], by: Sequence[str] | N
     if by:
         out = df.join(df.groupBy(*by).agg(*aggs), list(by), "left")
     else:
-        out = df.crossJoin(F.broadcast(df.agg(*aggs)))
+        out = with_scalars(df, df.agg(*aggs))
     for c in cols:
         z = ratio(F.col(c) - F.col(f"{c}_mean"), F.col(f"{c}_std"))
         out = out.withColumn(f"{c}_z", z).withColumn(
@@ -181,7 +182,7 @@ def add_robust_scaled_many(df: DataFrame, cols: Sequence[str], by: Sequence[str]
                            method: str = "auto") -> DataFrame:
     by = list(by or [])
     st = _group_stats_wide(df, cols, by, [0.25, 0.5, 0.75], ["q1", "q2", "q3"], method)
-    out = df.join(st, by, "left") if by else df.crossJoin(st)
+    out = df.join(st, by, "left") if by else with_scalars(df, st)
     for c in cols:
         iqr = F.col(f"__q3_{c}") - F.col(f"__q1_{c}")
         scale = F.when(iqr == 0, F.lit(1.0)).otherwise(iqr)
@@ -207,11 +208,11 @@ def add_robust_features(df: DataFrame, cols: Sequence[str] = IMP_COLS,
     if not cols:
         return df
     med = _group_stats_wide(df, cols, [], [0.5], ["med"], method)
-    dev = df.crossJoin(med).select(*[F.abs(F.col(c) - F.col(f"__med_{c}")).alias(c) for c in cols])
+    dev = with_scalars(df, med).select(*[F.abs(F.col(c) - F.col(f"__med_{c}")).alias(c) for c in cols])
     mad = _group_stats_wide(dev, cols, [], [0.5], ["mad"], method)
     sd = df.agg(*[F.stddev_samp(c).alias(f"__sd_{c}") for c in cols])
-    stats = med.crossJoin(mad).crossJoin(sd)
-    out = df.crossJoin(stats)
+    stats = one_row(df.sparkSession, [med, mad, sd])
+    out = with_scalars(df, stats)
     for c in cols:
         scale = F.when(F.col(f"__mad_{c}") != 0, F.col(f"__mad_{c}")) \
             .when(F.col(f"__sd_{c}") > 0, F.col(f"__sd_{c}")).otherwise(F.lit(1.0))
@@ -254,7 +255,7 @@ def temporal_split(df: DataFrame, date_col: str, frac: float = 0.8,
     ranked = rank_rows(df, [date_col, *tie])
     n = df.agg(F.count(F.lit(1)).alias("__n"))
     cut = F.floor(F.lit(float(frac)) * F.col("__n"))
-    return ranked.crossJoin(n).withColumn(
+    return with_scalars(ranked, n).withColumn(
         "split", F.when(F.col("row_rank") < cut, "train").otherwise("test")).drop("__n")
 
 
@@ -266,7 +267,7 @@ def expanding_folds(df: DataFrame, k: int = 5, rank_col: str = "row_rank") -> Da
     with ``fold`` and ``role`` ('train'/'test').
     """
     n = df.agg(F.count(F.lit(1)).alias("__n"))
-    j = df.crossJoin(n)
+    j = with_scalars(df, n)
     ts = F.floor(F.col("__n") / (k + 1))
     folds = []
     for i in range(k):
@@ -302,7 +303,7 @@ def global_sigma_counts(df: DataFrame, cols: Sequence[str], k: float = SIGMA_K)
     """Per column, rows outside mean +- k * sample std (one pass, long output)."""
     stats = df.agg(*[F.avg(c).alias(f"__m_{i}") for i, c in enumerate(cols)],
                    *[F.stddev_samp(c).alias(f"__s_{i}") for i, c in enumerate(cols)])
-    j = df.crossJoin(F.broadcast(stats))
+    j = with_scalars(df, stats)
     counts = j.agg(*[F.count_if((F.col(c) < F.col(f"__m_{i}") - k * F.col(f"__s_{i}"))
                                 | (F.col(c) > F.col(f"__m_{i}") + k * F.col(f"__s_{i}")))
                      .alias(c) for i, c in enumerate(cols)])

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from plantwise.functions.dates import date_key_parts
 from plantwise.functions.safe import ratio
+from plantwise.functions.scalars import with_scalars
 
 KEYS = ["date_key", "site_code"]
 
@@ -128,13 +129,13 @@ def recon_base(fc: DataFrame, other: DataFrame, other_value: str, dd: DataFrame,
 def recon_deviation(base: DataFrame, driver_col: str = "total_units") -> DataFrame:
     """rel_diff = |cost - avg_cost * driver / avg_driver| / avg_cost.
 
-    The grand means come from a one-row aggregate cross-joined back (a
-    broadcast of one row) instead of an unpartitioned ``AVG() OVER ()``
-    window, which would pull every row into a single task.
+    The grand means are scalar subqueries over a one-row aggregate instead
+    of an unpartitioned ``AVG() OVER ()`` window, which would pull every row
+    into a single task.
     """
     means = base.agg(F.avg("total_cost_brl").alias("__avg_cost"),
                      F.avg(driver_col).alias("__avg_drv"))
-    j = base.crossJoin(F.broadcast(means))
+    j = with_scalars(base, means)
     expected = F.col("__avg_cost") * ratio(F.col(driver_col), F.col("__avg_drv"))
     rel = ratio(F.abs(F.col("total_cost_brl") - expected), F.col("__avg_cost"))
     return j.select(*base.columns, rel.alias("rel_diff"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plantwise.functions.quantiles import quantiles
+from plantwise.functions.scalars import with_scalars
 from plantwise.functions.stats import kurt_sample, skew_sample
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -136,7 +137,7 @@ def dq_summary(df: DataFrame, kpi_col: str, site_col: str = "site_code",
         F.count_if(c.isNull()).alias("nulls"),
         F.round(F.lit(100.0) * F.count_if(c.isNull()) / F.count(F.lit(1)), 2).alias("null_pct"),
         F.count_if(c < 0).alias("negs"), F.count_if(c == 0).alias("zeros"))
-    return base.crossJoin(duplicate_rows_on(df, keys).withColumnRenamed("dup_rows", "dup_keys"))
+    return with_scalars(base, duplicate_rows_on(df, keys).withColumnRenamed("dup_rows", "dup_keys"))
 
 
 def trend_series(df: DataFrame, cols: Sequence[str], group: str = "site_code",
@@ -166,7 +167,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], method: str = "auto") -> DataF
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """Equal-width bins between the column's min and max (max in the last bin)."""
     lim = df.agg(F.min(col).alias("__lo"), F.max(col).alias("__hi"))
-    j = df.where(F.col(col).isNotNull()).crossJoin(F.broadcast(lim))
+    j = with_scalars(df.where(F.col(col).isNotNull()), lim)
     pos = F.floor((F.col(col) - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * bins) + 1
     b = F.when(F.col("__hi") == F.col("__lo"), F.lit(1)).otherwise(F.least(pos, F.lit(bins))) \
         .cast("int")

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from plantwise.functions.dates import day_lag, month_lag
 from plantwise.functions.jsonx import json_object, key_text
+from plantwise.functions.scalars import one_row
 from plantwise.operators import kpi as K
 from plantwise.operators.star import Star
 
@@ -70,8 +71,9 @@ def qa_assert(frame: DataFrame, rule_id: str, ok: Column, message: Column,
                         F.current_timestamp().alias("run_ts"))
 
 
-def _cross(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.crossJoin(b), frames)
+def _one_row(frames: list[DataFrame]) -> DataFrame:
+    """One row from several one-row aggregates (scalar subqueries)."""
+    return one_row(frames[0].sparkSession, frames)
 
 
 def _txt(*parts) -> Column:
@@ -105,7 +107,7 @@ def _as_of(as_of) -> Column:
 def rule_counts(star: Star) -> DataFrame:
     names = ["dim_date", "dim_site", "dim_line", "dim_product",
              "fact_costs", "fact_manufacturing", "fact_energy"]
-    row = _cross([getattr(star, n).agg(F.count(F.lit(1)).alias(n)) for n in names])
+    row = _one_row([getattr(star, n).agg(F.count(F.lit(1)).alias(n)) for n in names])
     ok = reduce(lambda a, b: a & b, [F.col(n) > 0 for n in names])
     parts = []
     for i, n in enumerate(names):
@@ -143,7 +145,7 @@ def rule_dim_keys_not_null(star: Star) -> DataFrame:
                            F.count_if(F.col("site_code").isNull() | F.col("line_code").isNull())
                            .alias("e"))
     p = star.dim_product.agg(F.count_if(F.col("product_code").isNull()).alias("d"))
-    row = _cross([s, ln, p])
+    row = _one_row([s, ln, p])
     ok = (F.col("a") == 0) & (F.col("e") == 0) & (F.col("d") == 0)
     msg = _txt("nulls(dim_site.site_code)=", _s("a"), "; nulls(dim_line.site_code)=", _s("b"),
                "; nulls(dim_line.line_code)=", _s("c"),
@@ -159,7 +161,7 @@ def _dups(dim: DataFrame, keys: list[str], key_expr: Column, name: str) -> DataF
 
 
 def rule_dim_duplicates(star: Star) -> DataFrame:
-    row = _cross([
+    row = _one_row([
         _dups(star.dim_site, ["site_code"], F.col("site_code"), "dup_site"),
         _dups(star.dim_line, ["site_code", "line_code"], key_text("site_code", "line_code"),
               "dup_line"),
@@ -239,7 +241,7 @@ def _fk_rule(star: Star, fact: DataFrame, checks: list[tuple], rid: str) -> Data
         cname = "missing_" + key
         frames.append(orphans(fact, dim, keys, expr, cname, lname))
         names.append((cname, lname))
-    row = _cross(frames)
+    row = _one_row(frames)
     ok = reduce(lambda a, b: a & b, [F.col(c) == 0 for c, _ in names])
     parts = []
     for i, (c, _) in enumerate(names):
@@ -315,7 +317,7 @@ def rule_kpi_range(star: Star, kpi_frames: dict[str, DataFrame] | None = None) -
     e = k["kpi_energy_per_unit"].agg(F.count_if((F.col("kwh_per_unit") < 0)
                                                 | (F.col("kwh_per_unit") > KPI_MAX)).alias("c2"))
     f = k["kpi_fx_effect"].agg(F.count_if(F.abs("fx_effect_ratio") > FX_MAX_ABS).alias("c3"))
-    row = _cross([c, e, f]).select((F.col("c1") + F.col("c2") + F.col("c3")).alias("c"))
+    row = _one_row([c, e, f]).select((F.col("c1") + F.col("c2") + F.col("c3")).alias("c"))
     return qa_assert(row, "R13_KPI_VALID_RANGE", F.col("c") == 0,
                      _txt("KPIs fora de faixa = ", _s("c")))
 
@@ -477,7 +479,7 @@ def run_suite(star: Star, as_of=None, meta_digits: int | None = None,
     # R1: dimension sizes and fact row counts
     dims = ["dim_date", "dim_site", "dim_line", "dim_product"]
     facts = {"fact_costs": c, "fact_manufacturing": mk, "fact_energy": e}
-    row = _cross([getattr(ks, n).agg(F.count(F.lit(1)).alias(n)) for n in dims]
+    row = _one_row([getattr(ks, n).agg(F.count(F.lit(1)).alias(n)) for n in dims]
                  + [f.agg(F.coalesce(F.sum("n"), F.lit(0)).alias(n)) for n, f in facts.items()])
     names = dims + list(facts)
     parts = []
@@ -519,7 +521,7 @@ def run_suite(star: Star, as_of=None, meta_digits: int | None = None,
             dim, cols, expr, lname = dim_spec[k]
             frames.append(_weighted_orphans(kt, dim, cols, expr, "missing_" + k, lname))
             cn.append(("missing_" + k, lname))
-        row = _cross(frames)
+        row = _one_row(frames)
         msg = []
         for i, (cname, _) in enumerate(cn):
             msg += (["; "] if i else []) + [f"{cname}=", _s(cname)]
