@@ -19,7 +19,7 @@ from plantwise.functions.dates import date_key_parts, month_start_of_key
 from plantwise.functions.quantiles import MAX_IN_MEMORY_GROUP, quantiles
 from plantwise.functions.ranking import rank_rows
 from plantwise.functions.safe import ratio
-from plantwise.functions.scalars import one_row, with_scalars
+from plantwise.functions.scalars import with_scalars
 
 MERGE_KEYS = ["date_key", "site_code", "y", "m"]
 KPI_COLS = ["cost_per_unit", "kwh_per_unit", "fx_effect_ratio"]
@@ -211,8 +211,7 @@ def add_robust_features(df: DataFrame, cols: Sequence[str] = IMP_COLS,
     dev = with_scalars(df, med).select(*[F.abs(F.col(c) - F.col(f"__med_{c}")).alias(c) for c in cols])
     mad = _group_stats_wide(dev, cols, [], [0.5], ["mad"], method)
     sd = df.agg(*[F.stddev_samp(c).alias(f"__sd_{c}") for c in cols])
-    stats = one_row(df.sparkSession, [med, mad, sd])
-    out = with_scalars(df, stats)
+    out = with_scalars(with_scalars(with_scalars(df, med), mad), sd)
     for c in cols:
         scale = F.when(F.col(f"__mad_{c}") != 0, F.col(f"__mad_{c}")) \
             .when(F.col(f"__sd_{c}") > 0, F.col(f"__sd_{c}")).otherwise(F.lit(1.0))
