@@ -181,3 +181,20 @@ def with_parsed_time(df: DataFrame, col: str) -> DataFrame:
 def wide_to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str],
                  name: str = "kpi", value: str = "value") -> DataFrame:
     return df.unpivot(list(ids), list(values), name, value)
+
+
+def check_required(df: DataFrame, domain: str, min_rows: int = 1) -> DataFrame:
+    """One row: missing required columns of the domain, row count and a
+    verdict (declared minimum-rows / required-columns expectations)."""
+    missing = [c for c in REQUIRED[domain] if c not in df.columns]
+    row = df.agg(F.count(F.lit(1)).alias("rows"))
+    return row.select(
+        F.lit(domain).alias("domain"),
+        F.array(*[F.lit(c) for c in missing]).cast("array<string>").alias("missing_columns"),
+        "rows", ((F.col("rows") >= min_rows) & F.lit(not missing)).alias("ok"))
+
+
+def localize_to_utc(df: DataFrame, col: str, tz: str) -> DataFrame:
+    """Interpret naive wall-clock times of ``col`` in the source time zone
+    and convert them to UTC."""
+    return df.withColumn(col, F.to_utc_timestamp(F.col(col), tz))

@@ -207,3 +207,26 @@ def deterministic_sample(df: DataFrame, n: int = 500, keys: Sequence[str] | None
 
 def union_distinct(frames: Sequence[DataFrame], col: str = "site_code") -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [f.select(col) for f in frames]).distinct()
+
+
+def describe_all(df: DataFrame, method: str = "auto") -> DataFrame:
+    """Every column in one long table: numeric statistics for numeric
+    columns, count / unique / top / freq for text columns (nulls elsewhere)."""
+    num = describe(df, method=method) if numeric_columns(df) else None
+    txt = describe_strings(df) if string_columns(df) else None
+    parts = []
+    if num is not None:
+        parts.append(num.drop("position").withColumn("unique", F.lit(None).cast("long"))
+                     .withColumn("top", F.lit(None).cast("string"))
+                     .withColumn("freq", F.lit(None).cast("long")))
+    if txt is not None:
+        parts.append(txt)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
+
+
+def preview(df: DataFrame, n: int = 20) -> DataFrame:
+    """First ``n`` rows (a report preview; the limit is the feature)."""
+    return df.limit(n)

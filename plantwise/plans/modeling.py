@@ -55,3 +55,12 @@ def run(features: DataFrame, target: str = TARGET, rf_trees: int = 600,
 def best_model(board: DataFrame) -> str | None:
     r = board.where(F.col("RMSE").isNotNull()).orderBy("RMSE").limit(1).collect()
     return r[0]["model"] if r else None
+
+
+def export_splits(train: DataFrame, test: DataFrame, out_dir: str) -> dict[str, str]:
+    """Write the train and test frames as parquet (``train`` / ``test``)."""
+    import os
+    paths = {"train": os.path.join(out_dir, "train"), "test": os.path.join(out_dir, "test")}
+    train.write.mode("overwrite").parquet(paths["train"])
+    test.write.mode("overwrite").parquet(paths["test"])
+    return paths

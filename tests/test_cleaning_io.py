@@ -102,3 +102,12 @@ def test_medallion_end_to_end(spark, tmpdir_path):
     silver = spark.read.parquet(out["energy"]["silver"])
     assert sorted(r.kwh for r in silver.collect()) == [0.0, 5.0]
     assert spark.read.parquet(f"{tmpdir_path}/gold/energy").count() == 2
+
+
+def test_required_check_and_tz(spark):
+    df = spark.createDataFrame([("2025-01-01 12:00:00", "S")], "timestamp string, site_code string")
+    r = C.check_required(df, "energy").first()
+    assert r.missing_columns == ["line_code", "equip_code", "kwh"] and r.ok is False
+    ts = df.withColumn("timestamp", F.to_timestamp("timestamp"))
+    out = C.localize_to_utc(ts, "timestamp", "America/Sao_Paulo").first().timestamp
+    assert out.hour == 15

@@ -69,3 +69,10 @@ def test_regression_metrics(spark):
     assert M.mape_masked(z).first().MAPE == pytest.approx(0.0)
     lim = M.joint_limits(df).first()
     assert (lim.lo, lim.hi) == (1.0, 4.0)
+
+
+def test_describe_all_and_preview(spark):
+    df = spark.createDataFrame([(1.0, "a"), (3.0, "a"), (None, "b")], "x double, s string")
+    d = {r.column: r for r in P.describe_all(df).collect()}
+    assert d["x"]["count"] == 2 and d["x"].mean == 2.0 and d["s"].top == "a" and d["s"].unique == 2
+    assert P.preview(df, 2).count() == 2
