@@ -107,11 +107,20 @@ def series_order(date_col: str = "month_start", tie: str = "date_key") -> list[C
 
 def add_lag_roll(df: DataFrame, col: str, group: str = "site_code",
                  order: Sequence[Column] | None = None, window: int = 3,
-                 min_periods: int = 2) -> DataFrame:
+                 min_periods: int = 2, method: str = "window") -> DataFrame:
     """``<col>_lag1`` (previous row) and ``<col>_roll3`` (mean of the last
     ``window`` rows incl. the current one, null below ``min_periods``
-    non-null values) within each group."""
+    non-null values) within each group.
+
+    ``method="window"``: a window per group -- right when a group is bounded
+    (the KPI table holds one row per day and site).  ``method="ranked"``:
+    rows get a distributed rank within their group and the previous rows are
+    fetched by equi-joins on (group, rank - k), which hash-spread even a
+    group holding a large share of all rows over many tasks.
+    """
     order = list(order) if order is not None else series_order()
+    if method == "ranked":
+        return _lag_roll_ranked(df, col, group, order, window, min_periods)
     w = Window.partitionBy(group).orderBy(*order)
     wr = w.rowsBetween(-(window - 1), 0)
     return (df.withColumn(f"{col}_lag1", F.lag(col, 1).over(w))
@@ -119,6 +128,26 @@ def add_lag_roll(df: DataFrame, col: str, group: str = "site_code",
                         F.when(F.count(col).over(wr) >= min_periods, F.avg(col).over(wr))))
 
 
+def _lag_roll_ranked(df: DataFrame, col: str, group: str, order: Sequence[Column],
+                     window: int, min_periods: int) -> DataFrame:
+    r = rank_rows(df, order, by=[group], name="__lr_rank")
+    base = r.select(F.col(group).alias("__lr_g"), F.col("__lr_rank").alias("__lr_src"),
+                    F.col(col).alias("__lr_v"))
+    out = r
+    for k in range(1, window):
+        prev = base.select(F.col("__lr_g").alias(group),
+                           (F.col("__lr_src") + k).alias("__lr_rank"),
+                           F.col("__lr_v").alias(f"__lr_p{k}"))
+        out = out.join(prev, [group, "__lr_rank"], "left")
+    vals = [F.col(col)] + [F.col(f"__lr_p{k}") for k in range(1, window)]
+    n = sum((F.when(v.isNotNull(), 1).otherwise(0) for v in vals[1:]),
+            F.when(vals[0].isNotNull(), 1).otherwise(0))
+    total = sum((F.coalesce(v, F.lit(0.0)) for v in vals[1:]), F.coalesce(vals[0], F.lit(0.0)))
+    out = out.withColumn(f"{col}_lag1", F.col("__lr_p1") if window > 1 else F.lit(None)) \
+        .withColumn(f"{col}_roll{window}", F.when(n >= min_periods, total / n))
+    return out.drop("__lr_rank", *[f"__lr_p{k}" for k in range(1, window)])
+
+
 def flag_outliers_3sigma(df: DataFrame, col: str, by: Sequence[str] | None = None,
                          k: float = SIGMA_K) -> DataFrame:
     """z = (x - mean) / sample std (globally or per group); outlier if |z| > k.

@@ -118,3 +118,14 @@ def test_split_and_folds_sizes(spark):
     sizes = {(r.fold, r.role): r["count"] for r in f.groupBy("fold", "role").count().collect()}
     assert [sizes[(i, "test")] for i in range(5)] == [100] * 5
     assert [sizes[(i, "train")] for i in range(5)] == [100, 200, 300, 400, 500]
+
+
+def test_lag_roll_ranked_matches_window(spark):
+    df = _series(spark).withColumn("month_start", F.make_date("y", "m", F.lit(1)))
+    a = {(r.site_code, r.date_key): (r.x_lag1, r.x_roll3) for r in W.add_lag_roll(df, "x").collect()}
+    b = {(r.site_code, r.date_key): (r.x_lag1, r.x_roll3)
+         for r in W.add_lag_roll(df, "x", method="ranked").collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k][0] == b[k][0]
+        assert (a[k][1] is None and b[k][1] is None) or abs(a[k][1] - b[k][1]) < 1e-12
