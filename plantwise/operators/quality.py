@@ -51,7 +51,17 @@ MAX_DAY_LAG = 3
 RECON_TOLERANCE = 0.05
 KPI_MAX = 1e7
 FX_MAX_ABS = 1
+# Message texts of the rule results ("<name>=<count>" parts are
+# joined with "; ").
+MSG_SEPARATOR = "; "
+MSG_MONTH_LAG = " month(s) lag"
+MSG_DAY_LAG = " day(s) lag"
+MSG_NULL_KEYS = ["nulls(dim_site.site_code)=", "nulls(dim_line.site_code)=",
+                 "nulls(dim_line.line_code)=", "nulls(dim_product.product_code)="]
+MSG_DUPLICATES = ["dup_site=", "dup_line=", "dup_prod="]
+MSG_INVALID_ROWS = "rows_invalid="
 RECON_MESSAGE = "Máx. desvio relativo = "
+MSG_KPI_RANGE = "KPIs fora de faixa = "
 
 RESULT_SCHEMA = "rule_id string, ok boolean, message string, meta string, run_ts timestamp"
 
@@ -84,6 +94,14 @@ def _s(c: str) -> Column:
     return F.col(c).cast("string")
 
 
+def _joined(labels: list[str], cols: list[str]) -> Column:
+    """``label1<v1>; label2<v2>; ...``."""
+    parts = []
+    for i, (lab, c) in enumerate(zip(labels, cols)):
+        parts += ([MSG_SEPARATOR] if i else []) + [lab, _s(c)]
+    return _txt(*parts)
+
+
 def _sorted_keys(key: Column, include: Column) -> Column:
     """Aggregate: sorted distinct keys (nulls first) of rows where ``include``;
     null when there are none."""
@@ -111,7 +129,7 @@ def rule_counts(star: Star) -> DataFrame:
     ok = reduce(lambda a, b: a & b, [F.col(n) > 0 for n in names])
     parts = []
     for i, n in enumerate(names):
-        parts += (["; "] if i else []) + [f"{n}=", _s(n)]
+        parts += ([MSG_SEPARATOR] if i else []) + [f"{n}=", _s(n)]
     return qa_assert(row, "R1_COUNTS", ok, _txt(*parts))
 
 
@@ -129,9 +147,9 @@ def rule_freshness(star: Star, which: str, as_of=None) -> DataFrame:
     mx = _max_date(fact, star.dim_date)
     today = _as_of(as_of)
     if unit == "month":
-        lag, limit, label = month_lag("max_date", today), MAX_MONTH_LAG, " month(s) lag"
+        lag, limit, label = month_lag("max_date", today), MAX_MONTH_LAG, MSG_MONTH_LAG
     else:
-        lag, limit, label = day_lag("max_date", today), MAX_DAY_LAG, " day(s) lag"
+        lag, limit, label = day_lag("max_date", today), MAX_DAY_LAG, MSG_DAY_LAG
     return qa_assert(mx, rid, lag <= limit, _txt(lag.cast("string"), label),
                      json_object(max_date=F.col("max_date")))
 
@@ -147,9 +165,7 @@ def rule_dim_keys_not_null(star: Star) -> DataFrame:
     p = star.dim_product.agg(F.count_if(F.col("product_code").isNull()).alias("d"))
     row = _one_row([s, ln, p])
     ok = (F.col("a") == 0) & (F.col("e") == 0) & (F.col("d") == 0)
-    msg = _txt("nulls(dim_site.site_code)=", _s("a"), "; nulls(dim_line.site_code)=", _s("b"),
-               "; nulls(dim_line.line_code)=", _s("c"),
-               "; nulls(dim_product.product_code)=", _s("d"))
+    msg = _joined(MSG_NULL_KEYS, ["a", "b", "c", "d"])
     return qa_assert(row, "R3_DIM_KEYS_NOT_NULL", ok, msg)
 
 
@@ -168,8 +184,7 @@ def rule_dim_duplicates(star: Star) -> DataFrame:
         _dups(star.dim_product, ["product_code"], F.col("product_code"), "dup_prod"),
     ])
     ok = (F.col("n_dup_site") == 0) & (F.col("n_dup_line") == 0) & (F.col("n_dup_prod") == 0)
-    msg = _txt("dup_site=", _s("n_dup_site"), "; dup_line=", _s("n_dup_line"),
-               "; dup_prod=", _s("n_dup_prod"))
+    msg = _joined(MSG_DUPLICATES, ["n_dup_site", "n_dup_line", "n_dup_prod"])
     meta = json_object(dup_site=F.col("dup_site"), dup_line=F.col("dup_line"),
                        dup_prod=F.col("dup_prod"))
     return qa_assert(row, "R4_DIM_DUPLICATES", ok, msg, meta)
@@ -196,7 +211,7 @@ def energy_invalid(fe: DataFrame) -> Column:
 
 def _domain(fact: DataFrame, pred: Column, rid: str) -> DataFrame:
     row = fact.agg(F.count_if(pred).alias("c"))
-    return qa_assert(row, rid, F.col("c") == 0, _txt("rows_invalid=", _s("c")))
+    return qa_assert(row, rid, F.col("c") == 0, _txt(MSG_INVALID_ROWS, _s("c")))
 
 
 def rule_domain_costs(star: Star) -> DataFrame:
@@ -245,7 +260,7 @@ def _fk_rule(star: Star, fact: DataFrame, checks: list[tuple], rid: str) -> Data
     ok = reduce(lambda a, b: a & b, [F.col(c) == 0 for c, _ in names])
     parts = []
     for i, (c, _) in enumerate(names):
-        parts += (["; "] if i else []) + [f"{c}=", _s(c)]
+        parts += ([MSG_SEPARATOR] if i else []) + [f"{c}=", _s(c)]
     meta_fields = {}
     for _, lname in names:
         col = F.col(lname)
@@ -319,7 +334,7 @@ def rule_kpi_range(star: Star, kpi_frames: dict[str, DataFrame] | None = None) -
     f = k["kpi_fx_effect"].agg(F.count_if(F.abs("fx_effect_ratio") > FX_MAX_ABS).alias("c3"))
     row = _one_row([c, e, f]).select((F.col("c1") + F.col("c2") + F.col("c3")).alias("c"))
     return qa_assert(row, "R13_KPI_VALID_RANGE", F.col("c") == 0,
-                     _txt("KPIs fora de faixa = ", _s("c")))
+                     _txt(MSG_KPI_RANGE, _s("c")))
 
 
 # ------------------------------------------------------------------ the suite
@@ -484,7 +499,7 @@ def run_suite(star: Star, as_of=None, meta_digits: int | None = None,
     names = dims + list(facts)
     parts = []
     for i, n in enumerate(names):
-        parts += (["; "] if i else []) + [f"{n}=", _s(n)]
+        parts += ([MSG_SEPARATOR] if i else []) + [f"{n}=", _s(n)]
     r1 = qa_assert(row, "R1_COUNTS", reduce(lambda a, b: a & b, [F.col(n) > 0 for n in names]),
                    _txt(*parts))
 
@@ -495,15 +510,15 @@ def run_suite(star: Star, as_of=None, meta_digits: int | None = None,
         mx = _max_date(kt, ks.dim_date)
         today = _as_of(as_of)
         if unit == "month":
-            lag, limit, label = month_lag("max_date", today), MAX_MONTH_LAG, " month(s) lag"
+            lag, limit, label = month_lag("max_date", today), MAX_MONTH_LAG, MSG_MONTH_LAG
         else:
-            lag, limit, label = day_lag("max_date", today), MAX_DAY_LAG, " day(s) lag"
+            lag, limit, label = day_lag("max_date", today), MAX_DAY_LAG, MSG_DAY_LAG
         fresh.append(qa_assert(mx, rid, lag <= limit, _txt(lag.cast("string"), label),
                                json_object(max_date=F.col("max_date"))))
 
     # R5..R7: invalid rows counted during the key aggregation
     dom = [qa_assert(kt.agg(F.coalesce(F.sum("bad"), F.lit(0)).alias("c")), rid,
-                     F.col("c") == 0, _txt("rows_invalid=", _s("c")))
+                     F.col("c") == 0, _txt(MSG_INVALID_ROWS, _s("c")))
            for rid, kt in (("R5_DOMAIN_COSTS", c), ("R6_DOMAIN_MANU", mk), ("R7_DOMAIN_ENERGY", e))]
 
     # R8..R10: orphans, weighted by the fact rows behind each key
@@ -524,7 +539,7 @@ def run_suite(star: Star, as_of=None, meta_digits: int | None = None,
         row = _one_row(frames)
         msg = []
         for i, (cname, _) in enumerate(cn):
-            msg += (["; "] if i else []) + [f"{cname}=", _s(cname)]
+            msg += ([MSG_SEPARATOR] if i else []) + [f"{cname}=", _s(cname)]
         meta = {ln: (F.transform(F.col(ln), lambda x: x.cast("int")) if ln == "bad_date_keys"
                      else F.col(ln)) for _, ln in cn}
         fk.append(qa_assert(row, rid, reduce(lambda a, b: a & b, [F.col(x) == 0 for x, _ in cn]),

@@ -23,6 +23,7 @@ BASE_FEATURES = [
     "cost_per_unit_imp_roll3", "kwh_per_unit_imp_roll3", "fx_effect_ratio_imp_roll3",
     "m", "site_code",
 ]
+# Helper columns dropped once the features exist.
 DROP_AFTER_FEATURES = [
     "cost_per_unit", "date_cost", "month_start_cost",
     "kwh_per_unit", "date_energy", "month_start_energy",
