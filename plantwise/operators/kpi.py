@@ -77,6 +77,40 @@ def kpi_energy_per_unit(fe: DataFrame, fm: DataFrame, dd: DataFrame | None) -> D
                     _dratio("__pair_l", "__pair_units").alias("kwh_per_unit"))
 
 
+def key_sums(fc: DataFrame, fm: DataFrame, fe: DataFrame) -> dict[str, DataFrame]:
+    """Per (date_key, site) row counts and sums of each fact -- everything
+    the three KPIs need, one aggregation per fact.  Bounded by days x sites."""
+    return {
+        "costs": fc.groupBy(*KEYS).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("amount_br").alias("s"),
+            F.sum(F.col("amount_br").cast("double") - F.col("amount_fx") * F.col("fx_rate"))
+            .alias("s_fx")),
+        "manufacturing": fm.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"),
+                                               F.sum("units_ok").alias("s")),
+        "energy": fe.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n"),
+                                        F.sum("kwh_day").alias("s")),
+    }
+
+
+def kpis_from_key_sums(keys: dict[str, DataFrame], dd: DataFrame | None = None
+                       ) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three KPIs (same rows as the per-fact operators) from
+    :func:`key_sums`; each fact's sums are read once per KPI."""
+    c, m, e = keys["costs"], keys["manufacturing"], keys["energy"]
+
+    def pair(left: DataFrame, name: str) -> DataFrame:
+        j = with_calendar(left.select("date_key", "site_code", F.col("s").alias("__ls"),
+                                      F.col("n").alias("__ln")), dd) \
+            .join(m.select("date_key", "site_code", F.col("s").alias("__ms"),
+                           F.col("n").alias("__mn")), KEYS, "left")
+        num = F.col("__ls") * F.greatest(F.coalesce(F.col("__mn"), F.lit(0)), F.lit(1))
+        den = F.col("__ln") * F.col("__ms")
+        return j.select("date_key", "y", "m", "site_code", _dratio(num, den).alias(name))
+
+    fx = c.select("date_key", "site_code", _dratio("s_fx", "s").alias("fx_effect_ratio"))
+    return pair(c, "cost_per_unit"), pair(e, "kwh_per_unit"), fx
+
+
 def kpi_fx_effect(fc: DataFrame) -> DataFrame:
     """SUM(amount_br - amount_fx*fx_rate) / NULLIF(SUM(amount_br), 0)."""
     return fc.groupBy(*KEYS).agg(

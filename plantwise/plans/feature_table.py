@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantwise.functions.materialize import materialize
+from plantwise.functions.materialize import materialize, materialize_all
 from plantwise.operators import features as W
 from plantwise.operators import kpi as K
 from plantwise.operators.star import Star
@@ -33,10 +33,16 @@ LAG_ROLL_COLS = W.IMP_COLS
 OUTLIER_KEYS = ["site_code", "m"]
 
 
-def kpi_frames(star: Star) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return (K.kpi_cost_per_unit(star.fact_costs, star.fact_manufacturing, star.calendar()),
-            K.kpi_energy_per_unit(star.fact_energy, star.fact_manufacturing, star.calendar()),
-            K.kpi_fx_effect(star.fact_costs))
+def kpi_frames(star: Star, shared: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Cost, energy and FX KPIs.  ``shared``: each fact is aggregated once per
+    (date, site) into a small table (materialised, the three jobs run
+    concurrently) and all KPIs are derived from those."""
+    if not shared:
+        return (K.kpi_cost_per_unit(star.fact_costs, star.fact_manufacturing, star.calendar()),
+                K.kpi_energy_per_unit(star.fact_energy, star.fact_manufacturing, star.calendar()),
+                K.kpi_fx_effect(star.fact_costs))
+    keys = materialize_all(K.key_sums(star.fact_costs, star.fact_manufacturing, star.fact_energy))
+    return K.kpis_from_key_sums(keys, star.calendar())
 
 
 def consolidated(star: Star, materialized: bool = False) -> DataFrame:

@@ -82,3 +82,13 @@ def test_energy_kpi_and_recon(spark):
     base = K.recon_base(st.fact_costs, st.fact_manufacturing, "units_ok", st.dim_date)
     dev = K.recon_deviation(base).collect()
     assert len(dev) == 1 and dev[0].rel_diff == 0.0   # a single group deviates from nothing
+
+
+def test_kpis_from_key_sums_equal_operators(spark):
+    st = _facts(spark)
+    a = [K.kpi_cost_per_unit(st.fact_costs, st.fact_manufacturing, st.dim_date),
+         K.kpi_energy_per_unit(st.fact_energy, st.fact_manufacturing, st.dim_date),
+         K.kpi_fx_effect(st.fact_costs)]
+    b = K.kpis_from_key_sums(K.key_sums(st.fact_costs, st.fact_manufacturing, st.fact_energy))
+    for x, y in zip(a, b):
+        assert sorted(map(tuple, x.collect()), key=str) == sorted(map(tuple, y.collect()), key=str)
