@@ -46,9 +46,15 @@ def lenient_long(c, fill: int | None = None) -> Column:
 
 
 def lenient_timestamp(c, formats=TIMESTAMP_FORMATS) -> Column:
-    """Parse text into a timestamp; unparseable text becomes null."""
+    """Parse text into a wall-clock ``timestamp_ntz``; unparseable text is null.
+
+    ISO text goes through ``try_cast`` to ``timestamp_ntz`` (no time zone is
+    involved, so the result does not depend on the session zone); the other
+    layouts are tried in order after it.
+    """
     s = F.trim(_c(c).cast("string"))
-    tries = [F.try_to_timestamp(s)] + [F.try_to_timestamp(s, F.lit(f)) for f in formats]
+    tries = [s.try_cast("timestamp_ntz")] + [
+        F.try_to_timestamp(s, F.lit(f)).cast("timestamp_ntz") for f in formats]
     return F.coalesce(*tries)
 
 

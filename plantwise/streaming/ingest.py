@@ -49,7 +49,11 @@ def energy_daily_stream(silver_energy: DataFrame, lateness: str = "1 day") -> Da
     passes the end of the day, so append mode emits each key exactly once and
     state for closed days is dropped.
     """
-    s = silver_energy.where(F.col("timestamp").isNotNull()).withWatermark("timestamp", lateness)
+    # event time must be a TIMESTAMP: silver wall-clock times are read in
+    # the session time zone
+    s = silver_energy.where(F.col("timestamp").isNotNull()) \
+        .withColumn("timestamp", F.col("timestamp").cast("timestamp")) \
+        .withWatermark("timestamp", lateness)
     agg = s.groupBy(F.window("timestamp", "1 day").alias("day"), "site_code", "line_code",
                     "equip_code").agg(F.sum("kwh").alias("kwh_day"),
                                       F.max(F.col("kw_demand").try_cast("double"))
