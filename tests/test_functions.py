@@ -126,3 +126,16 @@ def test_ranked_quantiles_consistent_under_sampling(spark):
     r = rank_rows(df, ["v", "g"]).select("row_rank").agg(
         F.min("row_rank"), F.max("row_rank"), F.countDistinct("row_rank")).first()
     assert tuple(r) == (0, n - 1, n)
+
+
+def test_parsing_is_session_zone_independent(spark):
+    from plantwise.plans.registry import ntz_text
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        # midnight of a historical DST start: not a valid local time there
+        df = spark.createDataFrame([("1995-10-15",), ("1995-10-15 00:00:00.5",)], "s string")
+        r = df.select(ntz_text(S.lenient_timestamp("s")).alias("t")).collect()
+        assert [x.t for x in r] == ["1995-10-15 00:00:00.000000", "1995-10-15 00:00:00.500000"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
