@@ -59,3 +59,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def scale_conf(input_bytes: int, total_cores: int,
+               partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Partition sizing for a given input volume and cluster size.
+
+    Scan splits and post-shuffle partitions target ``partition_bytes`` (a
+    size a task sorts and aggregates in executor memory without heavy
+    spill); the initial shuffle partition count covers the input at that
+    size and at least two waves of the cluster's cores, and AQE coalesces
+    partitions that turn out small and splits skewed ones.  For 100 TB on
+    1000 executors x 8 cores: ~410k initial partitions, 256 MB splits.
+    """
+    import math
+    n = max(2 * total_cores, math.ceil(input_bytes / partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }

@@ -139,3 +139,11 @@ def test_parsing_is_session_zone_independent(spark):
         assert [x.t for x in r] == ["1995-10-15 00:00:00.000000", "1995-10-15 00:00:00.500000"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_scale_conf():
+    from plantwise.session import scale_conf
+    big = scale_conf(100 * 1024 ** 4, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    small = scale_conf(10 * 1024 ** 2, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
