@@ -24,6 +24,13 @@ REQUIRED = {
     "manufacturing": ["date", "site_code", "line_code", "product_code", "units_ok"],
     "costs": ["ref_month", "site_code", "account_code", "amount_br"],
 }
+# Further measure columns of each domain, numeric in the source
+# files (parsed leniently: bad text becomes null, no fill).
+NUMERIC_EXTRA = {
+    "energy": ["kw_demand", "kvarh"],
+    "manufacturing": ["takt_time_s"],
+    "costs": ["amount_fx"],
+}
 DIAGNOSTIC_SUFFIXES = ("_mean", "_std", "_z", "_is_outlier", "_cap")
 ALL_SITES = "(all)"
 
@@ -64,6 +71,13 @@ def transform_energy(raw: DataFrame, datetime_col: str = "timestamp") -> DataFra
         .withColumn("dt", F.date_trunc("day", F.col("timestamp")))
     if "kwh" in df.columns:
         df = df.withColumn("kwh", clip(lenient_double("kwh", 0.0), lo=0.0))
+    return _numeric_extras(df, "energy")
+
+
+def _numeric_extras(df: DataFrame, domain: str) -> DataFrame:
+    for c in NUMERIC_EXTRA[domain]:
+        if c in df.columns:
+            df = df.withColumn(c, lenient_double(c))
     return df
 
 
@@ -76,7 +90,7 @@ def transform_manufacturing(raw: DataFrame) -> DataFrame:
             df = df.withColumn(c, lenient_long(c, 0))
     if "oee" in df.columns:
         df = df.withColumn("oee", clip(lenient_double("oee"), 0.0, 1.0))
-    return df
+    return _numeric_extras(df, "manufacturing")
 
 
 def transform_costs(raw: DataFrame) -> DataFrame:
@@ -86,7 +100,7 @@ def transform_costs(raw: DataFrame) -> DataFrame:
         .withColumn("amount_br", lenient_double("amount_br", 0.0))
     if "fx_rate" in df.columns:
         df = df.withColumn("fx_rate", lenient_double("fx_rate", 0.0))
-    return df
+    return _numeric_extras(df, "costs")
 
 
 TRANSFORMS = {"energy": transform_energy, "manufacturing": transform_manufacturing,

@@ -98,10 +98,18 @@ def test_medallion_end_to_end(spark, tmpdir_path):
            "sources": {"energy": {"path": f"{src}/energy/*.csv", "datetime_col": "timestamp"},
                        "manufacturing": {"path": f"{src}/manuf/*.csv"},
                        "costs": {"path": f"{src}/costs/*.csv"}}}
-    out = MD.run_etl(spark, cfg, domains=["energy"])
-    silver = spark.read.parquet(out["energy"]["silver"])
-    assert sorted(r.kwh for r in silver.collect()) == [0.0, 5.0]
+    out = MD.run_etl(spark, cfg)
+    silver = {d: spark.read.parquet(p["silver"]) for d, p in out.items()}
+    assert sorted(r.kwh for r in silver["energy"].collect()) == [0.0, 5.0]
     assert spark.read.parquet(f"{tmpdir_path}/gold/energy").count() == 2
+    # silver -> star -> full rule suite, end to end
+    from plantwise.operators.star import build_star
+    from plantwise.plans.validation import run_validation
+    star = build_star(silver["costs"], silver["manufacturing"], silver["energy"])
+    res = {r.rule_id: r for r in run_validation(spark, star, database=None,
+                                                 as_of="2025-04-30")["results"].collect()}
+    assert len(res) == 15 and res["R6_DOMAIN_MANU"].ok and res["R5_DOMAIN_COSTS"].ok
+    assert res["R1_COUNTS"].message.endswith("fact_energy=1")
 
 
 def test_required_check_and_tz(spark):
