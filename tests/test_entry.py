@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from plantwise.plans import registry
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 from oracle_check import rows_of  # noqa: E402
@@ -21,9 +22,9 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    q, o = E.queries(), E.oracle_sql()
-    assert set(o) <= set(q)
-    assert set(q) - set(o) == ROWS_ONLY
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(registry.ORACLE) <= set(registry.QUERIES) <= set(E.queries())
+    assert set(registry.QUERIES) - set(registry.ORACLE) == ROWS_ONLY
 
 
 @pytest.fixture(scope="module")
@@ -34,7 +35,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     """Every registered query equals its DuckDB twin on the sf0.001 tables
     (columns, row count and normalised values)."""
