@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from plantwise.llm import host_rules, warc
 from plantwise.llm.common import read_table
+from plantwise.llm.packing import pack
 from plantwise.llm.token_counts import token_counts
 from plantwise.llm.token_files import token_files
 
@@ -15,7 +19,20 @@ def op6_token_counts(spark, sf_dir):
     return token_counts(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_token_files, op6_token_counts)}
+def op7_quality_rules(spark, sf_dir):
+    out = host_rules.quality_rules(read_table(spark, sf_dir, "documents"))
+    return out.withColumn("host_rate", F.floor(F.col("host_rate") * 1e6 + 0.5) / 1e6)
+
+
+def op9_warc(spark, sf_dir):
+    return warc.warc_round_trip(read_table(spark, sf_dir, "pages"))
+
+
+def op10_packing(spark, sf_dir):
+    return pack(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op4_token_files, op6_token_counts, op7_quality_rules, op9_warc, op10_packing)}
 
 #: DuckDB text of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_quality_rules": host_rules.ORACLE, "op9_warc": warc.ORACLE}
