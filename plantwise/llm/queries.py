@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 from plantwise.llm import host_rules, warc
 from plantwise.llm.common import read_table
 from plantwise.llm.packing import pack
+from plantwise.llm.simhash import simhash_groups
 from plantwise.llm.token_counts import token_counts
 from plantwise.llm.token_files import token_files
 
 
+def op3_simhash(spark, sf_dir):
+    return simhash_groups(read_table(spark, sf_dir, "documents"))
+
+
 def op4_token_files(spark, sf_dir):
     return token_files(read_table(spark, sf_dir, "documents"))
 
@@ -32,7 +37,7 @@ def op10_packing(spark, sf_dir):
     return pack(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_token_files, op6_token_counts, op7_quality_rules, op9_warc, op10_packing)}
+QUERIES = {f.__name__: f for f in (op3_simhash, op4_token_files, op6_token_counts, op7_quality_rules, op9_warc, op10_packing)}
 
 #: DuckDB text of the queries that SQL can express.
 ORACLE: dict[str, str] = {"op7_quality_rules": host_rules.ORACLE, "op9_warc": warc.ORACLE}
