@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plantwise.llm import host_rules, warc
+from plantwise.llm import host_rules, warc, winnowing
 from plantwise.llm.common import read_table
 from plantwise.llm.packing import pack
 from plantwise.llm.simhash import simhash_groups
@@ -29,6 +29,10 @@ def op7_quality_rules(spark, sf_dir):
     return out.withColumn("host_rate", F.floor(F.col("host_rate") * 1e6 + 0.5) / 1e6)
 
 
+def op8_decontamination(spark, sf_dir):
+    return winnowing.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op9_warc(spark, sf_dir):
     return warc.warc_round_trip(read_table(spark, sf_dir, "pages"))
 
@@ -37,7 +41,7 @@ def op10_packing(spark, sf_dir):
     return pack(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op4_token_files, op6_token_counts, op7_quality_rules, op9_warc, op10_packing)}
+QUERIES = {f.__name__: f for f in (op3_simhash, op4_token_files, op6_token_counts, op7_quality_rules, op8_decontamination, op9_warc, op10_packing)}
 
 #: DuckDB text of the queries that SQL can express.
-ORACLE: dict[str, str] = {"op7_quality_rules": host_rules.ORACLE, "op9_warc": warc.ORACLE}
+ORACLE: dict[str, str] = {"op7_quality_rules": host_rules.ORACLE, "op8_decontamination": winnowing.ORACLE, "op9_warc": warc.ORACLE}
