@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plantwise.llm import host_rules, warc, winnowing
+from plantwise.llm import host_rules, substring_dedup, suffix_dedup, warc, winnowing
 from plantwise.llm.common import read_table
 from plantwise.llm.packing import pack
 from plantwise.llm.simhash import simhash_groups
@@ -12,6 +12,14 @@ from plantwise.llm.token_counts import token_counts
 from plantwise.llm.token_files import token_files
 
 
+def op1_substring_dedup(spark, sf_dir):
+    return substring_dedup.substring_dedup(read_table(spark, sf_dir, "documents"))
+
+
+def op2_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark, sf_dir):
     return simhash_groups(read_table(spark, sf_dir, "documents"))
 
@@ -41,7 +49,7 @@ def op10_packing(spark, sf_dir):
     return pack(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash, op4_token_files, op6_token_counts, op7_quality_rules, op8_decontamination, op9_warc, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_simhash, op4_token_files, op6_token_counts, op7_quality_rules, op8_decontamination, op9_warc, op10_packing)}
 
 #: DuckDB text of the queries that SQL can express.
-ORACLE: dict[str, str] = {"op7_quality_rules": host_rules.ORACLE, "op8_decontamination": winnowing.ORACLE, "op9_warc": warc.ORACLE}
+ORACLE: dict[str, str] = {"op1_substring_dedup": substring_dedup.ORACLE, "op7_quality_rules": host_rules.ORACLE, "op8_decontamination": winnowing.ORACLE, "op9_warc": warc.ORACLE}

@@ -64,6 +64,11 @@ class Windows:
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * self.down[start] + (end - start).astype(np.uint64) * _R2)
 
+    def every(self, size: int) -> np.ndarray:
+        """Hashes of all stretches of ``size`` elements."""
+        n = len(self.sums) - size
+        return mix((self.sums[size:] - self.sums[:n]) * self.down[:n] + np.uint64(size) * _R2)
+
 
 def window_starts(count: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Places in the flat array at which a window of ``size`` elements of one
