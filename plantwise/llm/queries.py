@@ -8,6 +8,7 @@ from plantwise.llm import host_rules, substring_dedup, suffix_dedup, warc, winno
 from plantwise.llm.common import read_table
 from plantwise.llm.packing import pack
 from plantwise.llm.simhash import simhash_groups
+from plantwise.llm.site_quality import site_quality
 from plantwise.llm.token_counts import token_counts
 from plantwise.llm.token_files import token_files
 
@@ -28,6 +29,10 @@ def op4_token_files(spark, sf_dir):
     return token_files(read_table(spark, sf_dir, "documents"))
 
 
+def op5_site_quality(spark, sf_dir):
+    return site_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op6_token_counts(spark, sf_dir):
     return token_counts(read_table(spark, sf_dir, "documents"))
 
@@ -49,7 +54,7 @@ def op10_packing(spark, sf_dir):
     return pack(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_simhash, op4_token_files, op6_token_counts, op7_quality_rules, op8_decontamination, op9_warc, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_simhash, op4_token_files, op5_site_quality, op6_token_counts, op7_quality_rules, op8_decontamination, op9_warc, op10_packing)}
 
 #: DuckDB text of the queries that SQL can express.
 ORACLE: dict[str, str] = {"op1_substring_dedup": substring_dedup.ORACLE, "op7_quality_rules": host_rules.ORACLE, "op8_decontamination": winnowing.ORACLE, "op9_warc": warc.ORACLE}

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -288,3 +289,27 @@ def simhash_groups(docs: DataFrame, size: int = 4, max_bits: int = 4, seed: int
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = stages.write(rooted.join(names, "root").select("fp", "component_id"), "named")
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, size: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The input rows, all columns, with one document of each group of near
+    duplicates: that with the least id (null ids last), of rows repeated with it
+    any one."""
+    marks = [F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))).alias("__pw_a"),
+             F.xxhash64(F.lit("__pw"), F.coalesce(F.col(text_col), F.lit("")), F.col(id_col)).alias("__pw_b")]
+    stages = Stages(docs.sparkSession, "simhash")
+    src = docs.select(F.struct(F.col(id_col).cast("string").alias("id"), F.col(id_col).isNull().alias("none"), *marks).alias("row"), F.col(text_col).alias("text"))
+    marked = stages.write(fingerprints(src, size, id_col="row"), "fingerprints")
+    fps = stages.write(marked.select("fp").distinct(), "distinct")
+    roots = stages.write(fingerprint_components(fps, stages, max_bits), "roots")
+    kind = docs.schema[id_col].dataType
+    order = F.struct(F.col("doc_id.none").alias("none"), F.col("doc_id.id").cast(kind).alias("id"), F.col("doc_id.__pw_a").alias("a"), F.col("doc_id.__pw_b").alias("b"))
+    least = marked.groupBy("fp").agg(F.min(order).alias("least"))  # combined before any join: copies cost one row a task
+    chosen = (least.join(roots, least["fp"] == roots["node"], "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("least").alias("least"))
+              .select(F.col("least.a").alias("__pw_ca"), F.col("least.b").alias("__pw_cb")))
+    chosen = stages.write(chosen, "chosen")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    rows = docs.select(*own, *marks)
+    kept = rows.join(chosen, (rows["__pw_a"] == chosen["__pw_ca"]) & (rows["__pw_b"] == chosen["__pw_cb"]), "left_semi")
+    nth = F.row_number().over(W.partitionBy("__pw_a", "__pw_b").orderBy("__pw_a"))
+    return kept.withColumn("__pw_n", nth).filter("__pw_n = 1").select(*own)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plantwise.llm.common import Stages, byte_slices
+from plantwise.llm.common import Stages, byte_slices, keyed_texts
 from plantwise.llm.wordhash import Windows, hash_words, selected, window_starts
 
 WINDOW = 13
@@ -82,12 +82,12 @@ def _filter(keys: DataFrame) -> np.ndarray:
 
 
 def _candidates(docs: DataFrame, bits: np.ndarray, short: list[int], window: int, gram: int, id_col: str, text_col: str) -> DataFrame:
-    """``_id, n_words, cand`` of every document; ``cand``: its distinct windows
+    """``_id, _key, n_words, cand`` of every document; ``cand``: its distinct windows
     whose fingerprint passes the filter, with their first words."""
-    src = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    src = keyed_texts(docs, id_col, text_col)
     table = docs.sparkSession.sparkContext.broadcast(bits)
     cand = T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in ("size", "fp", "win")] + [T.StructField("starts", T.ArrayType(T.IntegerType()))]))
-    schema = T.StructType([T.StructField("_id", src.schema["_id"].dataType), T.StructField("n_words", T.LongType()), T.StructField("cand", cand)])
+    schema = T.StructType([T.StructField("_id", src.schema["_id"].dataType), T.StructField("_key", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("cand", cand)])
     arrow = pa.list_(pa.struct([("size", pa.int64()), ("fp", pa.int64()), ("win", pa.int64()), ("starts", pa.list_(pa.int32()))]))
 
     def run(batches):
@@ -99,8 +99,8 @@ def _candidates(docs: DataFrame, bits: np.ndarray, short: list[int], window: int
             return np.flatnonzero((bit[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
 
         for batch in batches:
-            for part in byte_slices(batch, 1):
-                h, count = words_of(part.column(1).cast(pa.binary()).to_pylist())
+            for part in byte_slices(batch, 2):
+                h, count = words_of(part.column(2).cast(pa.binary()).to_pylist())
                 found = [{} for _ in range(len(count))]
                 first = np.cumsum(count) - count
                 for size in [window, *short]:
@@ -117,13 +117,14 @@ def _candidates(docs: DataFrame, bits: np.ndarray, short: list[int], window: int
                     for o, s, f, w in zip(owner.tolist(), start.tolist(), fp.view(np.int64).tolist(), win.view(np.int64).tolist()):
                         found[o].setdefault((size, f, w), []).append(s)
                 rows = [[{"size": a, "fp": b, "win": c, "starts": s} for (a, b, c), s in x.items()] for x in found]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(count), pa.array(rows, arrow)], names=["_id", "n_words", "cand"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(count), pa.array(rows, arrow)], names=["_id", "_key", "n_words", "cand"])
 
     return src.mapInArrow(run, schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text_col: str = "text", one_in: int = 20) -> DataFrame:
+                  item_col: str = "item_id", item_text_col: str = "text", one_in: int = 20,
+                  with_key: bool = False) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated`` of every
     document: words inside an occurrence of a benchmark window, items with
     occurring windows, and whether at least one word in ``one_in`` is hit.
@@ -149,14 +150,23 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     per_doc = hits.groupBy("_row").agg(F.collect_set(F.struct("size", "starts")).alias("spans"), F.collect_set("item").alias("items"))
     words = F.flatten(F.transform("spans", lambda x: F.flatten(F.transform(x["starts"], lambda s: F.sequence(s, s + x["size"].cast("int") - 1)))))
     per_doc = per_doc.select(F.col("_row").alias("_of"), F.size(F.array_distinct(words)).cast("long").alias("n"), "items")
-    out = marked.select("_row", "_id", "n_words").join(per_doc, F.col("_row") == F.col("_of"), "left")
+    out = marked.select("_row", "_id", "_key", "n_words").join(per_doc, F.col("_row") == F.col("_of"), "left")
     items = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n", F.lit(0).cast("long"))
-    return out.select(F.col("_id").alias("doc_id"), "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+    return out.select(F.col("_id").alias("doc_id"), *(["_key"] if with_key else []), "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
                       F.sha2(F.array_join(F.array_sort(items), ","), 256).alias("items_sha256"),
                       ((n_hit > 0) & (one_in * n_hit >= F.col("n_words"))).alias("contaminated"))
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The input rows, all columns, that aren't contaminated."""
+    bad = contamination(docs, benchmark, id_col=id_col, text_col=text_col, with_key=True).filter("contaminated")
+    stages = Stages(docs.sparkSession, "decontamination")
+    bad = stages.write(bad.select(F.col("doc_id").alias("__pw_id"), F.col("_key").alias("__pw_key")).distinct(), "contaminated")
+    key = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
+    return docs.join(bad, docs[id_col].eqNullSafe(bad["__pw_id"]) & (key == bad["__pw_key"]), "left_anti")
+
+
 #: The same rows by DuckDB, window by window.
 ORACLE = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower_az(text), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
