@@ -122,11 +122,14 @@ def keep_by_rules(docs: DataFrame, text_col: str = "text", host_col: str = "sour
     unless the rejected hosts are too many for a size-checked broadcast."""
     stages = Stages(docs.sparkSession, "quality-rules")
     src = docs.select(F.col(host_col).alias("_host"), F.col(text_col).alias("_text"))
-    digest = rule_counts(src, F.col("_text")).drop("_text").withColumn("_failed", any_failed()).select("_host", "_failed")
+    digest = rule_counts(src, F.col("_text")).drop("_text").withColumn("_failed", any_failed())
     verdicts = host_verdicts(stages.write(digest, "digest"), max_host_rate)
     rejected = stages.write(verdicts.filter(~F.col("host_ok")).select("_host"), "rejected")
     own = [F.col(f"`{c}`") for c in docs.columns]
-    kept = rule_counts(docs, F.col(text_col)).filter(~base_failed()).select(*own)
+    # The row number keeps the optimizer from moving the filter below the counts,
+    # where it would repeat their expressions inside each other.
+    counted = rule_counts(docs, F.col(text_col)).withColumn("_at", F.monotonically_increasing_id())
+    kept = counted.filter(~base_failed() & (F.col("_at") >= 0)).select(*own)
     return kept.join(rejected, kept[host_col].eqNullSafe(rejected["_host"]), "left_anti")
 
 
