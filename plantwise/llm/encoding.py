@@ -14,7 +14,7 @@ of a text are gathered from the results:
   which begins pieces and never occurs inside one.
 
 Stretches that begin or end with white space (runs of spaces, a space beside a
-line break) are not safe; their texts are cut only at single spaces between
+line break, two line breaks) are not safe; their texts are cut only at single spaces between
 two other characters and encoded without the memo.  A tokenizer whose files
 don't show one of these forms gets whole texts.
 """
@@ -31,7 +31,7 @@ import numpy as np
 from plantwise.llm.common import ranges
 
 #: Distinct stretches kept per worker (about 200 bytes each); beyond it the memo starts anew.
-MEMO_PIECES = 500_000
+MEMO_PIECES = 1_000_000
 #: Texts with longer stretches are encoded without the memo, so its size is bounded in bytes too.
 MEMO_CHARS = 200
 #: Stretches sent to the library in one call.
@@ -40,20 +40,22 @@ CALL_PIECES = 20_000
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 
+#: Marks a stretch that no space precedes; texts that contain it go the plain way.
+_MARK = "\x01"
+
+
 class _Memo(dict):
-    """Stretch -> slot, -1 for one that can't stand alone.  The first stretch of
-    a text has the key ``(stretch,)``."""
+    """Stretch -> slot, -1 for one that can't stand alone."""
 
     def __init__(self, unsafe):
         super().__init__()
         self.fresh, self.unsafe = [], unsafe
 
-    def __missing__(self, key):
-        piece = key[0] if type(key) is tuple else key
+    def __missing__(self, piece):
         if len(piece) > MEMO_CHARS or self.unsafe(piece):
             return -1
-        slot = self[key] = len(self)
-        self.fresh.append(key)
+        slot = self[piece] = len(self)
+        self.fresh.append(piece)
         return slot
 
 
@@ -63,7 +65,7 @@ class Encoder:
     padding; special strings inside a text as the library treats them."""
 
     def __init__(self, path: str):
-        self.lead, self.unsafe = False, None
+        self.lead, self.blank, self.unsafe = False, False, None
         if path.endswith(".model"):
             import sentencepiece
 
@@ -85,13 +87,27 @@ class Encoder:
             pre = spec.get("pre_tokenizer") or {}
             if not any(t.get("lstrip") or t.get("rstrip") or re.search(r"\s", t["content"]) for t in spec.get("added_tokens") or []):
                 if spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
-                    self.lead, self.unsafe = True, lambda p: not p or p[0].isspace() or p[-1].isspace()
+                    self.lead, self.unsafe = True, self._cannot_stand
                 elif pre.get("type") == "Sequence" and pre["pretokenizers"][0].get("invert") and "\\s" in json.dumps(pre["pretokenizers"][0]):
-                    self.unsafe = lambda p: False
+                    self.blank, self.unsafe = True, lambda p: False
         self._reset()
         if self.unsafe and not self._agrees():
             self.unsafe = None
 
+    @staticmethod
+    def _cannot_stand(p: str) -> bool:
+        if p == "\n":
+            return False
+        p = p.removeprefix(_MARK)
+        return not p or p[0].isspace() or p[-1].isspace() or _MARK in p
+
+    def _cut(self, text: str) -> list[str]:
+        if self.lead and _MARK in text:
+            return [""]
+        if self.lead:  # a line break between two other characters is a stretch of its own
+            return (_MARK + text.replace("\n", f" \n {_MARK}")).split(" ")
+        return (text.replace("\n", " ") if self.blank else text).split(" ")
+
     def _reset(self):
         self.memo = _Memo(self.unsafe)
         self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -106,7 +122,7 @@ class Encoder:
         sizes, parts = [], []
         for k in range(0, len(fresh), CALL_PIECES):
             keys = fresh[k:k + CALL_PIECES]
-            texts = [x[0] if type(x) is tuple else f" {x}" if self.lead else x for x in keys]
+            texts = [x if x == "\n" else x[1:] if x[0] == _MARK else f" {x}" for x in keys] if self.lead else keys
             for ids in self.call(texts):
                 sizes.append(len(ids))
                 parts.extend(ids)
@@ -123,11 +139,8 @@ class Encoder:
         that have to go to the library as they are."""
         if len(self.memo) > MEMO_PIECES:
             self._reset()
-        parts = [t.split(" ") for t in texts]
+        parts = [self._cut(t) for t in texts]
         count = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-        if self.lead:
-            for p in parts:
-                p[0] = (p[0],) if p[0] else ""
         slots = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(parts)), dtype=np.int64, count=int(count.sum()))
         if self.memo.fresh:
             self._learn()
