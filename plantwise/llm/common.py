@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import gc
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,9 @@ from pyspark.sql import functions as F
 from plantwise.session import ensure_checkpoint_dir
 
 #: Bytes of text that one vectorised step inside a task works on at a time.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 1 << 20
+#: Bytes of an Arrow batch between the JVM and Python.
+BATCH_BYTES = 8 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,7 +59,8 @@ class Stages:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
-        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        with small_batches(self.spark):
+            df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         release(self.spark)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -68,6 +72,19 @@ class Stages:
             p.getFileSystem(conf).delete(p, True)
 
 
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Arrow batches of ``BATCH_BYTES`` while a job runs: JVM and Python hold
+    each batch several times, and texts differ in length by 10^5."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of finished jobs now: it
     waits for the driver's garbage collection, which a small driver heap may

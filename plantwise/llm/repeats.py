@@ -61,6 +61,11 @@ class Unit:
         if self.gram < 1 or self.span < 1 or 2 * self.span + self.gram > self.length + 1:
             raise ValueError("2 * span + gram must not exceed length + 1")
 
+    @property
+    def step(self) -> int:
+        """Bytes of text whose tokens a task holds as arrays at a time."""
+        return 1 << 20 if self.words else 1 << 19
+
     def hashes(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(token hashes of all texts, tokens of each)."""
         if self.words:
@@ -175,7 +180,7 @@ def _edges(docs: DataFrame, unit: Unit) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in byte_slices(batch, 2):
+            for part in byte_slices(batch, 2, unit.step):
                 places = Places(unit, _each(part.column(2)))
                 rows = pa.array(places.long)
                 off, flat = _lists([places.edges(d) for d in places.long], pa.int64())
@@ -194,12 +199,15 @@ def _repeated_edges(held: DataFrame, stages: Stages, paths: bool) -> DataFrame:
     does not branch if the first is always followed by the second and the
     second always preceded by the first.
     """
-    flat = held.select("_row", F.posexplode("edges").alias("at", "edge"), "edges")
-    after, before = F.get("edges", F.col("at") + 1), F.get("edges", F.col("at") - 1)
+    flat = held.select("_row", F.posexplode("edges").alias("at", "edge"))
     if paths:
-        # Ends of documents count as a way of their own (null: 0).
-        flat = flat.select("_row", "at", "edge", F.coalesce(after, F.lit(0)).alias("after"), F.coalesce(before, F.lit(0)).alias("before"))
-        seen = flat.groupBy("edge").agg(F.count(F.lit(1)).alias("n"), F.min("after").alias("a1"), F.max("after").alias("a2"),
+        # Ends of documents count as a way of their own (0).
+        none = F.array(F.lit(0).cast("long"))
+        after = F.concat(F.slice("edges", 2, F.greatest(F.size("edges") - 1, F.lit(0))), none)
+        before = F.concat(none, F.slice("edges", 1, F.greatest(F.size("edges") - 1, F.lit(0))))
+        ways = F.arrays_zip(F.col("edges").alias("edge"), after.alias("after"), before.alias("before"))
+        ways = held.select(F.explode(ways).alias("x")).select("x.*").toDF("edge", "after", "before")
+        seen = ways.groupBy("edge").agg(F.count(F.lit(1)).alias("n"), F.min("after").alias("a1"), F.max("after").alias("a2"),
                                         F.min("before").alias("b1"), F.max("before").alias("b2")).filter("n > 1")
         # A joint is straight if its first edge has one way out and its second one way in.
         ways = seen.select("edge", F.when((F.col("a1") == F.col("a2")) & (F.col("a1") != 0), F.col("a1")).alias("next"), (F.col("b1") == F.col("b2")).alias("one_in"))
@@ -207,9 +215,8 @@ def _repeated_edges(held: DataFrame, stages: Stages, paths: bool) -> DataFrame:
         into = ways.filter("one_in").select(F.col("edge").alias("next"), F.lit(True).alias("joined"))
         graph = ways.join(into, "next", "left").select("edge", F.coalesce("joined", F.lit(False)).alias("through"))
     else:
-        flat = flat.select("_row", "at", "edge")
         graph = flat.groupBy("edge").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("edge", F.lit(False).alias("through"))
-    found = flat.select("_row", "at", "edge").join(graph, "edge")
+    found = flat.join(graph, "edge")
     # A place and its flag in one number: at * 2 + through.
     per = found.groupBy("_row").agg(F.collect_list(F.col("at") * 2 + F.col("through").cast("int")).alias("at"))
     return held.select("_row", "_id", "_key").join(per, "_row").select("_id", "_key", "at")
@@ -225,7 +232,7 @@ def _segments(docs: DataFrame, unit: Unit, paths: bool) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in byte_slices(batch, 2, 1 << 20):
+            for part in byte_slices(batch, 2, unit.step):
                 places = Places(unit, _each(part.column(2)))
                 marks, cols, sizes = part.column(3).to_pylist(), [[] for _ in range(6)], np.zeros(part.num_rows, np.int64)
                 for d in range(part.num_rows):
@@ -256,7 +263,7 @@ def _windows(docs: DataFrame, unit: Unit) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in byte_slices(batch, 1, 1 << 20):
+            for part in byte_slices(batch, 1, unit.step):
                 places = Places(unit, _each(part.column(1)))
                 todo = part.column(2)
                 s, t, alone = (todo.flatten().field(k).to_numpy(zero_copy_only=False) for k in range(3))
@@ -333,7 +340,7 @@ def map_texts(docs: DataFrame, row: Callable[[bytes, np.ndarray, np.ndarray], tu
 
     def run(batches):
         for batch in batches:
-            for part in byte_slices(batch, 1):
+            for part in byte_slices(batch, 1, 1 << 20):
                 out = [row(t, *merged(s)) for t, s in zip(_each(part.column(1)), part.column(2).to_pylist())]
                 cols = [pa.array(c) for c in zip(*out)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *cols], names=["doc_id", *(f.name for f in fields)])

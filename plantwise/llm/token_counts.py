@@ -14,7 +14,7 @@ from plantwise.llm.encoding import encoder, vocabulary
 
 
 def token_counts(docs: DataFrame, vocab: str = "piece_bpe_32k.model", limit: int = 4096,
-                 id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = 4 << 20) -> DataFrame:
+                 id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = 1 << 20) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` of every document.
 
     An Arrow function returns one length per text; the ids never leave the

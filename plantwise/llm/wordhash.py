@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Distinct words remembered per worker; beyond it new words are hashed each time.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 200_000
 _R1, _R2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
