@@ -24,8 +24,10 @@ def json_list_or_null(arr) -> Column:
 
 
 def percent_text(x, digits: int = 2) -> Column:
-    """``round(x*100, digits) || '%'``."""
-    return F.concat(F.round(_c(x) * 100, digits).cast("string"), F.lit("%"))
+    """``round(x*100, digits) || '%'`` in plain notation (``80.0%``), whatever
+    the magnitude."""
+    text = F.round(_c(x) * 100, digits).cast(f"decimal(38,{digits})").cast("string")
+    return F.concat(F.regexp_replace(text, r"(\.\d+?)0+$", "$1"), F.lit("%"))
 
 
 def key_text(*cols) -> Column:

@@ -2,57 +2,62 @@
 
 Spark's ``percentile`` keeps a value->count map per group and merges it in a
 single task, so one hot group (or a global median) over a fact table would
-land in one task.  Here quantiles come from global ranks instead:
-
-1. range-partition the non-null values on (group keys, value) and sort inside
-   each partition, so even a group holding a third of all rows is spread over
-   many tasks;
-2. count rows per (group, partition) -- a table of at most
-   ``partitions + groups`` rows -- and turn it into per-partition rank offsets;
-3. a row's rank in its group is offset + its index inside the partition;
-4. keep only the (at most two per probability) ranks each group needs and
-   interpolate ``lo + (hi - lo) * frac`` like ``quantile_cont``.
-
-Ties do not matter (equal values have equal ranks' values), so the result is
-deterministic even though tie order inside a partition is not.  For very
-large groups where an approximation is acceptable ``method="approx"`` uses
-``percentile_approx``.  Rows with a null group key are dropped (pandas
-``groupby`` semantics).
+land in one task.  Here one algorithm serves every size, as a lazy plan:
+
+1. values are counted per (group, value), combined before the shuffle, so a
+   value that fills a third of the rows is one row;
+2. counts are summed into ordered buckets of the value's logarithm
+   (``_OCTAVE`` to a doubling), and running sums over the buckets of a group
+   name the bucket that holds each wanted rank;
+3. inside those buckets the step is repeated with ``_CELLS`` equally wide
+   cells between the bucket's least and greatest value;
+4. a cell has at most 2^20 different doubles, and their running counts give
+   the values at the wanted ranks, interpolated like ``quantile_cont``.
+
+Windows run over buckets, cells or one cell's values, whose numbers are bounded
+by the format of doubles, never over a group's rows.  Where an approximation is
+enough, ``method="approx"`` uses ``percentile_approx``.  Rows with a null group
+key are dropped (pandas ``groupby`` semantics).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plantwise.functions.materialize import materialize
-from plantwise.functions.scalars import with_scalars
 
-_V, _PID, _LI, _R = "__q_v", "__q_pid", "__q_li", "__q_r"
+_V, _N, _B, _C, _R = "__q_v", "__q_n", "__q_b", "__q_c", "__q_r"
+#: Buckets to a doubling of the magnitude, and cells of a bucket.
+_OCTAVE, _CELLS = 1024, 1 << 22
+#: More than any magnitude's bucket below zero.
+_SHIFT = 1100 * _OCTAVE
 
 
 def _default_names(probs: Sequence[float]) -> list[str]:
     return [f"q{int(round(p * 1000)):04d}" for p in probs]
 
 
-# Largest group (values) for which Spark's in-memory exact ``percentile``
-# aggregate is used by ``method="auto"``; bigger groups take the ranked path.
-MAX_IN_MEMORY_GROUP = 2_000_000
+def _bucket(v: Column) -> Column:
+    """A bucket number that never falls as ``v`` grows."""
+    size = F.floor(F.log2(F.abs(v)) * _OCTAVE) + _SHIFT
+    return F.when(v == 0, F.lit(0).cast("long")).when(v > 0, size).otherwise(-size)
+
+
+def _cell(v: Column) -> Column:
+    """The cell of a value between its bucket's ``__q_lo`` and ``__q_hi``."""
+    lo, hi = F.col("__q_lo"), F.col("__q_hi")
+    return F.when(hi > lo, F.floor((v - lo) / (hi - lo) * _CELLS)).otherwise(F.lit(0).cast("long"))
 
 
 def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-              names: Sequence[str] | None = None, method: str = "auto",
-              accuracy: int = 100000, max_group: int = MAX_IN_MEMORY_GROUP) -> DataFrame:
+              names: Sequence[str] | None = None, method: str = "exact",
+              accuracy: int = 100000) -> DataFrame:
     """One row per group (``by``) with one column per probability.
 
-    ``method``: ``exact`` (distributed ranks, any group size), ``percentile``
-    (Spark's exact aggregate: one group's values are held by one task),
-    ``approx`` (``percentile_approx``) or ``auto`` -- measure the largest
-    group first (one small aggregation) and use ``percentile`` only when it
-    is at most ``max_group`` values, else ``exact``.
-    With ``by=()`` the result has exactly one row (nulls on empty input).
+    ``method``: ``exact`` or ``approx`` (``percentile_approx``).  With
+    ``by=()`` the result has exactly one row (nulls on empty input).
     """
     by = list(by)
     names = list(names) if names else _default_names(probs)
@@ -61,17 +66,6 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]
     for k in by:
         base = base.where(F.col(k).isNotNull())
 
-    if method == "auto":
-        sizes = base.groupBy(*by).count() if by else base.groupBy().count()
-        largest = sizes.agg(F.max("count")).first()[0] or 0
-        method = "percentile" if largest <= max_group else "exact"
-
-    if method == "percentile":
-        arr = F.percentile(F.col(_V), F.array(*[F.lit(float(p)) for p in probs]))
-        out = (base.groupBy(*by).agg(arr.alias("__q_arr")) if by
-               else base.agg(arr.alias("__q_arr")))
-        return out.select(*by, *[F.col("__q_arr")[i].alias(n) for i, n in enumerate(names)])
-
     if method == "approx":
         arr = F.percentile_approx(_V, list(probs), accuracy)
         out = (base.groupBy(*by).agg(arr.alias("__q_arr")) if by
@@ -80,45 +74,44 @@ def quantiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str]
     if method != "exact":
         raise ValueError(f"unknown method {method!r}")
 
-    spark = df.sparkSession
-    nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = base.repartitionByRange(nparts, *by, _V).sortWithinPartitions(*by, _V)
-    pid = F.spark_partition_id()
-    indexed = ordered.withColumn(_PID, pid).withColumn(
-        _LI, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
-    # Offsets and row indices must come from the same physical partitioning:
-    # two independently planned range shuffles may sample different bounds.
-    indexed = materialize(indexed, "quantile-ranks")
-
-    blocks = indexed.groupBy(*by, _PID).agg(F.min(_LI).alias("__q_b0"), F.count("*").alias("__q_bn"))
-    w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy(_PID)
-    offsets = blocks.withColumn(
-        "__q_off", F.coalesce(F.sum("__q_bn").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                              F.lit(0)))
-    counts = blocks.groupBy(*by).agg(F.sum("__q_bn").alias("__q_n"))
+    values = base.withColumn(_V, F.col(_V) + 0.0).groupBy(*by, _V).agg(F.count(F.lit(1)).alias(_N))
+    values = values.withColumn(_B, _bucket(F.col(_V)))
 
-    # ranks each group needs: floor and ceil of p*(n-1) for every p
-    rank_exprs = []
-    for p in probs:
-        pos = F.lit(float(p)) * (F.col("__q_n") - 1)
-        rank_exprs += [F.floor(pos), F.ceil(pos)]
-    targets = counts.select(*by, F.explode(F.array_distinct(F.array(*rank_exprs))).alias(_R))
+    def running(keys, order):
+        return F.sum(_N).over(Window.partitionBy(*keys).orderBy(order).rowsBetween(
+            Window.unboundedPreceding, Window.currentRow))
 
-    ranked = indexed.join(offsets.select(*by, _PID, "__q_b0", "__q_off"), [*by, _PID]) \
-        .select(*by, _V, (F.col("__q_off") + F.col(_LI) - F.col("__q_b0")).alias(_R))
-    picked = ranked.join(targets, [*by, _R]).groupBy(*by).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(_R), F.col(_V)))).alias("__q_map"))
+    def holds(rank):   # the row whose running sum passes the rank
+        return (F.col(rank) >= F.col("__q_cum") - F.col(_N)) & (F.col(rank) < F.col("__q_cum"))
 
-    res = counts.join(picked, by, "left") if by else with_scalars(counts, picked)
+    # ranks each group needs: floor and ceil of p*(n-1) for every p
+    total = F.sum(_N).over(Window.partitionBy(*by))
+    ranks = []
+    for p in probs:
+        pos = F.lit(float(p)) * (F.col("__q_total") - 1)
+        ranks += [F.floor(pos), F.ceil(pos)]
+    buckets = values.groupBy(*by, _B).agg(F.sum(_N).alias(_N), F.min(_V).alias("__q_lo"),
+                                          F.max(_V).alias("__q_hi"))
+    buckets = (buckets.withColumn("__q_cum", running(by, _B)).withColumn("__q_total", total)
+               .withColumn(_R, F.explode(F.array_distinct(F.array(*ranks)))).where(holds(_R))
+               .select(*by, _B, "__q_lo", "__q_hi", "__q_total", _R,
+                       (F.col(_R) - (F.col("__q_cum") - F.col(_N))).alias("__q_rest")))
+    inside = values.join(buckets, [*by, _B]).withColumn(_C, _cell(F.col(_V)))
+    keys = [*by, _R]
+    cells = inside.groupBy(*keys, _C, "__q_rest").agg(F.sum(_N).alias(_N))
+    cells = (cells.withColumn("__q_cum", running(keys, _C)).where(holds("__q_rest"))
+             .select(*keys, _C, (F.col("__q_rest") - (F.col("__q_cum") - F.col(_N))).alias("__q_left")))
+    found = inside.join(cells, [*keys, _C]).withColumn("__q_cum", running(keys, _V)).where(holds("__q_left"))
+    picked = found.groupBy(*by).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col(_R), F.col(_V)))).alias("__q_map"),
+        F.max("__q_total").alias("__q_total"))
     cols = []
     for p, n in zip(probs, names):
-        pos = F.lit(float(p)) * (F.col("__q_n") - 1)
+        pos = F.lit(float(p)) * (F.col("__q_total") - 1)
         lo = F.element_at("__q_map", F.floor(pos))
         hi = F.element_at("__q_map", F.ceil(pos))
-        frac = pos - F.floor(pos)
-        cols.append(F.when(F.col("__q_n") > 0, lo + (hi - lo) * frac).alias(n))
-    # a global aggregate always yields one row, so by=() gives one row
-    return res.select(*by, *cols)
+        cols.append(F.when(F.col("__q_total") > 0, lo + (hi - lo) * (pos - F.floor(pos))).alias(n))
+    return picked.select(*by, *cols)
 
 
 def median(df: DataFrame, col: str, by: Sequence[str] = (), name: str = "median",

@@ -178,8 +178,17 @@ def recon_deviation(base: DataFrame, driver_col: str = "total_units") -> DataFra
 def cost_composition_check(df: DataFrame, total: str, parts: list[str],
                            tol: float = 0.005) -> DataFrame:
     """Rows where total differs from the sum of its parts by more than tol
-    (relative) -- the reconciliation the docs declare (D2)."""
+    (relative; a total of 0 beside non-zero parts differs without bound) -- the
+    reconciliation the docs declare (D2)."""
     s = sum((F.coalesce(F.col(p), F.lit(0.0)) for p in parts[1:]),
             F.coalesce(F.col(parts[0]), F.lit(0.0)))
-    rel = ratio(F.abs(F.col(total) - s), F.abs(F.col(total)))
-    return df.withColumn("composition_rel_diff", rel).where(F.col("composition_rel_diff") > tol)
+    gap = F.abs(F.col(total) - s)
+    rel = F.when(gap == 0, F.lit(0.0)).otherwise(F.coalesce(ratio(gap, F.abs(F.col(total))), F.lit(float("inf"))))
+    return df.withColumn("composition_rel_diff", rel).where(F.col(total).isNotNull() & (F.col("composition_rel_diff") > tol))
+
+
+def cost_composition_monthly(df: DataFrame, total: str, parts: list[str], by: list[str],
+                             tol: float = 0.001) -> DataFrame:
+    """The same per month (``by``): sums that differ by more than 0.1 %."""
+    sums = df.groupBy(*by).agg(*[F.sum(F.coalesce(F.col(c), F.lit(0.0))).alias(c) for c in [total, *parts]])
+    return cost_composition_check(sums, total, parts, tol)

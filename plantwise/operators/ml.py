@@ -12,13 +12,12 @@ from __future__ import annotations
 
 import json
 import os
-import zlib
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +28,8 @@ from plantwise.functions.ranking import rank_rows
 from plantwise.operators.metrics import regression_metrics
 
 FEATURES = "features"
+# One-hot columns that a categorical may become; more is an error, never a cut.
+MAX_LEVELS = 10_000
 
 
 # ------------------------------------------------------------- preprocessing
@@ -78,7 +79,7 @@ class PreprocessModel:
 
 
 def fit_preprocess(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str],
-                   scaler: str | None = "robust", method: str = "auto") -> PreprocessModel:
+                   scaler: str | None = "robust", method: str = "exact") -> PreprocessModel:
     """Fit median imputation + scaling (``robust``: divide by IQR, no
     centring; ``standard``: centre and divide by the population std) and
     most-frequent imputation + level lists for the categoricals."""
@@ -104,7 +105,9 @@ def fit_preprocess(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[st
                 m.scales[c] = mom[f"s_{i}"] or 1.0
     for c in cat_cols:
         freq = df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("v")).count()
-        rows = freq.orderBy(F.desc("count"), "v").collect()   # one row per level
+        rows = freq.orderBy(F.desc("count"), "v").limit(MAX_LEVELS + 1).collect()
+        if len(rows) > MAX_LEVELS:
+            raise ValueError(f"{c} has more than {MAX_LEVELS} levels; one-hot columns are not for such a column")
         m.modes[c] = rows[0]["v"] if rows else None
         m.levels[c] = sorted(r["v"] for r in rows)
     return m
@@ -172,7 +175,7 @@ def leaderboard(prep: PreprocessModel, train: DataFrame, test: DataFrame, target
                                                               F.lit(None).cast("string").alias("error")))
         except Exception as e:  # noqa: BLE001 -- a failing model is a leaderboard row
             rows.append(spark.createDataFrame(
-                [(name, str(e)[:500])], "model string, error string"))
+                [(name, str(e))], "model string, error string"))
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r, allowMissingColumns=True)
@@ -205,58 +208,105 @@ def cv_summary(per_fold: DataFrame) -> DataFrame:
 
 
 def grid_search(prep_fit, df: DataFrame, target: str, make_estimator, grid: list[dict],
-                k: int = 5) -> DataFrame:
-    """Mean expanding-window CV RMSE for every parameter combination."""
+                k: int = 5, order: Sequence[str] = ("date_key", "site_code")) -> DataFrame:
+    """Mean expanding-window CV RMSE for every parameter combination.  Rows are
+    ranked, and each fold split and prepared, once for the whole grid."""
+    from plantwise.operators.features import expanding_folds
     spark = df.sparkSession
-    rows = []
-    for params in grid:
-        s = cv_summary(temporal_cv(prep_fit, df, target, make_estimator(**params), k)).first()
-        rows.append((json.dumps(params, sort_keys=True), float(s["rmse_mean"])))
+    folds = expanding_folds(rank_rows(df, list(order)), k)
+    scores: dict[str, list[float]] = {}
+    for i in range(k):
+        f = folds.where(F.col("fold") == i)
+        tr, te = (f.where(F.col("role") == r).drop("fold", "role", "row_rank").cache() for r in ("train", "test"))
+        prep = prep_fit(tr)
+        for params in grid:
+            m = fit(prep, tr, target, make_estimator(**params))
+            name = json.dumps(params, sort_keys=True)
+            scores.setdefault(name, []).append(float(evaluate(prep, m, te, target).first()["RMSE"]))
+        tr.unpersist()
+        te.unpersist()
+    rows = [(p, sum(v) / len(v)) for p, v in scores.items()]
     return spark.createDataFrame(rows, "params string, cv_rmse double").orderBy("cv_rmse")
 
 
+# The random-forest grid of the source analysis.  Its fifth axis,
+# the least rows of a node to split, has no Spark parameter; depth 30 is Spark's
+# greatest and stands for "no limit".
+RF_GRID = {
+    "numTrees": [300, 600, 900],
+    "maxDepth": [30, 6, 10],
+    "minInstancesPerNode": [1, 2, 4],
+    "featureSubsetStrategy": ["sqrt", "log2", "0.7"],
+}
+
+
+def grid_points(axes: dict[str, list]) -> list[dict]:
+    """Every combination of the axes."""
+    from itertools import product
+    return [dict(zip(axes, v)) for v in product(*axes.values())]
+
+
 # ----------------------------------------------------------------- clustering
 
+def unsupervised_prep(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str] = (),
+                      scale: bool = True) -> PreprocessModel:
+    """Input matrix of clustering and PCA: numerics median-imputed and
+    standardised (mean and deviation of the imputed columns), categoricals
+    most-frequent-imputed and one-hot."""
+    prep = fit_preprocess(df, num_cols, cat_cols, scaler=None)
+    if scale and prep.num_cols:
+        x = {c: F.coalesce(F.col(c).cast("double"), F.lit(prep.medians[c]).cast("double")) for c in prep.num_cols}
+        mom = df.agg(*[F.avg(v).alias(f"a{i}") for i, v in enumerate(x.values())],
+                     *[F.stddev_pop(v).alias(f"s{i}") for i, v in enumerate(x.values())]).first()
+        for i, c in enumerate(x):
+            prep.centers[c], prep.scales[c] = mom[f"a{i}"] or 0.0, mom[f"s{i}"] or 1.0
+    return prep
+
+
+def with_vector(prep: PreprocessModel, df: DataFrame) -> DataFrame:
+    """All columns of ``df`` and its feature vector (a column without any value
+    counts as 0)."""
+    t = prep.transform(df, keep=[F.col(c) for c in df.columns], prefix="__f_")
+    names = ["__f_" + c for c in prep.output_columns()]
+    t = t.fillna(0.0, subset=names)
+    return VectorAssembler(inputCols=names, outputCol=FEATURES).transform(t).drop(*names)
+
+
 def kmeans_best_of(df: DataFrame, cols: Sequence[str], k: int = 3, n_init: int = 10,
-                   seed: int = 42, scale: bool = True, out: str = "cluster_k3"
-                   ) -> tuple[DataFrame, float]:
-    """KMeans restarted with ``n_init`` seeds; the lowest training cost wins."""
-    va = VectorAssembler(inputCols=list(cols), outputCol="__raw", handleInvalid="skip")
-    stages = [va]
-    feat = "__raw"
-    if scale:
-        stages.append(StandardScaler(inputCol="__raw", outputCol="__scaled", withMean=True,
-                                     withStd=True))
-        feat = "__scaled"
-    base = Pipeline(stages=stages).fit(df)
-    data = base.transform(df).cache()
+                   seed: int = 42, scale: bool = True, out: str = "cluster_k3",
+                   cat_cols: Sequence[str] = ()) -> tuple[DataFrame, float]:
+    """KMeans restarted with ``n_init`` seeds; the lowest training cost wins.
+    Every row gets a cluster: gaps are imputed (see :func:`unsupervised_prep`)."""
+    prep = unsupervised_prep(df, cols, cat_cols, scale)
+    data = with_vector(prep, df).cache()
     best, best_cost = None, float("inf")
     for i in range(n_init):
-        m = KMeans(k=k, seed=seed + i, featuresCol=feat, predictionCol=out).fit(data)
+        m = KMeans(k=k, seed=seed + i, featuresCol=FEATURES, predictionCol=out).fit(data)
         cost = m.summary.trainingCost
         if cost < best_cost:
             best, best_cost = m, cost
-    res = best.transform(data).drop("__raw", "__scaled")
-    return res, best_cost
+    data.unpersist()
+    return best.transform(with_vector(prep, df)).drop(FEATURES), best_cost
 
 
 def cluster_pipeline(cols: Sequence[str], k: int = 3, seed: int = 42) -> Pipeline:
-    """Standard scaling followed by KMeans."""
+    """Median imputation, standard scaling, KMeans; no row is dropped."""
+    filled = [f"__i_{c}" for c in cols]
     return Pipeline(stages=[
-        VectorAssembler(inputCols=list(cols), outputCol="__raw", handleInvalid="skip"),
+        Imputer(strategy="median", inputCols=list(cols), outputCols=filled, relativeError=0.0),
+        VectorAssembler(inputCols=filled, outputCol="__raw"),
         StandardScaler(inputCol="__raw", outputCol=FEATURES, withMean=True, withStd=True),
         KMeans(k=k, seed=seed, featuresCol=FEATURES, predictionCol="cluster")])
 
 
-def pca_2d(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """First two principal components of the centred columns (pc1, pc2)."""
-    means = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    centred = df.select(*keep, *[(F.col(c) - F.lit(means[c])).alias(c) for c in cols]).na.drop(
-        subset=list(cols))
-    va = VectorAssembler(inputCols=list(cols), outputCol="__v")
-    m = Pipeline(stages=[va, PCA(k=2, inputCol="__v", outputCol="__pc")]).fit(centred)
+def pca_2d(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),
+           cat_cols: Sequence[str] = ()) -> DataFrame:
+    """First two principal components (pc1, pc2) of every row's imputed and
+    standardised input (see :func:`unsupervised_prep`)."""
+    data = with_vector(unsupervised_prep(df, cols, cat_cols), df)
+    m = PCA(k=2, inputCol=FEATURES, outputCol="__pc").fit(data)
     arr = vector_to_array(F.col("__pc"))
-    return m.transform(centred).select(*keep, arr[0].alias("pc1"), arr[1].alias("pc2"))
+    return m.transform(data).select(*keep, arr[0].alias("pc1"), arr[1].alias("pc2"))
 
 
 # ----------------------------------------------------------------- importance
@@ -286,14 +336,16 @@ def permutation_importance(prep: PreprocessModel, model: PipelineModel, test: Da
     and the value at random rank r moves to the row at fixed rank r.
     """
     spark = test.sparkSession
-    keyed = rank_rows(test.withColumn("__tie", F.monotonically_increasing_id()), ["__tie"],
-                      name="__r0").cache()
+    # A fixed order by the row's own values, so a lost block is rebuilt alike.
+    tie = F.xxhash64(*[F.col(c) for c in test.columns])
+    keyed = rank_rows(test.withColumn("__tie", tie), ["__tie"], name="__r0").cache()
     base = evaluate(prep, model, keyed, target).first()["R2"]
     rows = []
     for c in cols:
         drops = []
         for r in range(repeats):
-            shuffled_order = keyed.withColumn("__rand", F.rand(seed + 1000 * r + zlib.crc32(c.encode()) % 997))
+            shuffled_order = keyed.withColumn("__rand", F.xxhash64(
+                F.lit(seed + r), F.lit(c), F.col("__r0")))
             donor = rank_rows(shuffled_order, ["__rand", "__r0"], name="__r1") \
                 .select(F.col("__r1").alias("__r0"), F.col(c).alias("__perm"))
             perm = keyed.join(donor, "__r0").withColumn(c, F.col("__perm")).drop("__perm")
@@ -328,23 +380,26 @@ def load_model(spark: SparkSession, path: str) -> tuple[PreprocessModel, Pipelin
 
 def align_with_model_features(df: DataFrame, feature_names: Sequence[str], target: str | None
                               ) -> tuple[DataFrame, list[str]]:
-    """Scoring input in the model's column order: robust columns added when
-    missing, keys cast, ``date_key`` defaulted to 0, extras dropped and
-    reported; a missing feature is an error."""
+    """The declared input schema as one projection of the scoring frame.
+
+    Returns the frame with exactly ``feature_names`` (and the target, if it is
+    there) and the names of the columns left out.  A robust column that the
+    frame lacks is derived, ``date_key`` defaults to 0, and any other missing
+    feature is an error.
+    """
     from plantwise.operators.cleaning import cast_scoring_keys
     from plantwise.operators.features import add_robust_features, add_robust_if_missing
-    out = add_robust_if_missing(add_robust_features(df))
-    out = cast_scoring_keys(out)
-    cols = set(out.columns) - ({target} if target else set())
-    missing = [c for c in feature_names if c not in cols]
-    if "date_key" in missing:
-        out = out.withColumn("date_key", F.lit(0))
-        missing.remove("date_key")
-    if missing:
-        raise ValueError(f"missing model features: {missing}")
-    extra = [c for c in out.columns if c not in feature_names and c != target]
-    keep = list(feature_names) + ([target] if target and target in out.columns else [])
-    return out.select(*keep), extra
+    full = cast_scoring_keys(add_robust_if_missing(add_robust_features(df)))
+    source = {c: F.col(c) for c in full.columns}
+    declared = {c: source.get(c, F.lit(0) if c == "date_key" else None)
+                for c in feature_names if c != target}
+    absent = [c for c, v in declared.items() if v is None]
+    if absent:
+        raise ValueError(f"missing model features: {absent}")
+    if target in source:
+        declared[target] = source[target]
+    return (full.select(*[v.alias(c) for c, v in declared.items()]),
+            [c for c in source if c not in declared and c != target])
 
 
 def score(prep: PreprocessModel, model: PipelineModel, df: DataFrame,
@@ -355,6 +410,6 @@ def score(prep: PreprocessModel, model: PipelineModel, df: DataFrame,
     out = predict(prep, model, df, keep=keep)
     if "probability" in out.columns:
         arr = vector_to_array(F.col("probability"))
-        n = len(out.select("probability").first()[0])
+        n = model.stages[-1].numClasses
         out = out.select("*", *[arr[i].alias(f"proba_{i}") for i in range(n)]).drop("probability")
     return out.drop(FEATURES, "rawPrediction")

@@ -62,7 +62,7 @@ def group_mean_std(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"))
 
 
-def describe(df: DataFrame, cols: Sequence[str] | None = None, method: str = "auto") -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str] | None = None, method: str = "exact") -> DataFrame:
     """count, mean, std, min, 25 %, 50 %, 75 %, max per numeric column
     (exact interpolated quartiles; one row per column)."""
     cols = list(cols or numeric_columns(df))
@@ -147,7 +147,7 @@ def trend_series(df: DataFrame, cols: Sequence[str], group: str = "site_code",
             .groupBy(group, x).agg(*[F.avg(c).alias(c) for c in cols]).orderBy(group, x))
 
 
-def box_stats(df: DataFrame, cols: Sequence[str], method: str = "auto") -> DataFrame:
+def box_stats(df: DataFrame, cols: Sequence[str], method: str = "exact") -> DataFrame:
     """Per column: quartiles, mean, 1.5*IQR fences, whiskers (extreme values
     inside the fences) and the number of points outside them."""
     long = stack_columns(df, cols).where(F.col("value").isNotNull())
@@ -209,7 +209,7 @@ def union_distinct(frames: Sequence[DataFrame], col: str = "site_code") -> DataF
     return reduce(lambda a, b: a.unionByName(b), [f.select(col) for f in frames]).distinct()
 
 
-def describe_all(df: DataFrame, method: str = "auto") -> DataFrame:
+def describe_all(df: DataFrame, method: str = "exact") -> DataFrame:
     """Every column in one long table: numeric statistics for numeric
     columns, count / unique / top / freq for text columns (nulls elsewhere)."""
     num = describe(df, method=method) if numeric_columns(df) else None

@@ -14,13 +14,14 @@ counts stay in the message.
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantwise.functions.dates import day_lag, month_lag
-from plantwise.functions.jsonx import json_object, key_text
+from plantwise.functions.jsonx import json_object, key_text, percent_text
 from plantwise.functions.scalars import one_row
 from plantwise.operators import kpi as K
 from plantwise.operators.star import Star
@@ -282,6 +283,34 @@ def rule_fk_energy(star: Star) -> DataFrame:
     return _fk_rule(star, star.fact_energy, ["date", "site", "line"], "R10_FK_ENERGY")
 
 
+def offenders(star: Star) -> DataFrame:
+    """``rule_id, list_name, k, n_rows``: every duplicate dimension key (R4) and
+    every orphan key of the facts (R8-R10) as a row of its own, however many
+    there are; ``n_rows``: fact rows behind an orphan, 1 for a duplicate."""
+    fc, fm, fe = star.fact_costs, star.fact_manufacturing, star.fact_energy
+    key = {"date": (star.dim_date, ["date_key"], F.col("date_key"), "bad_date_keys", None),
+           "site": (star.dim_site, ["site_code"], F.col("site_code"), "bad_sites", "dup_site"),
+           "line": (star.dim_line, ["site_code", "line_code"], key_text("site_code", "line_code"),
+                    "bad_lines", "dup_line"),
+           "prod": (star.dim_product, ["product_code"], F.col("product_code"), "bad_products", "dup_prod")}
+    parts = []
+    for dim, cols, text, _, name in key.values():
+        if name:
+            twice = dim.groupBy(*cols).agg(F.count(F.lit(1)).alias("__c")).where("__c > 1")
+            parts.append(twice.select(F.lit("R4_DIM_DUPLICATES").alias("rule_id"), F.lit(name).alias("list_name"),
+                                      text.cast("string").alias("k"), F.lit(1).cast("long").alias("n_rows")))
+    for rid, fact, keys in (("R8_FK_COSTS", fc, ["date", "site"]), ("R9_FK_MANU", fm, ["date", "site", "line", "prod"]),
+                            ("R10_FK_ENERGY", fe, ["date", "site", "line"])):
+        for which in keys:
+            dim, cols, text, name, _ = key[which]
+            per_key = fact.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_rows"))
+            alone = per_key.join(dim.select(*cols).distinct(), cols, "left_anti")
+            parts.append(alone.select(F.lit(rid).alias("rule_id"), F.lit(name).alias("list_name"),
+                                      text.cast("string").alias("k"), "n_rows"))
+    every = reduce(lambda a, b: a.unionByName(b), parts)
+    return every.groupBy("rule_id", "list_name", "k").agg(F.sum("n_rows").alias("n_rows"))
+
+
 # -------------------------------------------------------------- reconciliation
 
 def _recon_rule(dev: DataFrame, rid: str, tol: float, meta_digits: int | None) -> DataFrame:
@@ -296,7 +325,7 @@ def _recon_rule(dev: DataFrame, rid: str, tol: float, meta_digits: int | None) -
         return F.struct(x["site_code"].alias("site_code"), r.alias("rel_diff"))
 
     meta = F.to_json(F.transform("off", shape), {"ignoreNullFields": "false"})
-    msg = _txt(RECON_MESSAGE, F.round(F.col("mx") * 100, 2).cast("string"), "%")
+    msg = _txt(RECON_MESSAGE, percent_text("mx"))
     return qa_assert(row, rid, F.col("mx") <= tol, msg, meta)
 
 
@@ -364,9 +393,12 @@ def report(rules: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def latest_results(results: DataFrame) -> DataFrame:
-    """Keep only each rule's newest row (results are appended per run)."""
-    newest = results.groupBy("rule_id").agg(F.max("run_ts").alias("run_ts"))
-    return results.join(newest, ["rule_id", "run_ts"])
+    """Keep only each rule's newest row (results are appended per run; of runs
+    with equal stamps the one with the greater run id)."""
+    order = ["run_ts"] + (["run_id"] if "run_id" in results.columns else [])
+    newest = results.groupBy("rule_id").agg(F.max(F.struct(*order)).alias("__newest"))
+    return (results.join(newest, "rule_id")
+            .where(F.struct(*order).eqNullSafe(F.col("__newest"))).drop("__newest"))
 
 
 def errors_view(results: DataFrame, rules: DataFrame, prefixes=("R8", "R9", "R10")) -> DataFrame:
@@ -446,7 +478,7 @@ def dims_from_keys(keys: dict[str, DataFrame]) -> Star:
     from plantwise.operators import star as S
     c, m, e = keys["costs"], keys["manufacturing"], keys["energy"]
     return Star(c, m, e, S.dim_site(c, m, e), S.dim_line(m, e), S.dim_product(m),
-                S.dim_date(c, m, e))
+                S.dim_date(c, m, e), derived=True)
 
 
 def _weighted_orphans(keys_df: DataFrame, dim: DataFrame, cols: list[str], key_expr: Column,
@@ -481,9 +513,15 @@ def _recon_from_pairs(pairs: DataFrame, total_name: str) -> DataFrame:
 def run_suite(star: Star, as_of=None, meta_digits: int | None = None,
               materialized: bool = True) -> DataFrame:
     """The 15 results of R1..R13 with one scan per fact (see
-    :func:`fact_key_tables`); same rows as :func:`run_rules`."""
+    :func:`fact_key_tables`); same rows as :func:`run_rules`.
+
+    The facts are judged against the star's own dimensions and calendar; only
+    a star whose dimensions were derived from its facts (``build_star``) has
+    them rebuilt from the key tables, which gives the same rows."""
     keys = fact_key_tables(star, materialized)
-    ks = dims_from_keys(keys)
+    ks = dims_from_keys(keys) if star.derived else replace(
+        star, fact_costs=keys["costs"], fact_manufacturing=keys["manufacturing"],
+        fact_energy=keys["energy"])
     if materialized:   # dimensions feed most rules: derive them once
         from plantwise.functions.materialize import materialize_all
         names = ("dim_site", "dim_line", "dim_product", "dim_date")

@@ -94,12 +94,12 @@ class Star:
     dim_line: DataFrame
     dim_product: DataFrame
     dim_date: DataFrame
-    derived_calendar: bool = True   # dim_date is the union of the facts' keys
+    derived: bool = False   # dimensions are the unions of these facts' keys (build_star)
 
     def calendar(self) -> DataFrame | None:
         """Calendar to join KPIs with; None when it is derived from the facts
         themselves (see :func:`plantwise.operators.kpi.with_calendar`)."""
-        return None if self.derived_calendar else self.dim_date
+        return None if self.derived else self.dim_date
 
     def persist(self, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> "Star":
         """Keep facts and dims for a run of many rules (views re-expand otherwise)."""
@@ -128,7 +128,7 @@ def build_star(silver_costs: DataFrame, silver_manufacturing: DataFrame,
     fm = fact_manufacturing(silver_manufacturing)
     fe = fact_energy(silver_energy)
     return Star(fc, fm, fe, dim_site(fc, fm, fe), dim_line(fm, fe), dim_product(fm),
-                dim_date(fc, fm, fe))
+                dim_date(fc, fm, fe), derived=True)
 
 
 def star_from_driver(spark, sf_dir: str, energy_source: str = "lineitem") -> Star:

@@ -57,6 +57,15 @@ def best_model(board: DataFrame) -> str | None:
     return r[0]["model"] if r else None
 
 
+def choose(board: DataFrame, tuned: tuple[str, float] | None = None) -> str | None:
+    """Name of the model with the least RMSE among the leaderboard and a tuned
+    one (``(name, RMSE on the same test rows)``); ties go to the tuned model."""
+    best = board.where(F.col("RMSE").isNotNull()).orderBy("RMSE").select("model", "RMSE").first()
+    if tuned is not None and (best is None or tuned[1] <= best["RMSE"]):
+        return tuned[0]
+    return best["model"] if best else None
+
+
 def export_splits(train: DataFrame, test: DataFrame, out_dir: str) -> dict[str, str]:
     """Write the train and test frames as parquet (``train`` / ``test``)."""
     import os

@@ -43,7 +43,8 @@ def get_spark(app: str = "plantwise", master: str | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Reliable checkpoint folder: the cluster's ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local tests) a private folder is made.
+    Without that setting a local run gets a private folder; a cluster, whose
+    executors would each see another disk under such a path, gets an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="plantwise-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

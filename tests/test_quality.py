@@ -74,8 +74,9 @@ def test_report_scoreboard_and_gate(spark):
     assert "R5_DOMAIN_COSTS" in failed and "R2B_FRESHNESS_MANU" not in failed
     fk = Q.errors_view(res, rules).collect()
     assert {r.rule_id for r in fk} == {"R8_FK_COSTS", "R9_FK_MANU", "R10_FK_ENERGY"}
-    latest = Q.latest_results(res.unionByName(res))
-    assert latest.count() == 30   # identical timestamps: both copies are newest
+    runs = res.withColumn("run_id", F.lit("a")).unionByName(res.withColumn("run_id", F.lit("b")))
+    latest = Q.latest_results(runs)   # equal stamps: one run's rows
+    assert latest.count() == 15 and {r.run_id for r in latest.collect()} == {"b"}
 
 
 def test_recon_message_and_meta(spark):
