@@ -10,16 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Timestamp layouts accepted by the lenient parser, tried in order.
-TIMESTAMP_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "yyyy/MM/dd HH:mm:ss",
-    "yyyy/MM/dd",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy",
+# Slash layouts that the lenient parser takes besides ISO text: year first or
+# month first, each with or without a time to the second.
+_TIME = r"( \d{2}:\d{2}:\d{2})?$"
+SLASH_LAYOUTS = (
+    (r"^(\d{4})/(\d{2})/(\d{2})" + _TIME, "$1-$2-$3$4"),
+    (r"^(\d{2})/(\d{2})/(\d{4})" + _TIME, "$3-$1-$2$4"),
 )
 
 
@@ -45,17 +41,18 @@ def lenient_long(c, fill: int | None = None) -> Column:
     return F.coalesce(v, F.lit(int(fill))) if fill is not None else v
 
 
-def lenient_timestamp(c, formats=TIMESTAMP_FORMATS) -> Column:
+def lenient_timestamp(c) -> Column:
     """Parse text into a wall-clock ``timestamp_ntz``; unparseable text is null.
 
-    ISO text goes through ``try_cast`` to ``timestamp_ntz`` (no time zone is
-    involved, so the result does not depend on the session zone); the other
-    layouts are tried in order after it.
+    The layout is told by its shape, slash dates are respelled as ISO text, and
+    one ``try_cast`` to ``timestamp_ntz`` parses: no time zone is involved, so
+    the result does not depend on the session zone.
     """
     s = F.trim(_c(c).cast("string"))
-    tries = [s.try_cast("timestamp_ntz")] + [
-        F.try_to_timestamp(s, F.lit(f)).cast("timestamp_ntz") for f in formats]
-    return F.coalesce(*tries)
+    iso = None
+    for shape, spelling in SLASH_LAYOUTS:
+        iso = (F if iso is None else iso).when(s.rlike(shape), F.regexp_replace(s, shape, spelling))
+    return iso.otherwise(s).try_cast("timestamp_ntz")
 
 
 def clip(c, lo=None, hi=None) -> Column:

@@ -7,6 +7,7 @@ file); all data is read by executors.
 
 from __future__ import annotations
 
+import csv
 import os
 from collections import defaultdict
 
@@ -36,7 +37,7 @@ def _header(fs, jvm, file: str) -> tuple[str, ...]:
         line = reader.readLine() or ""
     finally:
         stream.close()
-    return tuple(c.strip().strip('"') for c in line.lstrip("﻿").split(","))
+    return tuple(c.strip() for c in next(csv.reader([line.lstrip("\ufeff")]), []))
 
 
 def load_csv_glob(spark: SparkSession, pattern: str) -> DataFrame:

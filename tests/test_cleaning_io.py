@@ -112,6 +112,20 @@ def test_medallion_end_to_end(spark, tmpdir_path):
     assert res["R1_COUNTS"].message.endswith("fact_energy=1")
 
 
+def test_domain_without_files_and_quoted_header(spark, tmpdir_path):
+    src = f"{tmpdir_path}/src"
+    _write(f"{src}/costs/a.csv", 'ref_month,site_code,account_code,amount_br,"note, free"\n'
+           '2025/04/01 00:00:00,SC01,A,100,"x, y"\n')
+    cfg = {"bronze": f"{tmpdir_path}/bronze", "silver": f"{tmpdir_path}/silver",
+           "gold": f"{tmpdir_path}/gold", "database": None,
+           "sources": {d: {"path": f"{src}/{d}/*.csv"} for d in MD.DOMAINS}}
+    silver = {d: spark.read.parquet(MD.stage_silver(spark, d, MD.stage_bronze(spark, d, cfg), cfg)) for d in MD.DOMAINS}
+    assert {d: df.count() for d, df in silver.items()} == {"energy": 0, "manufacturing": 0, "costs": 1}
+    bronze = spark.read.parquet(f"{tmpdir_path}/bronze/costs")
+    assert "note, free" in bronze.columns
+    assert [r["note, free"] for r in bronze.collect()] == ["x, y"]
+
+
 def test_required_check_and_tz(spark):
     df = spark.createDataFrame([("2025-01-01 12:00:00", "S")], "timestamp string, site_code string")
     r = C.check_required(df, "energy").first()

@@ -30,6 +30,18 @@ def test_lenient_timestamp_formats(spark):
     assert r[0].hour == 10 and r[1].day == 1 and r[2] is not None and r[3] is None
 
 
+def test_slash_dates_do_not_follow_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    texts = ["2018/11/04 00:00:00", "11/04/2018 00:00:00", "2018-11-04 00:00:00", "2018/11/04", "2018/11/04 10:00", "1/2/2018"]
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")   # 00:00 does not exist there
+        got = [r[0] for r in df.select(S.lenient_timestamp("x").cast("string")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == ["2018-11-04 00:00:00"] * 4 + [None, None]
+
+
 def test_clip_keeps_null(spark):
     df = spark.createDataFrame([(-0.1,), (1.2,), (None,), (0.5,)], "x double")
     assert [x[0] for x in df.select(S.clip("x", 0.0, 1.0)).collect()] == [0.0, 1.0, None, 0.5]
