@@ -199,10 +199,10 @@ def distinct_sorted(df: DataFrame, col: str = "site_code") -> DataFrame:
 
 def deterministic_sample(df: DataFrame, n: int = 500, keys: Sequence[str] | None = None,
                          seed: int = 42) -> DataFrame:
-    """Reproducible sample of at most ``n`` rows: smallest hash of the keys."""
+    """Reproducible sample of at most ``n`` rows: smallest MD5 of seed and keys."""
     keys = list(keys or df.columns)
-    return df.withColumn("__h", F.xxhash64(F.lit(seed), *keys)).orderBy("__h", *keys) \
-        .limit(n).drop("__h")
+    h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    return df.withColumn("__h", h).orderBy("__h", *keys).limit(n).drop("__h")
 
 
 def union_distinct(frames: Sequence[DataFrame], col: str = "site_code") -> DataFrame:
