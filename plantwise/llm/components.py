@@ -13,7 +13,7 @@ MAX_STEPS = 100
 
 def connected_components(links: DataFrame, stages: Stages) -> DataFrame:
     """``node, root`` (least node of its component, itself excluded) for links
-    ``a, b`` of longs.
+    ``a, b`` of longs, as a written table.
 
     A step hangs every larger neighbour, then every smaller one, on a node's
     least neighbour.  Both are a minimum by node (combined before the shuffle)
@@ -34,6 +34,8 @@ def connected_components(links: DataFrame, stages: Stages) -> DataFrame:
         stages.drop(f"links-{k - 1}", f"large-{k}")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == seen:
-            return edges.select(F.col("v").alias("node"), F.col("u").alias("root"))
+            out = stages.write(edges.select(F.col("v").alias("node"), F.col("u").alias("root")), "roots")
+            stages.drop(f"links-{k}")
+            return out
         seen = now
     raise RuntimeError("components did not settle")

@@ -313,7 +313,9 @@ def repeated_spans(docs: DataFrame, unit: Unit, stages: Stages, paths: bool = Fa
     both = known.select("_row", "sure").join(found, "_row", "full_outer")
     spans = both.select("_row", F.concat(F.coalesce(F.transform("sure", near), none), F.coalesce(F.transform("i", one), none)).alias("spans")).filter(F.size("spans") > 0)
     spans = cut.select("_row", "_id", "_key").join(spans, "_row")
-    return stages.write(spans.groupBy("_id", "_key").agg(F.first("spans").alias("spans")), "spans")
+    spans = stages.write(spans.groupBy("_id", "_key").agg(F.first("spans").alias("spans")), "spans")
+    stages.drop("segments", "known", "found")
+    return spans
 
 
 def merged(spans: list[dict] | None) -> tuple[np.ndarray, np.ndarray]:

@@ -264,7 +264,9 @@ def fingerprint_components(fps: DataFrame, stages: Stages, max_bits: int = 4, bu
     if not large.isEmpty():
         crowded = stages.write(rows.join(large, "bucket").select("fp").distinct(), "crowded")
         links = links.union(_midpoint_links(crowded, max_bits))
-    return connected_components(links, stages)
+    roots = connected_components(links, stages)
+    stages.drop("buckets", "sizes", "crowded")
+    return roots
 
 
 def simhash_groups(docs: DataFrame, size: int = 4, max_bits: int = 4, seed: int = 42,
@@ -284,10 +286,11 @@ def simhash_groups(docs: DataFrame, size: int = 4, max_bits: int = 4, seed: int
     stages = Stages(docs.sparkSession, "simhash")
     marked = stages.write(fingerprints(docs, size, seed, id_col, text_col), "fingerprints")
     fps = stages.write(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = stages.write(fingerprint_components(fps.select("fp"), stages, max_bits), "roots")
+    roots = fingerprint_components(fps.select("fp"), stages, max_bits)
     rooted = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = stages.write(rooted.join(names, "root").select("fp", "component_id"), "named")
+    stages.drop("distinct", "roots")
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -301,13 +304,14 @@ def keep_one(docs: DataFrame, size: int = 4, max_bits: int = 4, id_col: str = "d
     src = docs.select(F.struct(F.col(id_col).cast("string").alias("id"), F.col(id_col).isNull().alias("none"), *marks).alias("row"), F.col(text_col).alias("text"))
     marked = stages.write(fingerprints(src, size, id_col="row"), "fingerprints")
     fps = stages.write(marked.select("fp").distinct(), "distinct")
-    roots = stages.write(fingerprint_components(fps, stages, max_bits), "roots")
+    roots = fingerprint_components(fps, stages, max_bits)
     kind = docs.schema[id_col].dataType
     order = F.struct(F.col("doc_id.none").alias("none"), F.col("doc_id.id").cast(kind).alias("id"), F.col("doc_id.__pw_a").alias("a"), F.col("doc_id.__pw_b").alias("b"))
     least = marked.groupBy("fp").agg(F.min(order).alias("least"))  # combined before any join: copies cost one row a task
     chosen = (least.join(roots, least["fp"] == roots["node"], "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("least").alias("least"))
               .select(F.col("least.a").alias("__pw_ca"), F.col("least.b").alias("__pw_cb")))
     chosen = stages.write(chosen, "chosen")
+    stages.drop("fingerprints", "distinct", "roots")
     own = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(*own, *marks)
     kept = rows.join(chosen, (rows["__pw_a"] == chosen["__pw_ca"]) & (rows["__pw_b"] == chosen["__pw_cb"]), "left_semi")

@@ -221,7 +221,9 @@ def site_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     good = site_posteriors(first, "_g").select(F.col("host").alias("_h"), F.col("path").alias("_p"), "host_rate", "path_rate")
     toxic = site_posteriors(first, "_x").select(F.col("host").alias("_h2"), F.col("path").alias("_p2"), F.col("path_rate").alias("toxic_rate"))
     sites = good.join(toxic, F.col("_h").eqNullSafe(F.col("_h2")) & F.col("_p").eqNullSafe(F.col("_p2"))).drop("_h2", "_p2")
-    out = scored.join(stages.write(sites, "sites"), F.col("host").eqNullSafe(F.col("_h")) & F.col("path").eqNullSafe(F.col("_p")))
+    sites = stages.write(sites, "sites")
+    stages.drop("sample")
+    out = scored.join(sites, F.col("host").eqNullSafe(F.col("_h")) & F.col("path").eqNullSafe(F.col("_p")))
     out = out.withColumn("p_good", _odds(F.col("e_good") + _logit(F.col("path_rate"))))
     out = out.withColumn("p_toxic", _odds(F.col("e_toxic") + _logit(F.col("toxic_rate"))))
     return out.select("doc_id", "e_good", "e_toxic", "host_rate", "path_rate", "toxic_rate", "p_good", "p_toxic",
