@@ -31,6 +31,11 @@ MODEL_FEATURES = 50_000
 MIN_Z = 3.5
 MIN_DOCS = 4
 
+#: Decision: least probability of good, and the probability of toxic from which
+#: a document goes (missing a toxic one is held to cost more than losing a clean one).
+MIN_GOOD = 0.5
+MAX_TOXIC = 0.3
+
 _EDGE = b".,;:!?\"'()[]{}<>|#$%&*-_"
 _SYMBOL = bytes(c for c in range(128) if chr(c) in "#*$%&|<>!@^~=+\\{}")
 
@@ -187,8 +192,8 @@ def site_posteriors(scored: DataFrame, column: str) -> DataFrame:
 def site_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang",
                  label_id_col: str = "doc_id", fit_rows: int = FIT_ROWS) -> DataFrame:
     """``doc_id, e_good, e_toxic, host_rate, path_rate, toxic_rate, p_good,
-    p_toxic, kept`` of every document; it is kept if it is more probably good
-    than not and more probably not toxic.
+    p_toxic, kept`` of every document; it is kept if it is good with at least
+    ``MIN_GOOD`` and toxic with less than ``MAX_TOXIC`` probability.
 
     Two scans of the texts, neither shuffled: one takes the features of the
     labelled sample (its ids travel to the scan), one scores all documents.
@@ -227,4 +232,4 @@ def site_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     out = out.withColumn("p_good", _odds(F.col("e_good") + _logit(F.col("path_rate"))))
     out = out.withColumn("p_toxic", _odds(F.col("e_toxic") + _logit(F.col("toxic_rate"))))
     return out.select("doc_id", "e_good", "e_toxic", "host_rate", "path_rate", "toxic_rate", "p_good", "p_toxic",
-                      ((F.col("p_good") >= 0.5) & (F.col("p_toxic") < 0.5)).alias("kept"))
+                      ((F.col("p_good") >= MIN_GOOD) & (F.col("p_toxic") < MAX_TOXIC)).alias("kept"))
