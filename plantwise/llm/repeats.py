@@ -19,9 +19,10 @@ groups that every occurrence of a window forms alike:
   all its windows; a core that occurs once rules them out; what remains, near
   the ends of repeated passages, is settled window by window.
 
-Every step is a count by hash, combined before its shuffle, joined back to the
-places it came from, so a passage in any share of the documents is an ordinary
-skewed join key.  Reaches and windows are compared by two independent 64-bit
+Every step is a count by hash, combined before its shuffle, written, and joined
+back to the places it came from, so a passage in any share of the documents is
+an ordinary skewed join key that adaptive execution splits (it can't split a
+join whose other side is still an aggregate over the same partitions).  Reaches and windows are compared by two independent 64-bit
 hashes.  Positions are tokens of one document.
 """
 
@@ -216,6 +217,7 @@ def _repeated_edges(held: DataFrame, stages: Stages, paths: bool) -> DataFrame:
         graph = ways.join(into, "next", "left").select("edge", F.coalesce("joined", F.lit(False)).alias("through"))
     else:
         graph = flat.groupBy("edge").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("edge", F.lit(False).alias("through"))
+        graph = stages.write(graph, "ways")
     found = flat.join(graph, "edge")
     # A place and its flag in one number: at * 2 + through.
     per = found.groupBy("_row").agg(F.collect_list(F.col("at") * 2 + F.col("through").cast("int")).alias("at"))
@@ -299,13 +301,14 @@ def repeated_spans(docs: DataFrame, unit: Unit, stages: Stages, paths: bool = Fa
     known = stages.write(sure.groupBy("_row").agg(F.collect_list(F.struct("s", "t")).alias("sure")), "known")
     # A reach that occurs once may share windows with other reaches of its core.
     mixed = reach.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.max("alone").alias("some")).filter("n > 1 AND some").select("core")
+    mixed = stages.write(mixed, "mixed")
     todo = reach.join(mixed, "core").select("one.*", "alone").groupBy(F.col("_row").alias("_of")).agg(F.collect_list(F.struct("s", "t", "alone")).alias("todo"))
     todo = cut.select("_row", "_text").join(todo, F.col("_row") == F.col("_of")).select("_row", "_text", "todo")
     wins = stages.write(_windows(todo, unit), "windows")
-    again = wins.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2")
+    again = stages.write(wins.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h1", "h2"), "again")
     found = wins.filter("alone").join(again, ["h1", "h2"]).groupBy("_row").agg(F.collect_list("i").alias("i"))
     found = stages.write(found, "found")
-    stages.drop("windows", "reaches")
+    stages.drop("windows", "reaches", "mixed", "again")
     length = unit.length
     near = lambda x: F.struct(x["s"].cast("int").alias("a"), (x["t"] + length).cast("int").alias("b"))
     one = lambda x: F.struct(x.cast("int").alias("a"), (x + length).cast("int").alias("b"))
