@@ -57,4 +57,4 @@ def op10_packing(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_simhash, op4_token_files, op5_site_quality, op6_token_counts, op7_quality_rules, op8_decontamination, op9_warc, op10_packing)}
 
 #: DuckDB text of the queries that SQL can express.
-ORACLE: dict[str, str] = {"op1_substring_dedup": substring_dedup.ORACLE, "op7_quality_rules": host_rules.ORACLE, "op8_decontamination": winnowing.ORACLE, "op9_warc": warc.ORACLE}
+ORACLE: dict[str, str] = {"op1_substring_dedup": substring_dedup.ORACLE, "op2_suffix_dedup": suffix_dedup.ORACLE, "op7_quality_rules": host_rules.ORACLE, "op8_decontamination": winnowing.ORACLE, "op9_warc": warc.ORACLE}

@@ -95,3 +95,22 @@ def without_repeats(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "
         kind = docs.schema[length_col].dataType
         out = out.withColumn(length_col, F.when(F.col("__pw_spans").isNull(), F.col(length_col)).otherwise(F.length(text_col)).cast(kind))
     return out.select(*own)
+
+
+#: The same rows of :func:`suffix_dedup` by DuckDB, window by window on the bytes' hex text.
+ORACLE = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT r, i, md5_number(substr(x, 2 * i + 1, {2 * THRESHOLD})) AS win
+      FROM (SELECT r, x, unnest(range(0, length(x) // 2 - {THRESHOLD - 1})) AS i FROM d WHERE length(x) >= {2 * THRESHOLD})),
+rep AS (SELECT r, i FROM w WHERE win IN (SELECT win FROM w GROUP BY win HAVING count(*) > 1)),
+step AS (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= {THRESHOLD} THEN 0 ELSE 1 END AS fresh FROM rep),
+run AS (SELECT r, i, sum(fresh) OVER (PARTITION BY r ORDER BY i) AS k FROM step),
+span AS (SELECT r, k, min(i) AS a, max(i) + {THRESHOLD} AS b FROM run GROUP BY r, k),
+gap AS (SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS f, a AS t FROM span
+        UNION ALL SELECT span.r, max(b), any_value(length(x) // 2) FROM span JOIN d ON d.r = span.r GROUP BY span.r),
+kept AS (SELECT gap.r, string_agg(substr(x, 2 * f + 1, 2 * (t - f)), '' ORDER BY f) AS x FROM gap JOIN d ON d.r = gap.r GROUP BY gap.r),
+cnt AS (SELECT r, sum(b - a) AS n, count(*) AS spans FROM span GROUP BY r)
+SELECT doc_id, (length(d.x) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept.x, d.x))) AS kept_sha256
+FROM d LEFT JOIN cnt ON cnt.r = d.r LEFT JOIN kept ON kept.r = d.r
+"""
