@@ -24,7 +24,7 @@ from plantwise.session import ensure_checkpoint_dir
 #: Bytes of text that one vectorised step inside a task works on at a time.
 STEP_BYTES = 1 << 20
 #: Bytes of an Arrow batch between the JVM and Python.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

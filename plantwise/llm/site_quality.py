@@ -155,7 +155,7 @@ def _evidence(texts: DataFrame, f: np.ndarray, w: np.ndarray, base: np.ndarray)
     def run(batches):
         f, w, base = model.value
         for batch in batches:
-            for part in byte_slices(batch, 1):
+            for part in byte_slices(batch, 1, 1 << 18):
                 out = np.tile(base, (part.num_rows, 1))
                 for k, t in enumerate(part.column(1).cast(pa.binary()).to_pylist()):
                     out[k] += w[_places(f, features(t))].sum(axis=0)
