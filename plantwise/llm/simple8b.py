@@ -20,6 +20,8 @@ BLOCK = 256
 
 def _widths(v: np.ndarray) -> np.ndarray:
     """Bits that each value needs (1 at least)."""
+    if len(v) and int(v.max()) < 1 << 53:  # exact as doubles
+        return np.maximum(np.frexp(v.astype(np.float64))[1], 1).astype(np.uint8)
     w = np.ones(len(v), np.uint8)
     for s in (32, 16, 8, 4, 2, 1):
         high = v >> np.uint64(s)
@@ -38,7 +40,7 @@ def pack(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray
     # Selector for a word that starts at each place: the densest whose values all fit.
     bits = np.full(n_blocks * block, 1, np.uint8)
     bits[:n] = _widths(v)
-    left = block - np.arange(n_blocks * block) % block
+    left = np.tile(np.arange(block, 0, -1).astype(np.int16 if block < 1 << 15 else np.int64), n_blocks)
     left[-block:] -= n_blocks * block - n
     sel = np.full(len(bits), ESCAPE, np.uint8)
     reach = bits.copy()  # widest of the next `have` values
@@ -49,9 +51,9 @@ def pack(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray
             break
         while have < count:
             step = min(have, count - have)
-            reach[:-step] = np.maximum(reach[:-step], reach[step:])
+            np.maximum(reach[:-step], reach[step:], out=reach[:-step])
             have += step
-        sel[(reach <= width) & (left >= count)] = s
+        np.putmask(sel, (reach <= width) & (left >= count), s)
     # All blocks advance together, a word a step.
     count = np.array([c for c, _ in LAYOUT] + [0, 1], np.int64)
     at = np.arange(n_blocks, dtype=np.int64) * block

@@ -38,7 +38,7 @@ from plantwise.llm.encoding import encoder, vocabulary
 MAGIC = b"S8BIDS01"
 _HEAD = struct.Struct("<8sIIQQ")
 #: Ids after which a task starts its next shard.
-SHARD_IDS = 4_000_000
+SHARD_IDS = 2_000_000
 
 
 def dump_shard(doc_ids: list, docs: list[np.ndarray]) -> bytes:
