@@ -2,9 +2,10 @@
 length histogram by non-negative least squares, residuals packed best-fit.
 
 Only the histogram of piece lengths (at most ``limit`` numbers, whatever the
-corpus) reaches the driver.  The plan made there is a list of templates,
-bounded by the number of length classes; pieces find their places by a
-distributed rank within their class.
+corpus) reaches the driver.  Patterns are named by length classes, sequences
+are planned in exact lengths.  The plan made there is a list of templates,
+bounded by the numbers of patterns and lengths; pieces find their places by a
+distributed rank within their length.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import types as T
 from plantwise.llm.common import Stages, byte_slices, keyed_texts
 from plantwise.llm.encoding import encoder, vocabulary
 
-#: Length classes that a sequence is divided into at most.
+#: Length classes that patterns are enumerated over at most.
 CLASSES = 512
 #: Pieces ranked together in one task, about.
 RANK_GROUP = 50_000
@@ -105,27 +106,65 @@ def fit_counts(pats: np.ndarray, hist: np.ndarray, rounds: int = 300) -> np.ndar
     return x
 
 
-def plan_templates(hist: np.ndarray, size: int) -> list[tuple[dict[int, int], int]]:
-    """(pieces of each class in a sequence, number of such sequences) that
-    together hold every piece of the class histogram."""
-    left = hist.astype(np.int64).copy()
-    templates: list[tuple[dict[int, int], int]] = []
-    pats = patterns(size)
-    pats = pats[(left[pats] > 0).__or__(pats == 0).all(axis=1)]
-    if len(pats):
-        x = fit_counts(pats, left.astype(float))
-        for k in np.argsort(-x, kind="stable"):
-            want = int(round(x[k]))
-            if want < 1:
-                break
-            need = Counter(int(c) for c in pats[k] if c)
-            want = min([want, *(int(left[c]) // m for c, m in need.items())])
-            if want > 0:
-                templates.append((dict(need), want))
-                for c, m in need.items():
-                    left[c] -= m * want
-    # Best fit in decreasing order, many equal pieces and bins a step.
+def _fitted(hist: np.ndarray, left: np.ndarray, size: int) -> list[tuple[dict[int, int], int]]:
+    """Sequences made of patterns of up to three length classes; their pieces
+    are taken from ``left``.  Classes only name the patterns: the pieces are of
+    exact lengths, the shortest of a pattern the longest that still fits."""
+    quantum = -(-size // CLASSES)
+    n = size // quantum
+    of = np.minimum(-(-np.arange(size + 1) // quantum), n)
+    by_class = np.bincount(of, weights=hist, minlength=n + 1)
+    pats = patterns(n)
+    pats = pats[((by_class[pats] > 0) | (pats == 0)).all(axis=1)]
+    if not len(pats):
+        return []
+    at = list(range(size + 1))  # longest length up to this one that may have pieces left
+
+    def longest(r: int, taken: Counter) -> int:
+        while r > 0 and left[r] <= taken[r]:
+            if left[r] > 0:  # all in this very sequence
+                r -= 1
+                continue
+            below = at[r - 1] if at[r] == r else at[r]
+            at[r] = below
+            r = below
+        return r
+
+    tops = [min(c * quantum, size) if c < n else size for c in range(n + 1)]
+    x = fit_counts(pats, by_class)
+    out: list[tuple[dict[int, int], int]] = []
+    for k in np.argsort(-x, kind="stable"):
+        want = int(round(x[k]))
+        if want < 1:
+            break
+        classes = [int(c) for c in pats[k] if c]
+        while want > 0:
+            need: Counter = Counter()
+            space = size
+            for j, c in enumerate(classes):
+                last = j + 1 == len(classes)
+                r = longest(min(space, size if last else tops[c]), need)
+                if r <= tops[c - 1]:
+                    break
+                need[r] += 1
+                space -= r
+            else:
+                number = min([want, *(int(left[r]) // m for r, m in need.items())])
+                out.append((dict(need), number))
+                for r, m in need.items():
+                    left[r] -= m * number
+                want -= number
+                continue
+            break
+    return out
+
+
+def _best_fit(left: np.ndarray, size: int, open_: list[tuple[dict[int, int], int]]) -> list[tuple[dict[int, int], int]]:
+    """Best fit in decreasing order of exact lengths, into the space left in
+    ``open_`` sequences and new ones, many equal pieces and bins a step."""
     room: list[list[list]] = [[] for _ in range(size + 1)]  # by space left: [contents, bins]
+    for contents, number in open_:
+        room[size - sum(r * m for r, m in contents.items())].append([contents, number])
     for c in range(size, 0, -1):
         n, r = int(left[c]), c
         while n > 0:
@@ -147,12 +186,22 @@ def plan_templates(hist: np.ndarray, size: int) -> list[tuple[dict[int, int], in
                     n -= add * number
             if bins:
                 room[r].append([contents, bins])
-    templates += [(c, b) for at in room for c, b in at]
-    return templates
+    return [(c, b) for at in room for c, b in at]
+
+
+def plan_templates(hist: np.ndarray, size: int) -> list[tuple[dict[int, int], int]]:
+    """(pieces of each length in a sequence, number of such sequences) that
+    together hold every piece of the length histogram: patterns and best fit
+    for the rest, or best fit alone where that takes fewer sequences."""
+    hist = hist.astype(np.int64)
+    left = hist.copy()
+    fitted = _fitted(hist, left, size)
+    plans = [_best_fit(left, size, fitted), _best_fit(hist, size, [])]
+    return min(plans, key=lambda plan: sum(number for _, number in plan))
 
 
 def _places(templates):
-    """Arrays by (class, first rank): sequence and slot of a class's pieces."""
+    """Arrays by (length, first rank): sequence and slot of a length's pieces."""
     rows, used, base = [], Counter(), 0
     for contents, number in templates:
         slot = 0
@@ -172,12 +221,14 @@ def pack(docs: DataFrame, vocab: str = "word_bpe_49k.json", end_id: int | None =
     sequence_id, offset`` (and ``ids``); every sequence holds at most ``limit``
     ids without gaps.
 
-    Lengths fall into ``CLASSES`` classes (rounded up).  Patterns of up to three
-    classes that fill a sequence are fitted to the class histogram, their
-    counts rounded, and what is left is packed best-fit decreasing.  A piece's
-    rank in its class, taken in salted groups so that a class with any share of
-    the pieces is spread over many tasks, names its sequence; offsets are
-    running sums within a sequence.
+    Patterns of up to three of ``CLASSES`` length classes that fill a sequence
+    are fitted to the class histogram, their counts rounded and filled with
+    pieces of exact lengths; what is left is packed best-fit decreasing by exact
+    length, also into the space that patterns leave.  Best fit alone is planned
+    too and the plan of fewer sequences is used.  A piece's rank in its length,
+    taken in salted groups so that a length with any share of the pieces is
+    spread over many tasks, names its sequence; offsets are running sums within
+    a sequence.
 
     Null texts are empty (a piece of the end id alone); null ids are kept;
     repeated rows are packed each; a document without any id has no piece; an
@@ -185,32 +236,26 @@ def pack(docs: DataFrame, vocab: str = "word_bpe_49k.json", end_id: int | None =
     """
     spark = docs.sparkSession
     stages = Stages(spark, "packing")
-    size = min(CLASSES, limit)
-    quantum = -(-limit // size)
-    size = limit // quantum
     pieces = stages.write(token_pieces(docs, vocab, end_id, limit, id_col, text_col, with_ids), "pieces")
     hist = np.zeros(limit + 1, np.int64)
     for length, n in pieces.groupBy("length").count().collect():  # at most `limit` rows
         hist[length] = n
     total = int(hist.sum())
-    by_class = np.zeros(size + 1, np.int64)
-    np.add.at(by_class, np.minimum(-(-np.arange(limit + 1) // quantum), size), hist)
     out_cols = [F.col("_id").alias("doc_id"), F.col("piece").cast("int").alias("piece"), "start", "length", "ids_crc32"]
     if not total:
         return pieces.select(*out_cols, F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"), *(["ids"] if with_ids else []))
-    cls, first, base, mult, slot = _places(plan_templates(by_class, size))
+    size, first, base, mult, slot = _places(plan_templates(hist, limit))
     salts = max(1, total // RANK_GROUP)
-    ranked = pieces.withColumn("_class", F.least(F.ceil(F.col("length") / quantum), F.lit(size)).cast("long"))
-    ranked = ranked.withColumn("_salt", F.pmod(F.xxhash64("_id", "_key", "piece"), F.lit(salts)))
-    groups = ranked.groupBy("_class", "_salt").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(W.partitionBy("_class").orderBy("_salt")) - F.col("_n")  # `salts` rows a class
-    groups = groups.select("_class", "_salt", before.alias("_before"))
-    in_group = W.partitionBy("_class", "_salt").orderBy("_id", "_key", "piece")
+    ranked = pieces.withColumn("_size", F.col("length")).withColumn("_salt", F.pmod(F.xxhash64("_id", "_key", "piece"), F.lit(salts)))
+    groups = ranked.groupBy("_size", "_salt").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(W.partitionBy("_size").orderBy("_salt")) - F.col("_n")  # `salts` rows a length
+    groups = groups.select("_size", "_salt", before.alias("_before"))
+    in_group = W.partitionBy("_size", "_salt").orderBy("_id", "_key", "piece")
     ranked = (ranked.withColumn("_rank", F.row_number().over(in_group).cast("long") - 1)
-              .join(groups, ["_class", "_salt"]).withColumn("_rank", F.col("_rank") + F.col("_before")).drop("_before", "_salt"))
-    ranked = ranked.select("_class", "_rank", *pieces.columns)
+              .join(groups, ["_size", "_salt"]).withColumn("_rank", F.col("_rank") + F.col("_before")).drop("_before", "_salt"))
+    ranked = ranked.select("_size", "_rank", *pieces.columns)
     schema = T.StructType([T.StructField("sequence_id", T.LongType()), T.StructField("_slot", T.LongType()), *pieces.schema.fields])
-    key = cls * (total + 1) + first
+    key = size * (total + 1) + first
 
     def place(batches):
         for b in batches:

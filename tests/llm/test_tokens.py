@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from plantwise.llm import packing, simple8b, token_files
 from plantwise.llm.encoding import Encoder, vocabulary
@@ -105,3 +106,24 @@ def test_packing(spark, odd_docs, no_docs):
     seqs = {r.sequence_id: r.ids for r in packing.packed_sequences(packed).collect()}
     assert all(seqs[r.sequence_id][r.offset:r.offset + r.length] == r.ids for r in got)
     assert packing.pack(no_docs).count() == 0
+
+
+def test_templates_fill_sequences():
+    lengths = np.minimum(4096, 1 + np.random.default_rng(3).exponential(900, 20000).astype(int))
+    hist = np.bincount(lengths, minlength=4097)
+    got, bins = np.zeros(4097, np.int64), 0
+    for contents, number in packing.plan_templates(hist, 4096):
+        assert number > 0 and sum(c * m for c, m in contents.items()) <= 4096
+        bins += number
+        for c, m in contents.items():
+            got[c] += m * number
+    assert (got == hist).all() and bins == -(-int(lengths.sum()) // 4096)
+
+
+@pytest.mark.parametrize("words, in_one", [(0, 4096), (1364, 3), (818, 5)])
+def test_packing_equal_lengths(spark, words, in_one):
+    docs = spark.range(4 * in_one + 1).selectExpr("id AS doc_id", f"repeat('a ', {words}) AS text")
+    docs = docs.withColumn("text", F.expr("trim(text)"))
+    got = packing.pack(docs).collect()
+    assert {r.length for r in got} == {words + 1} and len(got) == 4 * in_one + 1
+    assert len({r.sequence_id for r in got}) == 5
