@@ -215,6 +215,11 @@ def _places(templates):
     return [np.array(col, np.int64) for col in zip(*rows)]
 
 
+def _salted(pieces: DataFrame, salts: int) -> DataFrame:
+    """``_size`` and ``_salt``, the groups that pieces are ranked in."""
+    return pieces.withColumn("_size", F.col("length")).withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(salts)))
+
+
 def pack(docs: DataFrame, vocab: str = "word_bpe_49k.json", end_id: int | None = 1, limit: int = 4096,
          id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32,
@@ -226,9 +231,9 @@ def pack(docs: DataFrame, vocab: str = "word_bpe_49k.json", end_id: int | None =
     pieces of exact lengths; what is left is packed best-fit decreasing by exact
     length, also into the space that patterns leave.  Best fit alone is planned
     too and the plan of fewer sequences is used.  A piece's rank in its length,
-    taken in salted groups so that a length with any share of the pieces is
-    spread over many tasks, names its sequence; offsets are running sums within
-    a sequence.
+    taken in groups salted by the row number of the written pieces so that a
+    length with any share of the pieces, repeated rows too, is spread over many
+    tasks, names its sequence; offsets are running sums within a sequence.
 
     Null texts are empty (a piece of the end id alone); null ids are kept;
     repeated rows are packed each; a document without any id has no piece; an
@@ -236,7 +241,8 @@ def pack(docs: DataFrame, vocab: str = "word_bpe_49k.json", end_id: int | None =
     """
     spark = docs.sparkSession
     stages = Stages(spark, "packing")
-    pieces = stages.write(token_pieces(docs, vocab, end_id, limit, id_col, text_col, with_ids), "pieces")
+    pieces = token_pieces(docs, vocab, end_id, limit, id_col, text_col, with_ids).withColumn("_row", F.monotonically_increasing_id())
+    pieces = stages.write(pieces, "pieces")
     hist = np.zeros(limit + 1, np.int64)
     for length, n in pieces.groupBy("length").count().collect():  # at most `limit` rows
         hist[length] = n
@@ -246,11 +252,11 @@ def pack(docs: DataFrame, vocab: str = "word_bpe_49k.json", end_id: int | None =
         return pieces.select(*out_cols, F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"), *(["ids"] if with_ids else []))
     size, first, base, mult, slot = _places(plan_templates(hist, limit))
     salts = max(1, total // RANK_GROUP)
-    ranked = pieces.withColumn("_size", F.col("length")).withColumn("_salt", F.pmod(F.xxhash64("_id", "_key", "piece"), F.lit(salts)))
+    ranked = _salted(pieces, salts)
     groups = ranked.groupBy("_size", "_salt").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(W.partitionBy("_size").orderBy("_salt")) - F.col("_n")  # `salts` rows a length
     groups = groups.select("_size", "_salt", before.alias("_before"))
-    in_group = W.partitionBy("_size", "_salt").orderBy("_id", "_key", "piece")
+    in_group = W.partitionBy("_size", "_salt").orderBy("_row")
     ranked = (ranked.withColumn("_rank", F.row_number().over(in_group).cast("long") - 1)
               .join(groups, ["_size", "_salt"]).withColumn("_rank", F.col("_rank") + F.col("_before")).drop("_before", "_salt"))
     ranked = ranked.select("_size", "_rank", *pieces.columns)

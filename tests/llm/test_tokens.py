@@ -127,3 +127,20 @@ def test_packing_equal_lengths(spark, words, in_one):
     got = packing.pack(docs).collect()
     assert {r.length for r in got} == {words + 1} and len(got) == 4 * in_one + 1
     assert len({r.sequence_id for r in got}) == 5
+
+
+def test_packing_spreads_repeated_rows(spark, monkeypatch):
+    """Rows that are alike in id and text are ranked in many groups."""
+    docs = spark.range(4000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'same text' AS text")
+    salted, groups = packing._salted, []
+
+    def seen(pieces, salts):
+        out = salted(pieces, salts)
+        groups.extend(r["count"] for r in out.groupBy("_size", "_salt").count().collect())
+        return out
+
+    monkeypatch.setattr(packing, "RANK_GROUP", 100)
+    monkeypatch.setattr(packing, "_salted", seen)
+    got = packing.pack(docs).collect()
+    assert sum(groups) == 4000 and max(groups) < 200
+    assert len({(r.sequence_id, r.offset) for r in got}) == 4000
