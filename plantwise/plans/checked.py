@@ -38,6 +38,28 @@ def q_kpi_listing(spark, sf_dir):
     return _round(rank_rows(listed, ["date_key", "site_code"]), {"cost_per_unit": 6})
 
 
+_LISTED = [("kpi_cost_per_unit", "cost_per_unit", 6), ("kpi_energy_per_unit", "kwh_per_unit", 6), ("kpi_fx_effect", "fx_effect_ratio", 9)]
+
+
+@register("kpi_listing_all", with_star(" UNION ALL ".join(
+    f"SELECT '{t}' AS kpi, date_key, site_code, round({c}, {d}) AS value, "
+    f"ROW_NUMBER() OVER (ORDER BY date_key, site_code) - 1 AS row_rank FROM {t}" for t, c, d in _LISTED)))
+def q_kpi_listing_all(spark, sf_dir):
+    """The whole listing of the three KPI tables, all sites, by (date, site)."""
+    from plantwise.functions.ranking import rank_rows
+    from plantwise.operators import kpi as K
+    from plantwise.operators.cleaning import site_filter
+    s = _star(spark, sf_dir)
+    tables = [K.kpi_cost_per_unit(s.fact_costs, s.fact_manufacturing, s.calendar()),
+              K.kpi_energy_per_unit(s.fact_energy, s.fact_manufacturing, s.calendar()), K.kpi_fx_effect(s.fact_costs)]
+    out = None
+    for k, (t, c, d) in zip(tables, _LISTED):
+        listed = rank_rows(site_filter(k.select("date_key", "site_code", F.col(c).alias("value"))), ["date_key", "site_code"])
+        part = _round(listed, {"value": d}).select(F.lit(t).alias("kpi"), "date_key", "site_code", "value", "row_rank")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @register("preview20", "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 20")
 def q_preview20(spark, sf_dir):
     from plantwise.operators import profile as P

@@ -46,3 +46,12 @@ def test_query_matches_oracle(spark, duck, name):
     assert ca == cb
     assert len(ra) == len(rb)
     assert ra == rb
+
+
+def test_kpi_listing_holds_every_site(spark):
+    got = E.queries()["kpi_listing_all"](spark, SF_SMALL).toPandas()
+    for kpi in ("kpi_cost_per_unit", "kpi_energy_per_unit", "kpi_fx_effect"):
+        whole = E.queries()[kpi](spark, SF_SMALL)
+        part = got[got.kpi == kpi]
+        assert len(part) == whole.count() and sorted(part.row_rank) == list(range(len(part)))
+        assert part.site_code.nunique() == whole.select("site_code").distinct().count() > 1
