@@ -151,18 +151,39 @@ FROM model_df d, (SELECT """ + ", ".join(
     f"median({c}) AS m{i}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS i{i}" for i, c in enumerate(NUM)) + """ FROM model_df)
 WHERE d.site_code IS NOT NULL""", extra_ctes=_F))
 def q_prepared_rows(spark, sf_dir):
+    """The prepared matrix of the rows with a site; fitted on all rows."""
+    df = _model(spark, sf_dir)
+    return _prepared(M.fit_preprocess(df, NUM, ["site_code"], scaler="robust"), df.where("site_code IS NOT NULL"), "site_code")
+
+
+def _prepared(prep, df, site):
     """The prepared matrix row by row: imputed and scaled numerics, and the
     drop-first one-hot columns folded into their sum and the hot one's name."""
-    df = _model(spark, sf_dir).where("site_code IS NOT NULL")
-    prep = M.fit_preprocess(df, NUM, ["site_code"], scaler="robust")
     t = prep.transform(df, keep=["date_key", "site_code"], prefix="p_")
-    hot = [c for c in t.columns if c.startswith("p_site_code_")]
+    hot = [c for c in t.columns if c.startswith(f"p_{site}_")]
     total = sum((F.col(c) for c in hot[1:]), F.col(hot[0])) if hot else F.lit(0.0)
-    name = F.coalesce(*[F.when(F.col(c) == 1, F.lit(c[len("p_site_code_"):])) for c in hot]) if hot else F.lit(None).cast("string")
+    name = F.coalesce(*[F.when(F.col(c) == 1, F.lit(c[len(f"p_{site}_"):])) for c in hot]) if hot else F.lit(None).cast("string")
     return _round(t.select("date_key", "site_code", *[F.col("p_" + c).alias(c) for c in NUM], total.alias("hot"), name.alias("hot_site")),
                   {c: 6 for c in NUM})
 
 
+@register("prepared_rows_filled", with_star("""
+SELECT date_key, site_code, """ + ", ".join(
+    f"round(coalesce({c}, m{i}) / CASE WHEN i{i} = 0 THEN 1 ELSE i{i} END, 6) AS {c}" for i, c in enumerate(NUM)) + """,
+  CASE WHEN filled = low THEN 0.0 ELSE 1.0 END AS hot, CASE WHEN filled = low THEN NULL ELSE filled END AS hot_site
+FROM (SELECT *, coalesce(gap_site, (SELECT gap_site FROM gapped WHERE gap_site IS NOT NULL GROUP BY 1 ORDER BY COUNT(*) DESC, 1 LIMIT 1)) AS filled,
+             (SELECT MIN(gap_site) FROM gapped) AS low FROM gapped),
+  (SELECT """ + ", ".join(
+    f"median({c}) AS m{i}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS i{i}" for i, c in enumerate(NUM)) + """ FROM gapped)""",
+    extra_ctes=_F + """,
+gapped AS (SELECT *, CASE WHEN date_key % 7 <> 0 THEN site_code END AS gap_site FROM model_df)"""))
+def q_prepared_rows_filled(spark, sf_dir):
+    """The prepared matrix of every row, sites missing on every seventh date
+    key (and wherever they are null) filled with the most frequent one."""
+    df = _model(spark, sf_dir).withColumn("gap_site", F.when(F.col("date_key") % 7 != 0, F.col("site_code")))
+    return _prepared(M.fit_preprocess(df, NUM, ["gap_site"], scaler="robust"), df, "gap_site")
+
+
 @register("prepared_gaps", with_star("SELECT CAST(0 AS BIGINT) AS bad_values FROM model_df LIMIT 1", extra_ctes=_F))
 def q_prepared_gaps(spark, sf_dir):
     """No gap is left after preparation."""

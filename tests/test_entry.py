@@ -55,3 +55,17 @@ def test_kpi_listing_holds_every_site(spark):
         part = got[got.kpi == kpi]
         assert len(part) == whole.count() and sorted(part.row_rank) == list(range(len(part)))
         assert part.site_code.nunique() == whole.select("site_code").distinct().count() > 1
+
+
+def test_prepared_rows_fill_missing_sites(spark):
+    """Rows without a site are kept and get the most frequent one."""
+    from plantwise.plans import checked
+    whole = checked._model(spark, SF_SMALL).select("date_key", "site_code").toPandas()
+    got = E.queries()["prepared_rows_filled"](spark, SF_SMALL).toPandas()
+    gaps = whole.date_key % 7 == 0
+    assert gaps.any() and len(got) == len(whole)
+    count = whole[~gaps].site_code.value_counts()
+    mode = min(count[count == count.max()].index)
+    low = whole[~gaps].site_code.min()
+    filled = got[got.date_key % 7 == 0]
+    assert (filled.hot_site.isna() if mode == low else filled.hot_site == mode).all()
