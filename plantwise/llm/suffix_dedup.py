@@ -1,12 +1,13 @@
-"""Suffix-array dedup (operator 2) by a depth-limited radix sort.
-
-Suffixes are grouped by most-significant-digit passes and only to the depth of
-the threshold: the first digit is the stretch from an anchor to the next (see
-:mod:`plantwise.llm.repeats`), the second the bytes that all windows of the
-anchor share, the last the whole reach of its windows, then single windows near
-the ends of repeats.  A suffix alone in its group leaves after each pass, so
-later passes shuffle only what may repeat; groups of two or more at full depth
-are exactly the repeated windows.
+"""Suffix dedup (operator 2) by hash grouping over anchors, in place of a
+depth-limited radix sort: no suffix is ordered.
+
+Groups are formed in passes and only to the depth of the threshold: first by
+the stretch from an anchor to the next (see :mod:`plantwise.llm.repeats`, shared
+with operator 1), then by the bytes that all windows of the anchor share, last
+by the whole reach of its windows, then by single windows near the ends of
+repeats.  What is alone in its group leaves after each pass, so later passes
+shuffle only what may repeat; groups of two or more at full depth are exactly
+the repeated windows.
 """
 
 from __future__ import annotations
