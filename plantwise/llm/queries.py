@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plantwise.llm import host_rules, substring_dedup, suffix_dedup, warc, winnowing
+from plantwise.llm import centroid_clustering, embedding_dedup, host_rules, ranked_search, substring_dedup, suffix_dedup, warc, winnowing
 from plantwise.llm.common import read_table
 from plantwise.llm.packing import pack
 from plantwise.llm.simhash import simhash_groups
@@ -54,7 +54,21 @@ def op10_packing(spark, sf_dir):
     return pack(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_simhash, op4_token_files, op5_site_quality, op6_token_counts, op7_quality_rules, op8_decontamination, op9_warc, op10_packing)}
+def op11_ranked_search(spark, sf_dir):
+    return ranked_search.ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_embedding_dedup(spark, sf_dir):
+    return embedding_dedup.embedding_dedup(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_centroid_clustering(spark, sf_dir):
+    return centroid_clustering.centroid_clustering(read_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_simhash, op4_token_files, op5_site_quality, op6_token_counts, op7_quality_rules, op8_decontamination, op9_warc, op10_packing,
+                                   op11_ranked_search, op12_embedding_dedup, op13_centroid_clustering)}
 
 #: DuckDB text of the queries that SQL can express.
-ORACLE: dict[str, str] = {"op1_substring_dedup": substring_dedup.ORACLE, "op2_suffix_dedup": suffix_dedup.ORACLE, "op7_quality_rules": host_rules.ORACLE, "op8_decontamination": winnowing.ORACLE, "op9_warc": warc.ORACLE}
+ORACLE: dict[str, str] = {"op1_substring_dedup": substring_dedup.ORACLE, "op2_suffix_dedup": suffix_dedup.ORACLE, "op7_quality_rules": host_rules.ORACLE, "op8_decontamination": winnowing.ORACLE, "op9_warc": warc.ORACLE,
+                          "op11_ranked_search": ranked_search.ORACLE, "op12_embedding_dedup": embedding_dedup.ORACLE, "op13_centroid_clustering": centroid_clustering.ORACLE}
