@@ -140,43 +140,29 @@ def plan_block(items: list[tuple[int, list[tuple[bytes, int]]]]) -> Plan:
     return plan
 
 
-def item_terms(items: DataFrame) -> DataFrame:
-    """``_item, terms, times`` of every row of ``_item, text`` that has a term."""
+def item_terms(items: DataFrame, limit: int) -> DataFrame:
+    """``_item, terms, times, block`` of every row of ``_item, text`` that has a
+    term.  A block is rows that follow each other, of together at most ``limit``
+    terms, or one row."""
 
     def run(batches):
+        block, filled = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
             for part in byte_slices(batch, 1, STEP):
-                rows, terms, times = [], [], []
+                out = []
                 for row, text in zip(part.column(0).to_pylist(), part.column(1).cast(pa.binary()).to_pylist()):
                     count: Counter[bytes] = Counter()
                     for run_ in term_runs(text):
                         count.update(map(named, run_))
                     if count:
-                        rows.append(row)
-                        terms.append(list(count))
-                        times.append(list(count.values()))
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(terms, pa.list_(pa.binary())), pa.array(times, pa.list_(pa.int64()))], names=["_item", "terms", "times"])
+                        if filled and filled + len(count) > limit:
+                            block, filled = block + 1, 0
+                        filled += len(count)
+                        out.append((row, list(count), list(count.values()), block))
+                cols = list(zip(*out)) or [[]] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.int64()))], names=["_item", "terms", "times", "block"])
 
-    return items.mapInArrow(run, "_item long, terms array<binary>, times array<long>")
-
-
-def blocked(terms: DataFrame, total: int, limit: int) -> DataFrame:
-    """``terms`` with ``block``: items that follow each other, of together at
-    most ``limit`` terms, or one item."""
-
-    def run(batches):
-        first, block, filled = (TaskContext.get().partitionId() << 32), -1, limit + 1
-        for batch in batches:
-            out = []
-            for n in pc.list_value_length(batch.column(1)).to_pylist():
-                if filled + n > limit:
-                    block, filled = block + 1, 0
-                filled += n
-                out.append(first + block)
-            yield batch.append_column("block", pa.array(out, pa.int64()))
-
-    cut = terms.repartitionByRange(max(1, -(-total // limit)), "_item").sortWithinPartitions("_item")
-    return cut.mapInArrow(run, "_item long, terms array<binary>, times array<long>, block long")
+    return items.mapInArrow(run, "_item long, terms array<binary>, times array<long>, block long")
 
 
 def postings(docs: DataFrame, vocab: dict[bytes, int]) -> DataFrame:
@@ -282,12 +268,12 @@ def ranked_search(docs: DataFrame, items: DataFrame, top: int = TOP, id_col: str
     src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     asked = items.select(F.monotonically_increasing_id().alias("_item"), F.col(item_col).alias("item_id"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
     asked = stages.write(asked, "items")
-    terms = stages.write(item_terms(asked.select("_item", "text")), "terms")
-    total = terms.agg(F.sum(F.size("terms"))).first()[0] or 0
-    terms = stages.write(blocked(terms, total, block_terms), "blocks")
+    # As few tasks as give full blocks: every block is a pass over the documents.
+    letters = asked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    terms = stages.write(item_terms(asked.select("_item", "text").coalesce(1 + letters // (4 * block_terms)), block_terms), "terms")
     found = []
-    for k, r in enumerate(terms.select("block").distinct().orderBy("block").collect()):
-        rows = terms.filter(F.col("block") == r.block).orderBy("_item").collect()
+    for k, block in enumerate(sorted(terms.agg(F.collect_set("block")).first()[0])):
+        rows = sorted(terms.filter(F.col("block") == block).collect(), key=lambda x: x._item)
         plan = plan_block([(x._item, [(bytes(t), n) for t, n in zip(x.terms, x.times)]) for x in rows])
         counted = stages.write(postings(src, plan.vocab), f"postings-{k}")
         stats = counted.agg(F.count_if(F.col("n") > 0).alias("docs"), F.sum("n").alias("terms")).first()
