@@ -37,6 +37,12 @@ def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_key"), text.alias("_text"))
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """Every row as the one column ``_doc``: helpers beside it can't clash with
+    the columns inside, and ``_doc.*`` gives the row back."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+
+
 def same_doc(a: DataFrame, b: DataFrame):
     """Null-safe equality of the row identity."""
     return a["_id"].eqNullSafe(b["_id"]) & (a["_key"] == b["_key"])

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plantwise.llm.common import Stages
+from plantwise.llm.common import Stages, whole_rows
 
 #: Thresholds of the document rules and of a host's verdict.
 MIN_WORDS = 50
@@ -119,18 +119,23 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def keep_by_rules(docs: DataFrame, text_col: str = "text", host_col: str = "source", max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
     """The input rows, all columns, that pass the base rules and whose host
     passes.  The texts are read twice and never shuffled for the host verdict
-    unless the rejected hosts are too many for a size-checked broadcast."""
+    unless the rejected hosts are too many for a size-checked broadcast.
+
+    Null and empty texts fail the base and go; null hosts form one host; null
+    ids and repeated rows are judged like any row; an empty table stays empty.
+    Rows travel as one value, so no column name clashes with a helper.
+    """
     stages = Stages(docs.sparkSession, "quality-rules")
-    src = docs.select(F.col(host_col).alias("_host"), F.col(text_col).alias("_text"))
+    src = docs.select(F.col(f"`{host_col}`").alias("_host"), F.col(f"`{text_col}`").alias("_text"))
     digest = rule_counts(src, F.col("_text")).drop("_text").withColumn("_failed", any_failed())
     verdicts = host_verdicts(stages.write(digest, "digest"), max_host_rate)
-    rejected = stages.write(verdicts.filter(~F.col("host_ok")).select("_host"), "rejected")
-    own = [F.col(f"`{c}`") for c in docs.columns]
+    rejected = stages.write(verdicts.filter(~F.col("host_ok")).select(F.col("_host").alias("_bad")), "rejected")
+    stages.drop("digest")
     # The row number keeps the optimizer from moving the filter below the counts,
     # where it would repeat their expressions inside each other.
-    counted = rule_counts(docs, F.col(text_col)).withColumn("_at", F.monotonically_increasing_id())
-    kept = counted.filter(~base_failed() & (F.col("_at") >= 0)).select(*own)
-    return kept.join(rejected, kept[host_col].eqNullSafe(rejected["_host"]), "left_anti")
+    counted = rule_counts(whole_rows(docs), F.col("_doc").getField(text_col)).withColumn("_at", F.monotonically_increasing_id())
+    kept = counted.filter(~base_failed() & (F.col("_at") >= 0)).select("_doc")
+    return kept.join(rejected, F.col("_doc").getField(host_col).eqNullSafe(F.col("_bad")), "left_anti").select("_doc.*")
 
 
 #: The same rows by DuckDB; the constants are those above.

@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plantwise.llm.common import Stages, byte_slices, ranges
+from plantwise.llm.common import Stages, byte_slices, ranges, whole_rows
 from plantwise.llm.components import connected_components
 
 #: Members of an index node.
@@ -297,23 +297,31 @@ def simhash_groups(docs: DataFrame, size: int = 4, max_bits: int = 4, seed: int
 def keep_one(docs: DataFrame, size: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input rows, all columns, with one document of each group of near
     duplicates: that with the least id (null ids last), of rows repeated with it
-    any one."""
-    marks = [F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))).alias("__pw_a"),
-             F.xxhash64(F.lit("__pw"), F.coalesce(F.col(text_col), F.lit("")), F.col(id_col)).alias("__pw_b")]
+    any one.
+
+    Null and empty texts have fingerprint zero and are one group with all that
+    are near it; an empty table stays empty.  Rows travel as one value, so no
+    column name clashes with a helper.
+    """
+    def marks(doc_id, text):
+        text = F.coalesce(text, F.lit(""))
+        return [F.xxhash64(doc_id, text).alias("_a"), F.xxhash64(F.lit("__pw"), text, doc_id).alias("_b")]
+
     stages = Stages(docs.sparkSession, "simhash")
-    src = docs.select(F.struct(F.col(id_col).cast("string").alias("id"), F.col(id_col).isNull().alias("none"), *marks).alias("row"), F.col(text_col).alias("text"))
+    own_id, own_text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    src = docs.select(F.struct(own_id.cast("string").alias("id"), own_id.isNull().alias("none"), *marks(own_id, own_text)).alias("row"), own_text.alias("text"))
     marked = stages.write(fingerprints(src, size, id_col="row"), "fingerprints")
     fps = stages.write(marked.select("fp").distinct(), "distinct")
     roots = fingerprint_components(fps, stages, max_bits)
     kind = docs.schema[id_col].dataType
-    order = F.struct(F.col("doc_id.none").alias("none"), F.col("doc_id.id").cast(kind).alias("id"), F.col("doc_id.__pw_a").alias("a"), F.col("doc_id.__pw_b").alias("b"))
+    order = F.struct(F.col("doc_id.none").alias("none"), F.col("doc_id.id").cast(kind).alias("id"), F.col("doc_id._a").alias("a"), F.col("doc_id._b").alias("b"))
     least = marked.groupBy("fp").agg(F.min(order).alias("least"))  # combined before any join: copies cost one row a task
     chosen = (least.join(roots, least["fp"] == roots["node"], "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("least").alias("least"))
-              .select(F.col("least.a").alias("__pw_ca"), F.col("least.b").alias("__pw_cb")))
+              .select(F.col("least.a").alias("_ca"), F.col("least.b").alias("_cb")))
     chosen = stages.write(chosen, "chosen")
     stages.drop("fingerprints", "distinct", "roots")
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    rows = docs.select(*own, *marks)
-    kept = rows.join(chosen, (rows["__pw_a"] == chosen["__pw_ca"]) & (rows["__pw_b"] == chosen["__pw_cb"]), "left_semi")
-    nth = F.row_number().over(W.partitionBy("__pw_a", "__pw_b").orderBy("__pw_a"))
-    return kept.withColumn("__pw_n", nth).filter("__pw_n = 1").select(*own)
+    doc = F.col("_doc")
+    rows = whole_rows(docs).select("_doc", *marks(doc.getField(id_col), doc.getField(text_col)))
+    kept = rows.join(chosen, (F.col("_a") == F.col("_ca")) & (F.col("_b") == F.col("_cb")), "left_semi")
+    nth = F.row_number().over(W.partitionBy("_a", "_b").orderBy("_a"))
+    return kept.withColumn("_n", nth).filter("_n = 1").select("_doc.*")

@@ -13,6 +13,7 @@ the repeated windows.
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 import pandas as pd
@@ -20,10 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plantwise.llm.common import Stages, keyed_texts
+from plantwise.llm.common import Stages, keyed_texts, whole_rows
 from plantwise.llm.repeats import for_length, map_texts, merged, repeated_spans, with_spans
 
 THRESHOLD = 400
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def repeated_bytes(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -58,44 +60,63 @@ def suffix_dedup(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc
     return map_texts(repeated_bytes(docs, threshold, id_col, text_col), row, fields)
 
 
-def without_repeats(docs: DataFrame, threshold: int = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
-    """The input rows, all columns, with repeated bytes cut from the texts.
-
-    A character goes only if all of its bytes do, so texts stay valid;
-    ``length_col``, if there, is the new length in characters.  Null texts stay
-    null, and a text that is wholly repeated becomes empty.
+def _byte_cuts(raw: bytes, first: np.ndarray, end: np.ndarray, words: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Token spans of a text as byte spans that split no character."""
+    if words:  # from the first byte of a word to that of the next word kept
+        starts = np.array([m.start() for m in _WORD.finditer(raw)] + [len(raw)], np.int64)
+        return starts[first], starts[end]
+    lead = np.r_[(np.frombuffer(raw, np.uint8) & 0xC0) != 0x80, True]  # where characters begin
+    begins = np.flatnonzero(lead)
+    first = begins[np.searchsorted(begins, first)]
+    end = begins[np.searchsorted(begins, end, side="right") - 1]
+    some = end > first
+    return first[some], end[some]
+
+
+def without_repeats(docs: DataFrame, threshold: int = THRESHOLD, words: bool = False, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """The input rows, all columns, without the tokens covered by a run of
+    ``threshold`` tokens that also starts anywhere else.
+
+    Tokens are bytes or, with ``words``, words between ASCII white space, which
+    also finds passages whose copies are spaced otherwise.  Of bytes, a
+    character goes only if all of its bytes do; words go with the white space
+    after them; what stays keeps its own spacing.  ``length_col``, if there, is
+    the new length in characters.  Null texts stay null, and a text that is
+    wholly repeated becomes empty; repeated rows lose what they share; null ids
+    are kept; an empty table stays empty.  Rows travel as one value, so no
+    column name clashes with a helper.
     """
     stages = Stages(docs.sparkSession, "suffix-dedup")
     texts = keyed_texts(docs, id_col, text_col)
-    spans = repeated_spans(texts, for_length(False, threshold), stages)
-    spans = spans.select(F.col("_id").alias("__pw_id"), F.col("_key").alias("__pw_key"), F.col("spans").alias("__pw_spans"))
-    own_key = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
-    joined = docs.join(spans, docs[id_col].eqNullSafe(spans["__pw_id"]) & (own_key == spans["__pw_key"]), "left")
+    spans = repeated_spans(texts, for_length(words, threshold), stages)
+    spans = spans.select(F.col("_id").alias("_sid"), F.col("_key").alias("_skey"), F.col("spans").alias("_spans"))
+    doc = F.col("_doc")
+    own_key = F.xxhash64(F.coalesce(doc.getField(text_col), F.lit("")))
+    rows = whole_rows(docs)
+    joined = rows.join(spans, doc.getField(id_col).eqNullSafe(F.col("_sid")) & (own_key == F.col("_skey")), "left")
 
     @F.pandas_udf(T.StringType())
     def cut(text: pd.Series, spans: pd.Series) -> pd.Series:
         out = []
         for t, s in zip(text, spans):
-            if t is None or s is None or not len(s):
-                out.append(t)
-                continue
-            raw = t.encode()
-            first, end = merged(list(s))
-            lead = np.r_[(np.frombuffer(raw, np.uint8) & 0xC0) != 0x80, True]  # where characters begin
-            begins = np.flatnonzero(lead)
-            first = begins[np.searchsorted(begins, first)]
-            end = begins[np.searchsorted(begins, end, side="right") - 1]
-            some = end > first
-            out.append(without(raw, first[some], end[some]).decode())
+            if t is not None and s is not None and len(s):
+                raw = t.encode()
+                t = without(raw, *_byte_cuts(raw, *merged(list(s)), words)).decode()
+            out.append(t)
         return pd.Series(out)
 
-    new = F.when(F.col("__pw_spans").isNull(), F.col(text_col)).otherwise(cut(F.col(text_col), F.col("__pw_spans")))
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    out = joined.withColumn(text_col, new)
-    if length_col in docs.columns:
-        kind = docs.schema[length_col].dataType
-        out = out.withColumn(length_col, F.when(F.col("__pw_spans").isNull(), F.col(length_col)).otherwise(F.length(text_col)).cast(kind))
-    return out.select(*own)
+    old = doc.getField(text_col)
+    joined = joined.withColumn("_new", F.when(F.col("_spans").isNull(), old).otherwise(cut(old, F.col("_spans"))))
+
+    def column(c):
+        if c == text_col:
+            return F.col("_new").alias(c)
+        own = doc.getField(c)
+        if c != length_col:
+            return own.alias(c)
+        return F.when(F.col("_spans").isNull(), own).otherwise(F.length("_new")).cast(docs.schema[c].dataType).alias(c)
+
+    return joined.select(*[column(c) for c in docs.columns])
 
 
 #: The same rows of :func:`suffix_dedup` by DuckDB, window by window on the bytes' hex text.

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plantwise.llm.common import Stages, byte_slices, keyed_texts
+from plantwise.llm.common import Stages, byte_slices, keyed_texts, whole_rows
 from plantwise.llm.wordhash import Windows, hash_words, selected, window_starts
 
 WINDOW = 13
@@ -159,12 +159,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The input rows, all columns, that aren't contaminated."""
+    """The input rows, all columns, that aren't contaminated.
+
+    Null and empty texts have no words and stay; rows repeated with a
+    contaminated one go with it; null ids are kept; empty tables, of documents
+    or of items, change nothing.  Rows travel as one value, so no column name
+    clashes with a helper.
+    """
     bad = contamination(docs, benchmark, id_col=id_col, text_col=text_col, with_key=True).filter("contaminated")
     stages = Stages(docs.sparkSession, "decontamination")
-    bad = stages.write(bad.select(F.col("doc_id").alias("__pw_id"), F.col("_key").alias("__pw_key")).distinct(), "contaminated")
-    key = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["__pw_id"]) & (key == bad["__pw_key"]), "left_anti")
+    bad = stages.write(bad.select(F.col("doc_id").alias("_bid"), F.col("_key").alias("_bkey")).distinct(), "contaminated")
+    doc = F.col("_doc")
+    key = F.xxhash64(F.coalesce(doc.getField(text_col), F.lit("")))
+    return whole_rows(docs).join(bad, doc.getField(id_col).eqNullSafe(F.col("_bid")) & (key == F.col("_bkey")), "left_anti").select("_doc.*")
 
 
 #: The same rows by DuckDB, window by window.

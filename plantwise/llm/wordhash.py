@@ -67,7 +67,7 @@ class Windows:
     def every(self, size: int) -> np.ndarray:
         """Hashes of all stretches of ``size`` elements."""
         n = len(self.sums) - size
-        return mix((self.sums[size:] - self.sums[:n]) * self.down[:n] + np.uint64(size) * _R2)
+        return mix((self.sums[size:] - self.sums[:n]) * self.down[:n] + np.uint64(size * int(_R2) % (1 << 64)))
 
 
 def window_starts(count: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

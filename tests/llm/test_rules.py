@@ -1,6 +1,7 @@
 """Rules, classifier, decontamination, archives, the pipeline and the SQL twins."""
 
 import os
+import random
 import sys
 
 import duckdb
@@ -20,7 +21,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con
 
@@ -28,7 +29,7 @@ def duck():
 def test_all_are_registered():
     names = set(E.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{k}" for k in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
@@ -53,6 +54,9 @@ def test_host_rules_odd_rows(odd_docs, no_docs):
     assert rows_of(out.toPandas()) == sql_rows(host_rules.ORACLE, documents=docs)
     kept = host_rules.keep_by_rules(odd_docs)
     assert kept.columns == odd_docs.columns and kept.count() == out.filter("kept").count()
+    extra = [f"`{c}`" for c in odd_docs.columns[5:]]
+    kept = host_rules.keep_by_rules(odd_docs, max_host_rate=2.0)
+    assert len(extra) > 40 and kept.count() and kept.select(*extra).distinct().collect() == [("k",) * len(extra)]  # values of helpers' names stay
     assert host_rules.quality_rules(no_docs).count() == 0
 
 
@@ -129,3 +133,35 @@ def test_pipeline_on_odd_rows(spark, odd_docs):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, odd_docs, SF)
         assert out.columns == odd_docs.columns and out.count() <= odd_docs.count(), name
+
+
+def passage_docs(seed=4):
+    """Documents with planted passages of 36 to 60 short words that stand in two
+    of them, some spaced otherwise, and documents without."""
+    r = random.Random(seed)
+    word = lambda: "".join(r.choices("abcdefghijklmnopqrstuvwxyzé", k=r.randint(1, 3)))
+    docs, planted = [], []
+    for k in range(12):
+        passage = [word() for _ in range(r.choice([36, 51, 55, 60]))]
+        for n in range(2):
+            own = [[word() + str(k * 2 + n) for _ in range(r.randint(5, 90))] for _ in range(2)]
+            gap = r.choice([" ", "  ", "\n", "\t "])
+            docs.append((2 * k + n, " ".join(own[0]) + "\n" + gap.join(passage) + " " + "  ".join(own[1]) + r.choice(["", "\n"]), own[0] + own[1]))
+            planted.append(passage)
+    clean = [(100 + k, "  ".join(word() + f"c{k}" for _ in range(80))) for k in range(8)]
+    return docs, clean
+
+
+def test_repeated_passages_of_short_words_go(spark, no_docs):
+    docs, clean = passage_docs()
+    rows = [(d, t, "en", "s", len(t)) for d, t, _ in docs] + [(d, t, "en", "s", len(t)) for d, t in clean] + [(200, None, None, None, None), (201, "", "en", "s", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    out = {r.doc_id: r for r in corpus_pipeline.repeated_passages(spark, df, SF).collect()}
+    assert min(len(t.encode()) for _, t, _ in docs) < 400 and len(out) == len(rows)
+    for d, text, own in docs:
+        assert out[d].text.split() == own and out[d].n_chars == len(out[d].text)
+        assert out[d].text.startswith(text[: text.index("\n") + 1])  # own spacing stays
+    for d, text in clean:
+        assert out[d].text == text
+    assert out[200].text is None and out[201].text == ""
+    assert corpus_pipeline.repeated_passages(spark, no_docs, SF).count() == 0
