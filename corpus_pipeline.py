@@ -14,29 +14,42 @@ from pyspark.sql import DataFrame, SparkSession
 from plantwise.llm import host_rules, packing, simhash, suffix_dedup, winnowing
 from plantwise.llm.common import Stages, read_table
 
+#: Words of a repeated passage, as in operator 1.
+PASSAGE_WORDS = 35
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and whose host passes (operator 7)."""
+    """Documents that pass the base rules and whose host passes (operator 7).
+    Null and empty texts go; null hosts are one host; repeated rows are judged
+    alike; an empty table stays empty."""
     return host_rules.keep_by_rules(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: 4-word shingles, 4 bits (operator 3)."""
+    """One document of each SimHash group: 4-word shingles, 4 bits (operator 3).
+    Texts without words are one group; of repeated rows one stays, null ids
+    last; an empty table stays empty."""
     return simhash.keep_one(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated 400-byte passages (operator 2)."""
-    return suffix_dedup.without_repeats(docs)
+    """Texts without passages of ``PASSAGE_WORDS`` words or more that stand
+    twice in the corpus (operator 2, on words: a passage of short words may have
+    few bytes, and its copies may be spaced otherwise).  Null texts stay null,
+    wholly repeated ones become empty; an empty table stays empty."""
+    return suffix_dedup.without_repeats(docs, threshold=PASSAGE_WORDS, words=True)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that aren't contaminated by the benchmark (operator 8)."""
+    """Documents that aren't contaminated by the benchmark (operator 8).  Null
+    and empty texts stay; empty tables change nothing."""
     return winnowing.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the remaining documents and their places in sequences (operator 10)."""
+    """Pieces of the remaining documents and their places in sequences
+    (operator 10).  Null and empty texts are their end token; repeated rows are
+    packed each; an empty table gives no rows."""
     return packing.pack(docs)
 
 
