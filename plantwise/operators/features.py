@@ -11,12 +11,14 @@ window.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantwise.functions.dates import date_key_parts, month_start_of_key
-from plantwise.functions.quantiles import quantiles
+from plantwise.functions.materialize import materialize
+from plantwise.functions.quantiles import WINDOW_ROWS, counted_values, quantiles, quantiles_of_counts, recounted
 from plantwise.functions.ranking import rank_rows
 from plantwise.functions.safe import ratio
 from plantwise.functions.scalars import with_scalars
@@ -79,21 +81,56 @@ def impute_hierarchical(df: DataFrame, cols: Sequence[str] = KPI_COLS,
     """``<c>_imp`` = value, else median by each level in turn (medians always
     of the original column; null group keys get no group median).
 
-    Each level is one multi-column quantile pass (columns stacked) and one
-    join.
+    The values are counted once, per all level keys together; the levels are
+    grouping sets over the counted table, and one quantile walk gives the
+    medians of every level and column.
     """
-    cols = list(cols)
+    cols, levels = list(cols), [list(lv) for lv in levels]
+    if method != "exact":
+        return _impute_by_level(df, cols, levels, suffix, method)
+    keys = list(dict.fromkeys(k for lv in levels for k in lv))
+    base = _stack(df, cols, keys).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    counted = materialize(base.groupBy("kpi", *keys, "value").agg(F.count(F.lit(1)).alias("n")), "kpi-values")
+    # One row a level: its keys as text, the others empty; a null key has no level.
+    none = F.lit("")
+    sets = [F.when(_all_known(lv), F.struct(F.lit(i).alias("__lv"), *[(F.col(k).cast("string") if k in lv else none).alias(f"__k_{k}") for k in keys]))
+            for i, lv in enumerate(levels)]
+    by = ["kpi", "__lv", *[f"__k_{k}" for k in keys]]
+    parts = counted.select("kpi", "value", "n", F.explode(F.array(*sets)).alias("__set")).where(F.col("__set").isNotNull()).select("kpi", "__set.*", "value", "n")
+    parts = parts.groupBy(*by, F.col("value").alias("__q_v")).agg(F.sum("n").alias("__q_n"))
+    rows = counted.count() * len(levels)   # no level has more values
+    if rows > WINDOW_ROWS:
+        parts = materialize(parts, "level-values")
+    medians = materialize(quantiles_of_counts(parts, by, [0.5], ["med"], rows), "level-medians")
+    out = df
+    fills = {c: [] for c in cols}
+    for i, lv in enumerate(levels):
+        one = medians.where(F.col("__lv") == i)
+        g = one.groupBy(*[F.col(f"__k_{k}").alias(f"__k{i}_{k}") for k in lv]) if lv else one.groupBy()
+        wide = g.agg(*[F.max(F.when(F.col("kpi") == c, F.col("med"))).alias(f"__med{i}_{c}") for c in cols])
+        if lv:
+            out = out.join(wide, reduce(lambda a, b: a & b, [F.col(k).cast("string") == F.col(f"__k{i}_{k}") for k in lv]), "left")
+        else:
+            out = with_scalars(out, wide)
+        for c in cols:
+            fills[c].append(F.col(f"__med{i}_{c}"))
+    return out.select(*df.columns, *[F.coalesce(F.col(c), *fills[c]).alias(c + suffix) for c in cols])
+
+
+def _all_known(cols: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols], F.lit(True))
+
+
+def _impute_by_level(df: DataFrame, cols: list[str], levels: list[list[str]], suffix: str, method: str) -> DataFrame:
+    """:func:`impute_hierarchical` with one (approximate) quantile pass a level."""
     out = df
     fills = {c: [] for c in cols}
     for i, lv in enumerate(levels):
-        lv = list(lv)
         wide = _group_stats_wide(df, cols, lv, [0.5], [f"med{i}"], method)
         out = out.join(wide, lv, "left") if lv else with_scalars(out, wide)
         for c in cols:
             fills[c].append(F.col(f"__med{i}_{c}"))
-    for c in cols:
-        out = out.withColumn(c + suffix, F.coalesce(F.col(c), *fills[c]))
-    return out.drop(*[f"__med{i}_{c}" for i in range(len(levels)) for c in cols])
+    return out.select(*df.columns, *[F.coalesce(F.col(c), *fills[c]).alias(c + suffix) for c in cols])
 
 
 def series_order(date_col: str = "month_start", tie: str = "date_key") -> list[Column]:
@@ -232,11 +269,24 @@ def add_robust_features(df: DataFrame, cols: Sequence[str] = IMP_COLS,
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
-    med = _group_stats_wide(df, cols, [], [0.5], ["med"], method)
-    dev = with_scalars(df, med).select(*[F.abs(F.col(c) - F.col(f"__med_{c}")).alias(c) for c in cols])
-    mad = _group_stats_wide(dev, cols, [], [0.5], ["mad"], method)
+    if method == "exact":
+        counted = materialize(counted_values(_stack(df, cols, []), "value", ["kpi"]), "kpi-values")
+        rows = counted.count()
+        med = quantiles_of_counts(counted, ["kpi"], [0.5], ["med"], rows)
+        if rows > WINDOW_ROWS:
+            med = materialize(med, "kpi-medians")
+        # deviations of distinct values, with their counts
+        apart = recounted(counted.join(med, "kpi"), F.abs(F.col("__q_v") - F.col("med")), ["kpi"])
+        if rows > WINDOW_ROWS:
+            apart = materialize(apart, "kpi-deviations")
+        both = med.join(quantiles_of_counts(apart, ["kpi"], [0.5], ["mad"], rows), "kpi")
+        stats = both.agg(*[F.max(F.when(F.col("kpi") == c, F.col(p))).alias(f"__{p}_{c}") for c in cols for p in ("med", "mad")])
+    else:
+        med = _group_stats_wide(df, cols, [], [0.5], ["med"], method)
+        dev = with_scalars(df, med).select(*[F.abs(F.col(c) - F.col(f"__med_{c}")).alias(c) for c in cols])
+        stats = with_scalars(med, _group_stats_wide(dev, cols, [], [0.5], ["mad"], method))
     sd = df.agg(*[F.stddev_samp(c).alias(f"__sd_{c}") for c in cols])
-    out = with_scalars(with_scalars(with_scalars(df, med), mad), sd)
+    out = with_scalars(with_scalars(df, materialize(stats, "kpi-scales")), sd)
     for c in cols:
         scale = F.when(F.col(f"__mad_{c}") != 0, F.col(f"__mad_{c}")) \
             .when(F.col(f"__sd_{c}") > 0, F.col(f"__sd_{c}")).otherwise(F.lit(1.0))

@@ -103,6 +103,17 @@ def test_quantiles_global_empty_and_nulls(spark):
     assert len(r) == 1 and r[0][0] is None
 
 
+def test_quantile_walks_agree(spark, monkeypatch):
+    """Both walks over one counted table, with groups, gaps and null keys."""
+    from plantwise.functions import quantiles as Q
+    df = spark.range(4000).selectExpr("IF(id % 11 = 0, null, id % 5) AS g", "IF(id % 7 = 0, null, pow(id % 97, 3) * IF(id % 2 = 0, -0.5, 1)) AS v")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
+    one = {r.g: tuple(r) for r in quantiles(df, "v", probs, by=["g"]).collect()}
+    monkeypatch.setattr(Q, "WINDOW_ROWS", 0)
+    two = {r.g: tuple(r) for r in quantiles(df, "v", probs, by=["g"]).collect()}
+    assert one == two and set(one) == {0, 1, 2, 3, 4}
+
+
 def test_rank_rows_distributed(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("g"), (F.col("id") * 37 % 1000).alias("v"))
     r = rank_rows(df, ["v"], by=["g"]).collect()
@@ -124,9 +135,13 @@ def test_sample_moments_match_pandas(spark):
     assert r[1] == pytest.approx(s.kurtosis(), rel=1e-9)
 
 
-def test_quantiles_hot_value_and_close_values(spark):
+@pytest.mark.parametrize("window_rows", [None, 0])
+def test_quantiles_hot_value_and_close_values(spark, monkeypatch, window_rows):
     """A value in a third of the rows is one counted row, and values that share
-    a bucket and a cell are told apart."""
+    a bucket and a cell are told apart, by running sums and by buckets."""
+    from plantwise.functions import quantiles as Q
+    if window_rows is not None:
+        monkeypatch.setattr(Q, "WINDOW_ROWS", window_rows)
     eps = 2.0 ** -52
     xs = [0.0] * 400 + [1.0 + k * eps for k in range(400)] + [-1e300, 1e300, -5.0, 1e-310] * 100
     df = spark.createDataFrame([(x,) for x in xs], "v double").repartition(4)
