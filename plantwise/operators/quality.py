@@ -14,7 +14,6 @@ counts stay in the message.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -313,20 +312,24 @@ def offenders(star: Star) -> DataFrame:
 
 # -------------------------------------------------------------- reconciliation
 
-def _recon_rule(dev: DataFrame, rid: str, tol: float, meta_digits: int | None) -> DataFrame:
+def _recon_row(dev: DataFrame, tol: float) -> DataFrame:
     off = F.struct("y", "m", "site_code", "rel_diff")
-    row = dev.agg(F.max("rel_diff").alias("mx"),
-                  F.sort_array(F.collect_list(F.when(F.col("rel_diff") > tol, off))).alias("off"))
+    return dev.agg(F.max("rel_diff").alias("mx"), F.sort_array(F.collect_list(F.when(F.col("rel_diff") > tol, off))).alias("off"))
+
 
+def _recon_meta(off: Column, meta_digits: int | None) -> Column:
     def shape(x):
         r = x["rel_diff"]
         if meta_digits is not None:
             r = F.floor(r * float(10 ** meta_digits) + 0.5001) / float(10 ** meta_digits)
         return F.struct(x["site_code"].alias("site_code"), r.alias("rel_diff"))
 
-    meta = F.to_json(F.transform("off", shape), {"ignoreNullFields": "false"})
+    return F.to_json(F.transform(off, shape), {"ignoreNullFields": "false"})
+
+
+def _recon_rule(dev: DataFrame, rid: str, tol: float, meta_digits: int | None) -> DataFrame:
     msg = _txt(RECON_MESSAGE, percent_text("mx"))
-    return qa_assert(row, rid, F.col("mx") <= tol, msg, meta)
+    return qa_assert(_recon_row(dev, tol), rid, F.col("mx") <= tol, msg, _recon_meta(F.col("off"), meta_digits))
 
 
 def rule_recon_cost_vs_production(star: Star, tol: float = RECON_TOLERANCE,
@@ -481,33 +484,98 @@ def dims_from_keys(keys: dict[str, DataFrame]) -> Star:
                 S.dim_date(c, m, e), derived=True)
 
 
-def _weighted_orphans(keys_df: DataFrame, dim: DataFrame, cols: list[str], key_expr: Column,
-                      count_name: str, list_name: str) -> DataFrame:
-    per_key = keys_df.groupBy(*cols).agg(F.sum("n").alias("__rows"))
-    hit = dim.select(*cols).distinct().withColumn("__hit", F.lit(True))
-    j = per_key.join(hit, cols, "left").withColumn("__orphan", F.col("__hit").isNull())
-    return j.agg(
-        F.coalesce(F.sum(F.when(F.col("__orphan"), F.col("__rows"))), F.lit(0)).alias(count_name),
-        _sorted_keys(key_expr, F.col("__orphan")).alias(list_name))
+def _results(row: DataFrame, rules: list[tuple]) -> DataFrame:
+    """One ``qa.results`` row a rule ``(rule_id, ok, message, meta)`` from one
+    row that holds what all of them need."""
+    one = [F.struct(F.lit(rid).alias("rule_id"), ok.cast("boolean").alias("ok"), message.cast("string").alias("message"),
+                    (F.lit("[]") if meta is None else F.coalesce(meta.cast("string"), F.lit("[]"))).alias("meta"))
+           for rid, ok, message, meta in rules]
+    return row.select(F.explode(F.array(*one)).alias("r")).select("r.*", F.current_timestamp().alias("run_ts"))
+
 
+_FACTS = {"costs": "c", "manufacturing": "m", "energy": "e"}
+_WHICH = {"costs": ["date", "site"], "manufacturing": ["date", "site", "line", "prod"], "energy": ["date", "site", "line"]}
+_KEY_OF = {"date": ["date_key"], "site": ["site_code"], "line": ["site_code", "line_code"], "prod": ["product_code"]}
 
-def _pair_frame(left: DataFrame, right: DataFrame, dd: DataFrame) -> DataFrame:
-    """Fan-out pair sums per (date_key, site) from per-key sums and counts."""
-    lk = left.groupBy("date_key", "site_code").agg(F.sum("s").alias("__ls"), F.sum("n").alias("__ln"))
-    rk = right.groupBy("date_key", "site_code").agg(F.sum("s").alias("__ms"), F.sum("n").alias("__mn"))
-    j = lk.join(dd.select("date_key", "y", "m"), "date_key").join(rk, ["date_key", "site_code"], "left")
-    return j.select("date_key", "y", "m", "site_code",
-                    (F.col("__ls") * F.greatest(F.coalesce(F.col("__mn"), F.lit(0)), F.lit(1)))
-                    .alias("__pair_l"),
-                    (F.col("__ln") * F.col("__ms")).alias("__pair_r"))
 
+def key_ledger(keys: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
+    """``which, k1, k2``: every key that a fact or a dimension holds, tagged with
+    its kind, with the dimension rows ``dim_n`` (of dates also ``day``) and, per
+    fact, rows ``n_*`` and invalid rows ``bad_*`` behind it.
 
-def _recon_from_pairs(pairs: DataFrame, total_name: str) -> DataFrame:
-    base = (pairs.groupBy("y", "m", "site_code")
-            .agg(F.sum("__pair_l").cast("double").alias("total_cost_brl"),
-                 F.sum("__pair_r").cast("double").alias(total_name))
-            .where(F.col(total_name) > 0))
-    return K.recon_deviation(base, total_name)
+    The facts' kinds are grouping sets over their key tables; facts and
+    dimensions meet in one grouped union, so every table is read once and one
+    shuffle answers what the rules ask of any of them.
+    """
+    none = F.lit(None)
+
+    def tagged(which):
+        cols = [F.col(c).cast("string") for c in _KEY_OF[which]] + [none.cast("string")]
+        return F.struct(F.lit(which).alias("which"), cols[0].alias("k1"), cols[1].alias("k2"))
+
+    def wide(df, dim_n, day, **own):
+        cells = [own.get(f"{x}_{t}", F.lit(0).cast("long")).alias(f"{x}_{t}") for x in ("n", "bad") for t in _FACTS.values()]
+        return df.select("g.*", dim_n.cast("long").alias("dim_n"), day.cast("date").alias("day"), *cells)
+
+    parts = []
+    for name, t in _FACTS.items():
+        f = keys[name].select(F.explode(F.array(*[tagged(w) for w in _WHICH[name]])).alias("g"), "n", "bad")
+        parts.append(wide(f, F.lit(0), none, **{f"n_{t}": F.col("n"), f"bad_{t}": F.col("bad")}))
+    for which, dim in dims.items():
+        day = [F.col("date").alias("day")] if which == "date" else []
+        parts.append(wide(dim.select(tagged(which).alias("g"), *day), F.lit(1), F.col("day") if day else none))
+    both = reduce(lambda a, b: a.unionByName(b), parts)
+    sums = [c for c in both.columns if c not in ("which", "k1", "k2", "day")]
+    return both.groupBy("which", "k1", "k2").agg(F.max("day").alias("day"), *[F.sum(c).alias(c) for c in sums])
+
+
+def _ledger_row(ledger: DataFrame) -> DataFrame:
+    """What R1 to R10 need, as one row."""
+    of = lambda which: F.col("which") == which
+    total = lambda cond, c: F.coalesce(F.sum(F.when(cond, F.col(c))), F.lit(0).cast("long"))
+    broken = F.col("k1").isNull() | (of("line") & F.col("k2").isNull())
+    orphan = (F.col("dim_n") == 0) | broken
+    text = F.when(of("line"), key_text("k1", "k2")).otherwise(F.col("k1"))
+    out = [total(of(w), "dim_n").alias(f"rows_{w}") for w in _KEY_OF]
+    for t in _FACTS.values():
+        held = F.col(f"n_{t}") > 0
+        out += [total(of("date"), f"n_{t}").alias(f"rows_{t}"), total(of("date"), f"bad_{t}").alias(f"bad_{t}"),
+                F.max(F.when(of("date") & held & ~orphan, F.col("day"))).alias(f"newest_{t}")]
+    for name, t in _FACTS.items():
+        for w in _WHICH[name]:
+            bad = of(w) & orphan & (F.col(f"n_{t}") > 0)
+            out += [total(bad, f"n_{t}").alias(f"missing_{t}_{w}"), _sorted_keys(text, bad).alias(f"keys_{t}_{w}")]
+    for w in ("site", "line", "prod"):
+        twice = of(w) & (F.col("dim_n") > 1)
+        out += [F.count_if(twice).alias(f"twice_{w}"), _sorted_keys(text, twice).alias(f"twice_keys_{w}"),
+                total(of(w) & F.col("k1").isNull(), "dim_n").alias(f"null1_{w}"),
+                total(of(w) & F.col("k2").isNull(), "dim_n").alias(f"null2_{w}"), total(of(w) & broken, "dim_n").alias(f"broken_{w}")]
+    return ledger.agg(*out)
+
+
+def pair_sums(keys: dict[str, DataFrame]) -> DataFrame:
+    """Per (date_key, site): sum and row count of each fact and the FX sum, from
+    one grouped union of the key tables; what a fact lacks is null."""
+    parts = []
+    for name, t in _FACTS.items():
+        cols = [F.col("s").alias(f"s_{t}"), F.col("n").alias(f"n_{t}"), *([F.col("s_fx")] if t == "c" else [])]
+        parts.append(keys[name].select("date_key", "site_code", *cols))
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return both.groupBy("date_key", "site_code").agg(*[F.sum(c).alias(c) for c in both.columns[2:]])
+
+
+def _fanned(pairs: DataFrame, dd: DataFrame) -> DataFrame:
+    """The fan-out pair sums of cost and units (``cm``), cost and energy (``ce``)
+    and energy and units (``em``) per (date_key, site) of the calendar."""
+    j = pairs.join(dd.select("date_key", "y", "m"), "date_key")
+    out = []
+    for a, b in ("cm", "ce", "em"):
+        here = F.col(f"n_{a}") > 0
+        other = lambda c: F.when(F.col("site_code").isNotNull(), F.col(c))  # noqa: E731  a null site matches nothing
+        n, v = other(f"n_{b}"), other(f"s_{b}")
+        out += [F.when(here, F.col(f"s_{a}") * F.greatest(F.coalesce(n, F.lit(0)), F.lit(1))).alias(f"{a}{b}_l"),
+                F.when(here, F.col(f"n_{a}") * v).alias(f"{a}{b}_r")]
+    return j.select("date_key", "y", "m", "site_code", *out)
 
 
 def run_suite(star: Star, as_of=None, meta_digits: int | None = None,
@@ -518,90 +586,59 @@ def run_suite(star: Star, as_of=None, meta_digits: int | None = None,
     The facts are judged against the star's own dimensions and calendar; only
     a star whose dimensions were derived from its facts (``build_star``) has
     them rebuilt from the key tables, which gives the same rows."""
+    from plantwise.functions.materialize import materialize, materialize_all
     keys = fact_key_tables(star, materialized)
-    ks = dims_from_keys(keys) if star.derived else replace(
-        star, fact_costs=keys["costs"], fact_manufacturing=keys["manufacturing"],
-        fact_energy=keys["energy"])
-    if materialized:   # dimensions feed most rules: derive them once
-        from plantwise.functions.materialize import materialize_all
-        names = ("dim_site", "dim_line", "dim_product", "dim_date")
-        for d, df in materialize_all({d: getattr(ks, d) for d in names}).items():
-            setattr(ks, d, df)
-    c, mk, e = keys["costs"], keys["manufacturing"], keys["energy"]
-
-    # R1: dimension sizes and fact row counts
-    dims = ["dim_date", "dim_site", "dim_line", "dim_product"]
-    facts = {"fact_costs": c, "fact_manufacturing": mk, "fact_energy": e}
-    # one aggregate per key table feeds R1 (rows) and R5..R7 (invalid rows)
-    totals = {n: f.agg(F.coalesce(F.sum("n"), F.lit(0)).alias(n),
-                       F.coalesce(F.sum("bad"), F.lit(0)).alias("c")) for n, f in facts.items()}
-    row = _one_row([getattr(ks, n).agg(F.count(F.lit(1)).alias(n)) for n in dims]
-                   + [t.select(n) for n, t in totals.items()])
-    names = dims + list(facts)
-    parts = []
-    for i, n in enumerate(names):
-        parts += ([MSG_SEPARATOR] if i else []) + [f"{n}=", _s(n)]
-    r1 = qa_assert(row, "R1_COUNTS", reduce(lambda a, b: a & b, [F.col(n) > 0 for n in names]),
-                   _txt(*parts))
-
-    # R2: freshness from the calendar of each fact
-    fresh = []
-    for rid, kt, unit in (("R2A_FRESHNESS_COSTS", c, "month"), ("R2B_FRESHNESS_MANU", mk, "day"),
-                          ("R2C_FRESHNESS_ENERGY", e, "day")):
-        mx = _max_date(kt, ks.dim_date)
-        today = _as_of(as_of)
-        if unit == "month":
-            lag, limit, label = month_lag("max_date", today), MAX_MONTH_LAG, MSG_MONTH_LAG
-        else:
-            lag, limit, label = day_lag("max_date", today), MAX_DAY_LAG, MSG_DAY_LAG
-        fresh.append(qa_assert(mx, rid, lag <= limit, _txt(lag.cast("string"), label),
-                               json_object(max_date=F.col("max_date"))))
-
-    # R5..R7: invalid rows counted during the key aggregation
-    dom = [qa_assert(_one_row([totals[n].select("c")]), rid,
-                     F.col("c") == 0, _txt(MSG_INVALID_ROWS, _s("c")))
-           for rid, n in (("R5_DOMAIN_COSTS", "fact_costs"), ("R6_DOMAIN_MANU", "fact_manufacturing"),
-                          ("R7_DOMAIN_ENERGY", "fact_energy"))]
-
-    # R8..R10: orphans, weighted by the fact rows behind each key
-    dim_spec = {"date": (ks.dim_date, ["date_key"], F.col("date_key"), "bad_date_keys"),
-                "site": (ks.dim_site, ["site_code"], F.col("site_code"), "bad_sites"),
-                "line": (ks.dim_line, ["site_code", "line_code"],
-                         key_text("site_code", "line_code"), "bad_lines"),
-                "prod": (ks.dim_product, ["product_code"], F.col("product_code"), "bad_products")}
-    fk = []
-    for rid, kt, checks in (("R8_FK_COSTS", c, ["date", "site"]),
-                            ("R9_FK_MANU", mk, ["date", "site", "line", "prod"]),
-                            ("R10_FK_ENERGY", e, ["date", "site", "line"])):
-        frames, cn = [], []
-        for k in checks:
-            dim, cols, expr, lname = dim_spec[k]
-            frames.append(_weighted_orphans(kt, dim, cols, expr, "missing_" + k, lname))
-            cn.append(("missing_" + k, lname))
-        row = _one_row(frames)
-        msg = []
-        for i, (cname, _) in enumerate(cn):
-            msg += ([MSG_SEPARATOR] if i else []) + [f"{cname}=", _s(cname)]
-        meta = {ln: (F.transform(F.col(ln), lambda x: x.cast("int")) if ln == "bad_date_keys"
-                     else F.col(ln)) for _, ln in cn}
-        fk.append(qa_assert(row, rid, reduce(lambda a, b: a & b, [F.col(x) == 0 for x, _ in cn]),
-                            _txt(*msg), json_object(**meta)))
-
-    # R11, R12: reconciliation from the same per-key sums
-    rec = [_recon_rule(_recon_from_pairs(_pair_frame(c, mk, ks.dim_date), "total_units"),
-                       "R11_RECON_COST_VS_PROD", RECON_TOLERANCE, meta_digits),
-           _recon_rule(_recon_from_pairs(_pair_frame(c, e, ks.dim_date), "total_kwh"),
-                       "R12_RECON_COST_VS_ENERGY", RECON_TOLERANCE, meta_digits)]
-
-    # R13: KPIs from the key tables
-    cost = _pair_frame(c, mk, ks.dim_date).select(
-        K._dratio("__pair_l", "__pair_r").alias("cost_per_unit"))
-    energy = _pair_frame(e, mk, ks.dim_date).select(
-        K._dratio("__pair_l", "__pair_r").alias("kwh_per_unit"))
-    fx = c.groupBy("date_key", "site_code").agg(
-        K._dratio(F.sum("s_fx"), F.sum("s")).alias("fx_effect_ratio"))
-    r13 = rule_kpi_range(ks, {"kpi_cost_per_unit": cost, "kpi_energy_per_unit": energy,
-                              "kpi_fx_effect": fx})
-
-    parts = [r1, *fresh, rule_dim_keys_not_null(ks), rule_dim_duplicates(ks), *dom, *fk, *rec, r13]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    ks = dims_from_keys(keys) if star.derived else star
+    dims = {"date": ks.dim_date, "site": ks.dim_site, "line": ks.dim_line, "prod": ks.dim_product}
+    pairs = pair_sums(keys)
+    if materialized:   # independent of each other: concurrent jobs
+        small = materialize_all({**dims, "pairs": pairs})
+        pairs = small.pop("pairs")
+        dims = small
+    fanned = _fanned(pairs, dims["date"])
+    months = fanned.groupBy("y", "m", "site_code").agg(*[F.sum(c).cast("double").alias(c) for c in ("cm_l", "cm_r", "ce_l", "ce_r")])
+    if materialized:
+        months = materialize(months, "months")
+
+    frames = [_ledger_row(key_ledger(keys, dims))]
+    for p, total in (("cm", "total_units"), ("ce", "total_kwh")):
+        base = months.select("y", "m", "site_code", F.col(f"{p}_l").alias("total_cost_brl"), F.col(f"{p}_r").alias(total)).where(F.col(total) > 0)
+        frames.append(_recon_row(K.recon_deviation(base, total), RECON_TOLERANCE).select(F.col("mx").alias(f"mx_{p}"), F.col("off").alias(f"off_{p}")))
+    far = lambda a, b: (K._dratio(a, b) < 0) | (K._dratio(a, b) > KPI_MAX)
+    frames.append(fanned.agg(F.count_if(far("cm_l", "cm_r")).alias("far_c"), F.count_if(far("em_l", "em_r")).alias("far_e")))
+    frames.append(pairs.where("n_c > 0").agg(F.count_if(F.abs(K._dratio("s_fx", "s_c")) > FX_MAX_ABS).alias("far_f")))
+    # One row of all of them: a union and a first value a column, since each field
+    # taken from a scalar subquery would plan that subquery anew.
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    row = both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
+    if materialized:
+        row = materialize(row, "suite")
+
+    none = lambda *names: reduce(lambda a, b: a & b, [F.col(n) == 0 for n in names])
+    counts = {"dim_date": "rows_date", "dim_site": "rows_site", "dim_line": "rows_line", "dim_product": "rows_prod",
+              "fact_costs": "rows_c", "fact_manufacturing": "rows_m", "fact_energy": "rows_e"}
+    rules = [("R1_COUNTS", reduce(lambda a, b: a & b, [F.col(c) > 0 for c in counts.values()]),
+              _joined([f"{n}=" for n in counts], list(counts.values())), None)]
+    today = _as_of(as_of)
+    for rid, t, lag_of, limit, label in (("R2A_FRESHNESS_COSTS", "c", month_lag, MAX_MONTH_LAG, MSG_MONTH_LAG),
+                                         ("R2B_FRESHNESS_MANU", "m", day_lag, MAX_DAY_LAG, MSG_DAY_LAG),
+                                         ("R2C_FRESHNESS_ENERGY", "e", day_lag, MAX_DAY_LAG, MSG_DAY_LAG)):
+        lag = lag_of(f"newest_{t}", today)
+        rules.append((rid, lag <= limit, _txt(lag.cast("string"), label), json_object(max_date=F.col(f"newest_{t}"))))
+    rules.append(("R3_DIM_KEYS_NOT_NULL", none("null1_site", "broken_line", "null1_prod"),
+                  _joined(MSG_NULL_KEYS, ["null1_site", "null1_line", "null2_line", "null1_prod"]), None))
+    rules.append(("R4_DIM_DUPLICATES", none("twice_site", "twice_line", "twice_prod"), _joined(MSG_DUPLICATES, ["twice_site", "twice_line", "twice_prod"]),
+                  json_object(dup_site=F.col("twice_keys_site"), dup_line=F.col("twice_keys_line"), dup_prod=F.col("twice_keys_prod"))))
+    for rid, t in (("R5_DOMAIN_COSTS", "c"), ("R6_DOMAIN_MANU", "m"), ("R7_DOMAIN_ENERGY", "e")):
+        rules.append((rid, none(f"bad_{t}"), _txt(MSG_INVALID_ROWS, _s(f"bad_{t}")), None))
+    lists = {"date": "bad_date_keys", "site": "bad_sites", "line": "bad_lines", "prod": "bad_products"}
+    for rid, name in (("R8_FK_COSTS", "costs"), ("R9_FK_MANU", "manufacturing"), ("R10_FK_ENERGY", "energy")):
+        t, which = _FACTS[name], _WHICH[name]
+        found = {lists[w]: F.transform(F.col(f"keys_{t}_{w}"), lambda x: x.cast("int")) if w == "date" else F.col(f"keys_{t}_{w}") for w in which}
+        rules.append((rid, none(*[f"missing_{t}_{w}" for w in which]), _joined([f"missing_{w}=" for w in which], [f"missing_{t}_{w}" for w in which]),
+                      json_object(**found)))
+    for rid, p in (("R11_RECON_COST_VS_PROD", "cm"), ("R12_RECON_COST_VS_ENERGY", "ce")):
+        rules.append((rid, F.col(f"mx_{p}") <= RECON_TOLERANCE, _txt(RECON_MESSAGE, percent_text(f"mx_{p}")), _recon_meta(F.col(f"off_{p}"), meta_digits)))
+    far_all = F.col("far_c") + F.col("far_e") + F.col("far_f")
+    rules.append(("R13_KPI_VALID_RANGE", far_all == 0, _txt(MSG_KPI_RANGE, far_all.cast("string")), None))
+    return _results(row, rules)
