@@ -23,8 +23,11 @@ from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plantwise.functions.materialize import materialize
 from plantwise.functions.quantiles import quantiles
 from plantwise.functions.ranking import rank_rows
+from plantwise.functions.safe import ratio
+from plantwise.functions.scalars import with_scalars
 from plantwise.operators.metrics import regression_metrics
 
 FEATURES = "features"
@@ -133,7 +136,7 @@ def regressors(n_rows: int | None = None, y_std_pop: float | None = None,
         "Ridge": LinearRegression(regParam=ridge_reg, elasticNetParam=0.0, standardization=False,
                                   solver="normal"),
         "Lasso": LinearRegression(regParam=0.001, elasticNetParam=1.0, standardization=False,
-                                  maxIter=10000),
+                                  maxIter=10000, tol=1e-12),
         "RandomForest": RandomForestRegressor(numTrees=rf_trees, maxDepth=10,
                                               featureSubsetStrategy="0.7", seed=seed),
     }
@@ -328,34 +331,53 @@ def tree_importances(prep: PreprocessModel, model: PipelineModel, top: int | Non
 
 def permutation_importance(prep: PreprocessModel, model: PipelineModel, test: DataFrame,
                            target: str, cols: Sequence[str], repeats: int = 20,
-                           seed: int = 42) -> DataFrame:
+                           seed: int = 42, order: Sequence[str] | None = None) -> DataFrame:
     """Mean and std of the R2 drop when one raw input column is shuffled.
 
-    A shuffle is a join of the column's values onto other rows by rank: rows
-    get a rank in a fixed order and in a random order (both distributed),
-    and the value at random rank r moves to the row at fixed rank r.
+    Rows get a rank in ``order`` (by default a hash of the row, so a lost block
+    is rebuilt alike).  In each repeat they get a second rank by the MD5 of
+    ``<seed + repeat>|<rank>``: the row at that rank receives the values of the
+    row that drew it.  One grouped ranking serves all repeats, one donor order a
+    repeat serves all columns, and every (column, repeat) pair is scored in the
+    same job and reduced by group.
     """
-    spark = test.sparkSession
-    # A fixed order by the row's own values, so a lost block is rebuilt alike.
-    tie = F.xxhash64(*[F.col(c) for c in test.columns])
-    keyed = rank_rows(test.withColumn("__tie", tie), ["__tie"], name="__r0").cache()
-    base = evaluate(prep, model, keyed, target).first()["R2"]
-    rows = []
-    for c in cols:
-        drops = []
-        for r in range(repeats):
-            shuffled_order = keyed.withColumn("__rand", F.xxhash64(
-                F.lit(seed + r), F.lit(c), F.col("__r0")))
-            donor = rank_rows(shuffled_order, ["__rand", "__r0"], name="__r1") \
-                .select(F.col("__r1").alias("__r0"), F.col(c).alias("__perm"))
-            perm = keyed.join(donor, "__r0").withColumn(c, F.col("__perm")).drop("__perm")
-            drops.append(base - evaluate(prep, model, perm, target).first()["R2"])
-        mean = sum(drops) / len(drops)
-        std = (sum((d - mean) ** 2 for d in drops) / len(drops)) ** 0.5
-        rows.append((c, float(mean), float(std)))
-    keyed.unpersist()
-    return spark.createDataFrame(rows, "feature string, importance_mean double, "
-                                       "importance_std double").orderBy(F.desc("importance_mean"))
+    held = [c for c in dict.fromkeys([*prep.num_cols, *prep.cat_cols, *cols]) if c in test.columns]
+    src = test if order else test.withColumn("__tie", F.xxhash64(*[F.col(c) for c in test.columns]))
+    ranked = rank_rows(src, list(order) if order else ["__tie"], name="__r0")
+    keyed = materialize(ranked.select("__r0", F.col(target).alias("__y"), *held), "permuted-rows")
+    draws = keyed.select("__r0", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("__rep"))
+    draws = draws.withColumn("__draw", F.md5(F.concat_ws("|", (F.col("__rep") + seed).cast("string"), F.col("__r0").cast("string"))))
+    donors = rank_rows(draws, ["__draw", "__r0"], by=["__rep"], name="__at").select("__rep", "__at", F.col("__r0").alias("__from"))
+    gives = keyed.select(F.col("__r0").alias("__from"), *[F.col(c).alias(f"__d{i}") for i, c in enumerate(cols)])
+    rows = donors.join(gives, "__from").join(keyed.withColumnRenamed("__r0", "__at"), "__at")
+    variants = F.array(*[F.struct(F.lit(c).alias("feature"), *[(F.col(f"__d{i}") if k == c else F.col(k)).alias(k) for k in held])
+                         for i, c in enumerate(cols)])
+    rows = rows.select("__rep", "__y", F.explode(variants).alias("__v")).select("__rep", "__y", "__v.*")
+    scored = predict(prep, model, rows, keep=["__rep", "feature", "__y"]).where(F.col("__y").isNotNull())
+    error = F.col("__y") - F.col("prediction")
+    r2 = F.lit(1.0) - ratio(F.sum(error * error), F.count(F.lit(1)) * F.var_pop("__y"))
+    per = scored.groupBy("feature", "__rep").agg(r2.alias("__r2"))
+    base = regression_metrics(predict(prep, model, keyed, keep=["__y"]).withColumnRenamed("__y", "y_true")).select("R2")
+    drop = with_scalars(per, base).select("feature", (F.col("R2") - F.col("__r2")).alias("drop"))
+    return drop.groupBy("feature").agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std")) \
+        .orderBy(F.desc("importance_mean"), "feature")
+
+
+def lasso_certificate(df: DataFrame, cols: Sequence[str], target: str, coefficients: Sequence[float],
+                      intercept: float, alpha: float) -> DataFrame:
+    """``feature, coefficient, gradient, slack`` of the lasso objective
+    ``1/(2n) |y - b - Xw|^2 + alpha |w|_1``: a solution is optimal exactly if
+    every gradient is ``-alpha * sign(w)`` where ``w`` is not 0 and within
+    ``[-alpha, alpha]`` where it is; ``slack`` is how far it is from that.  One
+    aggregate over the rows (those without nulls)."""
+    known = df.select(*cols, target).na.drop()
+    fit_ = sum((F.lit(float(w)) * F.col(c) for c, w in zip(cols, coefficients)), F.lit(float(intercept)))
+    means = known.agg(*[F.avg((fit_ - F.col(target)) * F.col(c)).alias(f"__g{i}") for i, c in enumerate(cols)])
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(float(w)).alias("coefficient"), F.col(f"__g{i}").alias("gradient"))
+                     for i, (c, w) in enumerate(zip(cols, coefficients))])
+    g, w = F.col("gradient"), F.col("coefficient")
+    slack = F.when(w == 0, F.greatest(F.abs(g) - alpha, F.lit(0.0))).otherwise(F.abs(g + alpha * F.signum(w)))
+    return means.select(F.explode(rows).alias("r")).select("r.*").withColumn("slack", slack)
 
 
 # ----------------------------------------------------------- persist / score

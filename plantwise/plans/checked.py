@@ -252,3 +252,46 @@ def q_aligned_rows(spark, sf_dir):
     out, _ = M.align_with_model_features(df, ["date_key", "site_code", "m", "fx_effect_ratio_imp"], Y)
     return _round(out, {"fx_effect_ratio_imp": 9, Y: 6})
 
+
+
+# ------------------------------------------------ importance and lasso, checked
+
+X2 = "fx_effect_ratio_imp"
+_REPEATS, _SEED = 20, 42
+_KNOWN = f"SELECT date_key, site_code, {X} AS a, {X2} AS b, {Y} AS y FROM model_df WHERE {X} IS NOT NULL AND {X2} IS NOT NULL AND {Y} IS NOT NULL"
+
+
+@register("permutation_importance", with_star(f"""
+SELECT feature, round(avg(r0 - r2), 6) AS importance_mean, round(stddev_pop(r0 - r2), 6) AS importance_std
+FROM (SELECT feature, rep, 1 - sum((y - p) * (y - p)) / (count(*) * var_pop(y)) AS r2 FROM scored GROUP BY feature, rep), base
+GROUP BY feature""", extra_ctes=_F + f""",
+known AS (SELECT *, row_number() OVER (ORDER BY date_key, site_code) - 1 AS rk FROM ({_KNOWN})),
+s AS (SELECT avg(a) AS ma, avg(b) AS mb, avg(y) AS my, var_pop(a) AS saa, var_pop(b) AS sbb, covar_pop(a, b) AS sab, covar_pop(a, y) AS say, covar_pop(b, y) AS sby FROM known),
+w AS (SELECT ma, mb, my, (say * sbb - sby * sab) / (saa * sbb - sab * sab) AS wa, (sby * saa - say * sab) / (saa * sbb - sab * sab) AS wb FROM s),
+base AS (SELECT 1 - sum((y - (my + wa * (a - ma) + wb * (b - mb))) ** 2) / (count(*) * var_pop(y)) AS r0 FROM known, w),
+draw AS (SELECT rep, rk, row_number() OVER (PARTITION BY rep ORDER BY md5(({_SEED} + rep)::VARCHAR || '|' || rk::VARCHAR), rk) - 1 AS at
+         FROM known, (SELECT unnest(range({_REPEATS})) AS rep)),
+moved AS (SELECT rep, own.y, own.a, own.b, gift.a AS ga, gift.b AS gb FROM draw JOIN known own ON own.rk = draw.at JOIN known gift ON gift.rk = draw.rk),
+scored AS (SELECT '{X}' AS feature, rep, y, my + wa * (ga - ma) + wb * (b - mb) AS p FROM moved, w
+           UNION ALL SELECT '{X2}', rep, y, my + wa * (a - ma) + wb * (gb - mb) FROM moved, w)"""))
+def q_permutation_importance(spark, sf_dir):
+    """Importance of two inputs of a least-squares fit, donors by MD5."""
+    from pyspark.ml.regression import LinearRegression
+    known = _model(spark, sf_dir).select("date_key", "site_code", X, X2, Y).na.drop(subset=[X, X2, Y])
+    prep = M.fit_preprocess(known, [X, X2], [], scaler=None)
+    model = M.fit(prep, known, Y, LinearRegression(regParam=0.0, solver="normal"))
+    out = M.permutation_importance(prep, model, known, Y, [X, X2], repeats=_REPEATS, seed=_SEED, order=["date_key", "site_code"])
+    return _round(out, {"importance_mean": 6, "importance_std": 6})
+
+
+@register("lasso_one_feature", with_star(f"""
+SELECT '{X}' AS feature, round(sign(say) * greatest(abs(say) - 0.001, 0) / saa, 6) AS coefficient, true AS optimal
+FROM (SELECT var_pop({X}) AS saa, covar_pop({X}, {Y}) AS say FROM model_df WHERE {X} IS NOT NULL AND {Y} IS NOT NULL)""", extra_ctes=_F))
+def q_lasso_one_feature(spark, sf_dir):
+    """The lasso of the leaderboard on one input (SQL: soft threshold) and its
+    optimality certificate."""
+    known = _model(spark, sf_dir).select(X, Y).na.drop()
+    prep = M.fit_preprocess(known, [X], [], scaler=None)
+    model = M.fit(prep, known, Y, M.regressors()["Lasso"]).stages[-1]
+    proof = M.lasso_certificate(known, [X], Y, model.coefficients.toArray().tolist(), model.intercept, 0.001)
+    return _round(proof.select("feature", "coefficient", (F.col("slack") < 1e-6).alias("optimal")), {"coefficient": 6})

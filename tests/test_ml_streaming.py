@@ -75,6 +75,48 @@ def test_permutation_importance(spark):
     assert imp["x1"] > imp["x2"] > -0.01
 
 
+def test_permutation_importance_against_numpy(spark):
+    """Donors by the MD5 of seed, repeat and rank; every pair scored at once."""
+    import hashlib
+
+    import numpy as np
+    rows = [(i, (i * 37 % 101) / 10.0, float(i * i % 17), (i * 37 % 101) * 0.3 - (i * i % 17) + (i % 5)) for i in range(120)]
+    df = spark.createDataFrame(rows, "k long, x1 double, x2 double, y double").repartition(4)
+    prep = M.fit_preprocess(df, ["x1", "x2"], [], scaler=None)
+    model = M.fit(prep, df, "y", M.regressors()["LinearRegression"])
+    got = {r.feature: r for r in M.permutation_importance(prep, model, df, "y", ["x1", "x2"], repeats=3, order=["k"]).collect()}
+    a = np.array(rows)[:, 1:]
+    x, y = np.c_[np.ones(len(a)), a[:, :2]], a[:, 2]
+    w = np.linalg.lstsq(x, y, rcond=None)[0]
+
+    def r2(z):
+        return 1 - ((y - z @ w) ** 2).sum() / ((y - y.mean()) ** 2).sum()
+
+    for j, name in ((1, "x1"), (2, "x2")):
+        drops = []
+        for rep in range(3):
+            at = sorted(range(len(a)), key=lambda k: (hashlib.md5(f"{42 + rep}|{k}".encode()).hexdigest(), k))
+            z = x.copy()
+            z[:, j] = x[at, j]
+            drops.append(r2(x) - r2(z))
+        assert got[name].importance_mean == pytest.approx(np.mean(drops), rel=1e-9)
+        assert got[name].importance_std == pytest.approx(np.std(drops), rel=1e-9)
+
+
+def test_lasso_certificate(spark):
+    """Two of three inputs stay; the bound on the third holds, a moved solution fails."""
+    rows = [(float(i % 7), float(i % 11), float(i % 2), 2.0 * (i % 7) - (i % 11) + 0.01 * (i % 2)) for i in range(154)]
+    df = spark.createDataFrame([*rows, (None, 1.0, 1.0, 1.0)], "a double, b double, c double, y double")
+    cols, alpha = ["a", "b", "c"], 0.1
+    prep = M.fit_preprocess(df.na.drop(), cols, [], scaler=None)
+    fit = M.fit(prep, df.na.drop(), "y", M.elastic_net(alpha, 1.0).setTol(1e-12)).stages[-1]
+    w = fit.coefficients.toArray().tolist()
+    proof = {r.feature: r for r in M.lasso_certificate(df, cols, "y", w, fit.intercept, alpha).collect()}
+    assert max(r.slack for r in proof.values()) < 1e-5 and proof["c"].coefficient == 0 and w[0] < 2
+    moved = M.lasso_certificate(df, cols, "y", [2.0, -1.0, 0.0], fit.intercept, alpha).collect()
+    assert max(r.slack for r in moved) > 0.05
+
+
 def test_streaming_silver_ingest(spark, tmpdir_path):
     src = f"{tmpdir_path}/drop"
     os.makedirs(src)
