@@ -15,12 +15,12 @@ import os
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, Imputer, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plantwise.functions.materialize import materialize
@@ -292,6 +292,53 @@ def kmeans_best_of(df: DataFrame, cols: Sequence[str], k: int = 3, n_init: int =
     return best.transform(with_vector(prep, df)).drop(FEATURES), best_cost
 
 
+def lloyd_kmeans(df: DataFrame, cols: Sequence[str], keys: Sequence[str], k: int = 3, n_init: int = 10,
+                 rounds: int = 15, seed: int = 42, scale: bool = True, out: str = "cluster_k3") -> tuple[DataFrame, float]:
+    """KMeans with fixed starts and steps: ``df`` with ``out``, and the cost.
+
+    The starts of restart r are the rows whose MD5 of ``<seed + r>|<keys>`` is
+    least, so ``keys`` should name a row.  All restarts move together: a round
+    is one scan that gives every row its nearest centre in each restart (the
+    smaller number of equals) and one group of sums, ``n_init * k`` rows, which
+    are all that reach the driver.  After ``rounds`` moves the restart with the
+    least cost assigns (the first of equals).  An empty cluster keeps its centre.
+    """
+    prep = unsupervised_prep(df, cols, scale=scale)
+    names = [f"__f_{c}" for c in prep.output_columns()]
+    own = [F.col(f"`{c}`") for c in df.columns]
+    data = materialize(prep.transform(df, keep=own, prefix="__f_").fillna(0.0, subset=names), "kmeans-rows")
+    hashed = F.explode(F.array(*[F.struct(F.lit(r).alias("r"), F.md5(F.concat_ws("|", F.lit(str(seed + r)), *[F.col(c).cast("string") for c in keys])).alias("h"))
+                                 for r in range(n_init)]))
+    nth = F.row_number().over(Window.partitionBy("r").orderBy("h", *names))
+    first = data.select(*names, hashed.alias("s")).select("s.*", *names).withColumn("n", nth).where(F.col("n") <= k)
+    centres: dict[int, list[list[float]]] = {}
+    for row in first.orderBy("r", "n").collect():
+        centres.setdefault(row.r, []).append([row[c] for c in names])
+    if not centres:
+        return df.withColumn(out, F.lit(None).cast("int")), 0.0
+
+    for cen in centres.values():
+        cen += [cen[0]] * (k - len(cen))   # fewer rows than centres: copies of the first, which win no row
+    spots = [[f"__c{j}_{i}" for i in range(len(names))] for j in range(k)]
+    table = "__r int, " + ", ".join(f"{c} double" for spot in spots for c in spot)
+    # A row's nearest centre and squared distance, from the columns of the centre table.
+    apart = [sum(((F.col(c) - F.col(x)) * (F.col(c) - F.col(x)) for c, x in zip(names, spot)), F.lit(0.0)) for spot in spots]
+    nearest = F.array_min(F.array(*[F.struct(d.alias("d"), F.lit(j).alias("j")) for j, d in enumerate(apart)]))
+
+    def placed(rows, restarts):
+        small = df.sparkSession.createDataFrame([(r, *[float(x) for at in centres[r] for x in at]) for r in restarts], table)
+        each = rows.withColumn("__r", F.explode(F.array(*[F.lit(r) for r in restarts]))).join(small, "__r")
+        return each.withColumn("__at", nearest)
+
+    for _ in range(rounds):
+        sums = placed(data.select(*names), list(centres)).groupBy(F.col("__r").alias("r"), F.col("__at.j").alias("j")).agg(*[F.avg(c).alias(c) for c in names])
+        for row in sums.collect():
+            centres[row.r][row.j] = [row[c] for c in names]
+    costs = {row.r: row.cost for row in placed(data.select(*names), list(centres)).groupBy(F.col("__r").alias("r")).agg(F.sum("__at.d").alias("cost")).collect()}
+    best = min(costs, key=lambda r: (costs[r], r))
+    return placed(data, [best]).select(*own, F.col("__at.j").alias(out)), costs[best]
+
+
 def cluster_pipeline(cols: Sequence[str], k: int = 3, seed: int = 42) -> Pipeline:
     """Median imputation, standard scaling, KMeans; no row is dropped."""
     filled = [f"__i_{c}" for c in cols]
@@ -302,14 +349,33 @@ def cluster_pipeline(cols: Sequence[str], k: int = 3, seed: int = 42) -> Pipelin
         KMeans(k=k, seed=seed, featuresCol=FEATURES, predictionCol="cluster")])
 
 
+def principal_axes(df: DataFrame, cols: Sequence[str], n: int = 2) -> list[list[float]]:
+    """The first ``n`` eigenvectors of the covariance of ``cols``, from one
+    aggregate of their pairs (as many numbers as pairs of columns).  The entry
+    of greatest magnitude, the first of equals, is positive."""
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    row = df.agg(*[F.covar_pop(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
+    gram = np.zeros((len(cols), len(cols)))
+    for i, j in pairs:
+        gram[i, j] = gram[j, i] = row[f"c{i}_{j}"] or 0.0
+    value, vector = np.linalg.eigh(gram)
+    axes = []
+    for k in np.argsort(-value, kind="stable")[:n]:
+        v = vector[:, k]
+        axes.append((v * np.sign(v[np.argmax(np.round(np.abs(v), 9))])).tolist())
+    return axes
+
+
 def pca_2d(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),
            cat_cols: Sequence[str] = ()) -> DataFrame:
     """First two principal components (pc1, pc2) of every row's imputed and
-    standardised input (see :func:`unsupervised_prep`)."""
-    data = with_vector(unsupervised_prep(df, cols, cat_cols), df)
-    m = PCA(k=2, inputCol=FEATURES, outputCol="__pc").fit(data)
-    arr = vector_to_array(F.col("__pc"))
-    return m.transform(data).select(*keep, arr[0].alias("pc1"), arr[1].alias("pc2"))
+    standardised input (see :func:`unsupervised_prep`), axes by
+    :func:`principal_axes`; a second component of one column is 0."""
+    prep = unsupervised_prep(df, cols, cat_cols)
+    names = [f"__f_{c}" for c in prep.output_columns()]
+    data = prep.transform(df, keep=[F.col(c) for c in keep], prefix="__f_").fillna(0.0, subset=names)
+    axes = principal_axes(data, names) + [[0.0] * len(names)] * 2
+    return data.select(*keep, *[sum((F.lit(float(w)) * F.col(c) for c, w in zip(names, axis)), F.lit(0.0)).alias(f"pc{i + 1}") for i, axis in enumerate(axes[:2])])
 
 
 # ----------------------------------------------------------------- importance

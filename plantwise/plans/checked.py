@@ -295,3 +295,64 @@ def q_lasso_one_feature(spark, sf_dir):
     model = M.fit(prep, known, Y, M.regressors()["Lasso"]).stages[-1]
     proof = M.lasso_certificate(known, [X], Y, model.coefficients.toArray().tolist(), model.intercept, 0.001)
     return _round(proof.select("feature", "coefficient", (F.col("slack") < 1e-6).alias("optimal")), {"coefficient": 6})
+
+
+# ------------------------------------------------- clusters and components, checked
+
+_IMP = ["cost_per_unit_imp", "kwh_per_unit_imp", "fx_effect_ratio_imp"]
+_STARTS, _ROUNDS, _K = 10, 15, 3
+_SCALED = "z AS MATERIALIZED (SELECT row_number() OVER () AS rk, date_key, site_code, " + ", ".join(
+    f"({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1) AS x{i}" for i, c in enumerate(_IMP)) + " FROM model_df)"
+
+
+def _lloyd_sql() -> str:
+    """A link of the chain a round, all restarts together."""
+    apart = " + ".join(f"(z.x{i} - c.x{i}) * (z.x{i} - c.x{i})" for i in range(3))
+    near = "SELECT r, rk, j, d, x0, x1, x2 FROM (SELECT c.r, z.rk, c.j, {d} AS d, z.x0, z.x1, z.x2, row_number() OVER (PARTITION BY c.r, z.rk ORDER BY {d}, c.j) AS k FROM z, c{n} c) WHERE k = 1"
+    parts = [_SCALED, f"""c0 AS MATERIALIZED (SELECT r, n - 1 AS j, x0, x1, x2 FROM (
+  SELECT r, x0, x1, x2, row_number() OVER (PARTITION BY r ORDER BY md5(concat_ws('|', (42 + r)::VARCHAR, date_key::VARCHAR, site_code)), x0, x1, x2) AS n
+  FROM z, (SELECT unnest(range({_STARTS})) AS r)) WHERE n <= {_K})"""]
+    for n in range(_ROUNDS):
+        parts.append(f"n{n} AS MATERIALIZED ({near.format(d=apart, n=n)})")
+        parts.append(f"c{n + 1} AS MATERIALIZED (SELECT c.r, c.j, coalesce(m.x0, c.x0) AS x0, coalesce(m.x1, c.x1) AS x1, coalesce(m.x2, c.x2) AS x2 FROM c{n} c "
+                     f"LEFT JOIN (SELECT r, j, avg(x0) AS x0, avg(x1) AS x1, avg(x2) AS x2 FROM n{n} GROUP BY r, j) m ON m.r = c.r AND m.j = c.j)")
+    parts.append(f"f AS MATERIALIZED ({near.format(d=apart, n=_ROUNDS)})")
+    parts.append("b AS (SELECT r FROM (SELECT r, sum(d) AS cost FROM f GROUP BY r) ORDER BY cost, r LIMIT 1)")
+    return ",\n" + ",\n".join(parts)
+
+
+@register("kmeans_clusters", with_star("SELECT j::INTEGER AS cluster_k3, count(*) AS n, round((SELECT sum(d) FROM f JOIN b USING (r)), 4) AS cost FROM f JOIN b USING (r) GROUP BY j",
+                                       extra_ctes=_F + _lloyd_sql()))
+def q_kmeans_clusters(spark, sf_dir):
+    """Cluster sizes and cost of KMeans k=3, best of 10 fixed starts, on the scaled KPIs."""
+    res, cost = M.lloyd_kmeans(_model(spark, sf_dir), _IMP, ["date_key", "site_code"], k=_K, n_init=_STARTS, rounds=_ROUNDS)
+    return _round(res.groupBy("cluster_k3").agg(F.count(F.lit(1)).alias("n"), F.lit(float(cost)).alias("cost")), {"cost": 4})
+
+
+def _axes_sql() -> str:
+    """Eigenvectors by squaring the matrix 24 times: what remains is the first
+    axis's projection; the second axis from the matrix without the first."""
+    def squared(name, source):
+        steps = [f"{name}0 AS (SELECT a, b, c, d, e, f FROM {source})"]
+        for n in range(24):
+            square = "a*a + b*b + c*c AS a2, a*b + b*d + c*e AS b2, a*c + b*e + c*f AS c2, b*b + d*d + e*e AS d2, b*c + d*e + e*f AS e2, c*c + e*e + f*f AS f2"
+            steps.append(f"{name}{n + 1} AS MATERIALIZED (SELECT a2/t AS a, b2/t AS b, c2/t AS c, d2/t AS d, e2/t AS e, f2/t AS f FROM (SELECT *, a2 + d2 + f2 AS t FROM (SELECT {square} FROM {name}{n})))")
+        pick = "CASE WHEN a >= d AND a >= f THEN {0} WHEN d >= f THEN {1} ELSE {2} END"
+        # A row of the projection, at length one; the entry of greatest magnitude is its root.
+        v = [f"{pick.format(*cols)} / sqrt({pick.format('a', 'd', 'f')})" for cols in (("a", "b", "c"), ("b", "d", "e"), ("c", "e", "f"))]
+        steps.append(f"{name}v AS (SELECT {v[0]} AS v0, {v[1]} AS v1, {v[2]} AS v2 FROM {name}24)")
+        return steps
+
+    entries = [("a", 0, 0), ("b", 0, 1), ("c", 0, 2), ("d", 1, 1), ("e", 1, 2), ("f", 2, 2)]
+    parts = [_SCALED, "g AS MATERIALIZED (SELECT " + ", ".join(f"covar_pop(x{i}, x{j}) AS {n}" for n, i, j in entries) + " FROM z)", *squared("p", "g")]
+    value = "v0*v0*a + v1*v1*d + v2*v2*f + 2*(v0*v1*b + v0*v2*c + v1*v2*e)"
+    parts.append("h AS MATERIALIZED (SELECT " + ", ".join(f"{n} - ({value}) * v{i} * v{j} AS {n}" for n, i, j in entries) + " FROM g, pv)")
+    return ",\n" + ",\n".join(parts + squared("q", "h"))
+
+
+@register("pca_components", with_star("""
+SELECT date_key, site_code, round(pv.v0 * x0 + pv.v1 * x1 + pv.v2 * x2, 6) AS pc1, round(qv.v0 * x0 + qv.v1 * x1 + qv.v2 * x2, 6) AS pc2
+FROM z, pv, qv""", extra_ctes=_F + _axes_sql()))
+def q_pca_components(spark, sf_dir):
+    """First two components of the standardised KPIs, row by row."""
+    return _round(M.pca_2d(_model(spark, sf_dir), _IMP, keep=["date_key", "site_code"]), {"pc1": 6, "pc2": 6})

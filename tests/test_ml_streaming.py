@@ -103,6 +103,36 @@ def test_permutation_importance_against_numpy(spark):
         assert got[name].importance_std == pytest.approx(np.std(drops), rel=1e-9)
 
 
+def test_lloyd_and_axes_against_numpy(spark):
+    """Fixed starts, all restarts together; axes with a sign rule; gaps are imputed."""
+    import hashlib
+
+    import numpy as np
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(m, 0.4, (40, 3)) * [1, 5, 0.2] for m in (0, 3, 9)])
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "id long, a double, b double, c double").repartition(4)
+    z = (x - x.mean(0)) / x.std(0)
+    best = None
+    for r in range(4):
+        order = sorted(range(len(z)), key=lambda i: hashlib.md5(f"{42 + r}|{i}".encode()).hexdigest())
+        cen = z[order[:3]].copy()
+        for _ in range(6):
+            at = ((z[:, None] - cen) ** 2).sum(2).argmin(1)
+            cen = np.array([z[at == j].mean(0) if (at == j).any() else cen[j] for j in range(3)])
+        d = ((z[:, None] - cen) ** 2).sum(2)
+        if best is None or d.min(1).sum() < best[0] - 1e-12:
+            best = (d.min(1).sum(), d.argmin(1))
+    got, cost = M.lloyd_kmeans(df, ["a", "b", "c"], ["id"], n_init=4, rounds=6)
+    assert cost == pytest.approx(best[0], rel=1e-9) and got.columns == [*df.columns, "cluster_k3"]
+    assert [r.cluster_k3 for r in got.orderBy("id").collect()] == best[1].tolist()
+    gone = spark.createDataFrame([], df.schema)
+    assert M.lloyd_kmeans(gone, ["a", "b", "c"], ["id"])[0].count() == 0
+    value, vector = np.linalg.eigh(np.cov(z.T, bias=True))
+    axes = M.principal_axes(spark.createDataFrame(z.tolist(), "a double, b double, c double"), ["a", "b", "c"])
+    for axis, k in zip(axes, (2, 1)):
+        assert abs(np.dot(axis, vector[:, k])) == pytest.approx(1, abs=1e-9) and axis[int(np.argmax(np.abs(axis)))] > 0
+
+
 def test_lasso_certificate(spark):
     """Two of three inputs stay; the bound on the third holds, a moved solution fails."""
     rows = [(float(i % 7), float(i % 11), float(i % 2), 2.0 * (i % 7) - (i % 11) + 0.01 * (i % 2)) for i in range(154)]
