@@ -1,10 +1,11 @@
 """WARC archives with revisit records (operator 9).
 
-Headers are shuffled by payload digest, never payloads: a digest's response is
-chosen from the headers, and the choice is joined back to the pages, which are
-then written with fresh headers as gzip members, one a record.  Reading turns
-every archive back into records and resolves revisits by a join to the
-responses that they name.
+A digest's response is chosen from headers shuffled by payload digest; the
+choice is joined back to the pages, which are then written with fresh headers as
+gzip members, one a record.  That join leaves the payloads where they are while
+the shared digests fit a size-checked broadcast, and moves them beyond.  Reading
+turns every archive back into records and resolves revisits by a join to the
+responses that they name; responses stay out of that join.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from plantwise.llm.common import Stages, shared_fs
 MIN_REVISIT_BYTES = 1000
 #: Compressed bytes after which a task starts its next archive.
 ARCHIVE_BYTES = 16 << 20
+#: Bytes of an archive that the reader hands on at a time.
+_PIECE = 16 << 10
 #: Fixed values of the format.
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _NAMES = uuid.uuid5(uuid.NAMESPACE_URL, "urn:plantwise:warc-record")
@@ -60,12 +63,16 @@ def make_record(page_id, url, payload: bytes, digest: str, refers_to, date: str)
 
 def parse_records(data: bytes):
     """Headers (names in lower case) and block of each gzip member."""
-    while data:
-        member = zlib.decompressobj(31)
-        record = member.decompress(data)
+    view, at = memoryview(data), 0
+    while at < len(view):
+        member, parts = zlib.decompressobj(31), []
+        while not member.eof and at < len(view):  # in pieces: what is left over is copied
+            piece = view[at:at + _PIECE]
+            parts.append(member.decompress(piece))
+            at += len(piece) - len(member.unused_data)
         if not member.eof:
             raise ValueError("an archive ends inside a record")
-        data = member.unused_data
+        record = b"".join(parts)
         head, _, rest = record.partition(_END)
         lines = head.decode().split("\r\n")
         fields = {k.lower(): v for k, v in (x.split(": ", 1) for x in lines[1:])}
@@ -155,15 +162,22 @@ _ARROW = pa.schema([("page_id", pa.int64()), ("record_id", pa.string()), ("recor
                     ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("url", pa.string())])
 
 
-def resolve_revisits(records: DataFrame) -> DataFrame:
+def resolve_revisits(records: DataFrame, stages: Stages) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to``: a
-    revisit takes size and digest of the response that it names."""
-    origin = (records.filter("record_type = 'response'").groupBy("record_id")
-              .agg(F.first("page_id").alias("o_page"), F.first("payload_bytes").alias("o_bytes"), F.first("payload_digest").alias("o_digest")))
-    got = records.join(origin.withColumnRenamed("record_id", "refers_id"), "refers_id", "left")
-    return got.select("page_id", F.coalesce("payload_bytes", "o_bytes").alias("payload_bytes"),
-                      F.coalesce("payload_digest", "o_digest").alias("payload_digest"), "record_type",
-                      F.when(F.col("record_type") == "revisit", F.col("o_page")).alias("refers_to"))
+    revisit takes size and digest of the response that it names, one that names
+    none has neither.
+
+    Responses pass by; the responses' own rows are written before the join, so
+    that a response with any share of the revisits is split by adaptive
+    execution.  ``records`` is a written table.
+    """
+    own = ["page_id", "payload_bytes", "payload_digest", "record_type"]
+    responses, revisits = records.filter("record_type = 'response'"), records.filter("record_type = 'revisit'")
+    origin = (responses.groupBy(F.col("record_id").alias("refers_id"))
+              .agg(F.first("page_id").alias("refers_to"), F.first("payload_bytes").alias("o_bytes"), F.first("payload_digest").alias("o_digest")))
+    origin = stages.write(origin, "origin")
+    found = revisits.join(origin, "refers_id", "left").select("page_id", F.col("o_bytes").alias("payload_bytes"), F.col("o_digest").alias("payload_digest"), "record_type", "refers_to")
+    return responses.select(*own, F.lit(None).cast("long").alias("refers_to")).union(found)
 
 
 def warc_round_trip(pages: DataFrame, folder: str | None = None, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
@@ -183,7 +197,7 @@ def warc_round_trip(pages: DataFrame, folder: str | None = None, min_bytes: int
     manifest = stages.write(write_archives(pages, folder, stages, min_bytes=min_bytes), "manifest")
     if manifest.isEmpty():
         return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
-    return resolve_revisits(stages.write(read_archives(spark, folder, manifest), "records"))
+    return resolve_revisits(stages.write(read_archives(spark, folder, manifest), "records"), stages)
 
 
 #: The same rows by DuckDB (payload digests by its sha1).

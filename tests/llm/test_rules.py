@@ -1,5 +1,6 @@
 """Rules, classifier, decontamination, archives, the pipeline and the SQL twins."""
 
+import hashlib
 import os
 import random
 import sys
@@ -165,3 +166,25 @@ def test_repeated_passages_of_short_words_go(spark, no_docs):
         assert out[d].text == text
     assert out[200].text is None and out[201].text == ""
     assert corpus_pipeline.repeated_passages(spark, no_docs, SF).count() == 0
+
+
+def test_archives_are_read_in_linear_time():
+    """4 KB pages: eight times the archive takes about eight times as long."""
+    import time
+    import zlib
+
+    def member(k):
+        z = zlib.compressobj(6, zlib.DEFLATED, 31)
+        text = hashlib.sha512(str(k).encode()).hexdigest() * 32
+        return z.compress(warc.make_record(k, f"http://h/{k}", text.encode(), "0" * 40, None, "2020-01-01T00:00:00Z")) + z.flush()
+
+    small = b"".join(member(k) for k in range(500))
+    times = []
+    for data, n in ((small, 500), (small * 8, 4000)):
+        t = time.perf_counter()
+        pages = [int(head["x-page-id"]) for head, _ in warc.parse_records(data)]
+        times.append(time.perf_counter() - t)
+        assert pages == [k % 500 for k in range(n)]
+    assert times[1] < 30 * times[0]
+    with pytest.raises(ValueError):
+        list(warc.parse_records(small[:-3]))
