@@ -16,15 +16,19 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from plantwise.session import ensure_checkpoint_dir
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name under the shared checkpoint directory."""
+    return os.path.join(ensure_checkpoint_dir(spark), "plantwise-materialized", f"{name}-{uuid.uuid4().hex}")
+
+
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = os.path.join(base, "plantwise-materialized", f"{name}-{uuid.uuid4().hex}")
+    path = new_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

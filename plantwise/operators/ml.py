@@ -5,7 +5,8 @@ medians and quartiles, population std, most frequent level) and applied as
 plain column expressions, so scoring is a projection Catalyst can fuse into
 whole-stage code.  The fitted statistics (one number per column, category
 levels bounded by the category cardinality) are the only values brought to
-the driver; they are saved as JSON beside the Spark ``PipelineModel``.
+the driver; they are saved as JSON beside the Spark ``PipelineModel``.  The
+levels of a wide categorical stay in a table that scoring joins.
 """
 
 from __future__ import annotations
@@ -13,17 +14,18 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plantwise.functions.materialize import materialize
+from plantwise.functions.materialize import materialize, new_path
 from plantwise.functions.quantiles import quantiles
 from plantwise.functions.ranking import rank_rows
 from plantwise.functions.safe import ratio
@@ -31,8 +33,9 @@ from plantwise.functions.scalars import with_scalars
 from plantwise.operators.metrics import regression_metrics
 
 FEATURES = "features"
-# One-hot columns that a categorical may become; more is an error, never a cut.
-MAX_LEVELS = 10_000
+# One-hot columns that a categorical may become; one with more levels gets a
+# table of its levels and one sparse vector, with the same slots.
+MAX_LEVELS = 256
 
 
 # ------------------------------------------------------------- preprocessing
@@ -46,6 +49,8 @@ class PreprocessModel:
     centers: dict[str, float] = field(default_factory=dict)
     modes: dict[str, str | None] = field(default_factory=dict)
     levels: dict[str, list[str]] = field(default_factory=dict)
+    # Wide categoricals: {"path": table of (level, slot), "n": number of levels}.
+    wide: dict[str, dict] = field(default_factory=dict)
 
     def output_columns(self) -> list[str]:
         out = list(self.num_cols)
@@ -55,7 +60,12 @@ class PreprocessModel:
 
     def transform(self, df: DataFrame, keep: Sequence[str] = (), prefix: str = "") -> DataFrame:
         """Imputed/scaled numerics and drop-first one-hot columns (unknown or
-        missing level -> all zeros after mode imputation), plus ``keep``."""
+        missing level -> all zeros after mode imputation), plus ``keep``.
+
+        A wide categorical is one column ``<name>__slot`` instead: the place of
+        its one among ``n - 1``, or ``n - 1`` where no place has it.  The slot is
+        joined from the level table, so no plan and no driver list grows with
+        the levels, and a hot level is split like any skewed join key."""
         exprs = []
         for c in self.num_cols:
             x = F.coalesce(F.col(c).cast("double"), F.lit(self.medians.get(c)).cast("double"))
@@ -65,14 +75,36 @@ class PreprocessModel:
             v = F.coalesce(F.col(c).cast("string"), F.lit(self.modes.get(c)))
             for lv in self.levels.get(c, [])[1:]:
                 exprs.append((v == F.lit(lv)).cast("double").alias(f"{prefix}{c}_{lv}"))
+        for i, (c, w) in enumerate(self.wide.items()):
+            table = df.sparkSession.read.parquet(w["path"]).select(F.col("level").alias(f"__level{i}"), F.col("slot").alias(f"__slot{i}"))
+            v = F.coalesce(F.col(c).cast("string"), F.lit(self.modes.get(c)))
+            df = df.join(table, v == F.col(f"__level{i}"), "left")
+            exprs.append(F.coalesce(F.col(f"__slot{i}"), F.lit(w["n"] - 1)).cast("double").alias(f"{prefix}{c}__slot"))
         return df.select(*keep, *exprs)
 
-    def assemble(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    def assemble(self, df: DataFrame, keep: Sequence[str] = (), fill: float | None = None) -> DataFrame:
+        """``keep`` and the feature vector; ``fill`` stands where a prepared
+        value is still null or NaN."""
         t = self.transform(df, keep, prefix="__f_")
-        va = VectorAssembler(inputCols=["__f_" + c for c in self.output_columns()],
-                             outputCol=FEATURES, handleInvalid="keep")
+        names = ["__f_" + c for c in self.output_columns()]
+        if fill is not None:
+            t = t.fillna(fill, subset=names)
+        for c, w in self.wide.items():
+            # The encoder learns its length from one row; the last slot is the dropped one.
+            size = df.sparkSession.createDataFrame([(float(w["n"] - 1),)], f"`__f_{c}__slot` double")
+            t = OneHotEncoder(inputCol=f"__f_{c}__slot", outputCol=f"__f_{c}__hot", dropLast=True).fit(size).transform(t)
+            names.append(f"__f_{c}__hot")
+        va = VectorAssembler(inputCols=names, outputCol=FEATURES, handleInvalid="keep")
         return va.transform(t).select(*keep, FEATURES)
 
+    def vector_names(self) -> list[str]:
+        """Names of the slots of the assembled vector (as long as the model)."""
+        out = self.output_columns()
+        for c, w in self.wide.items():
+            table = SparkSession.getActiveSession().read.parquet(w["path"])
+            out += [f"{c}_{r.level}" for r in table.where(F.col("slot") < w["n"] - 1).orderBy("slot").toLocalIterator()]
+        return out
+
     def to_json(self) -> str:
         return json.dumps(asdict(self))
 
@@ -82,10 +114,12 @@ class PreprocessModel:
 
 
 def fit_preprocess(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str],
-                   scaler: str | None = "robust", method: str = "exact") -> PreprocessModel:
+                   scaler: str | None = "robust", method: str = "exact", max_levels: int = MAX_LEVELS) -> PreprocessModel:
     """Fit median imputation + scaling (``robust``: divide by IQR, no
     centring; ``standard``: centre and divide by the population std) and
-    most-frequent imputation + level lists for the categoricals."""
+    most-frequent imputation + levels for the categoricals: a list up to
+    ``max_levels`` of them, a written table beyond (ranks by range shuffle).
+    Both give the same vector slots."""
     num_cols, cat_cols = list(num_cols), list(cat_cols)
     m = PreprocessModel(num_cols, cat_cols)
     if num_cols:
@@ -108,14 +142,27 @@ def fit_preprocess(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[st
                 m.scales[c] = mom[f"s_{i}"] or 1.0
     for c in cat_cols:
         freq = df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("v")).count()
-        rows = freq.orderBy(F.desc("count"), "v").limit(MAX_LEVELS + 1).collect()
-        if len(rows) > MAX_LEVELS:
-            raise ValueError(f"{c} has more than {MAX_LEVELS} levels; one-hot columns are not for such a column")
+        rows = freq.orderBy(F.desc("count"), "v").limit(max_levels + 1).collect()
         m.modes[c] = rows[0]["v"] if rows else None
-        m.levels[c] = sorted(r["v"] for r in rows)
+        if len(rows) > max_levels:
+            m.wide[c] = _level_table(freq.select(F.col("v").alias("level")))
+        else:
+            m.levels[c] = sorted(r["v"] for r in rows)
     return m
 
 
+def _level_table(levels: DataFrame) -> dict:
+    """Writes ``level, slot`` of the distinct ``levels`` in their order: the
+    first is dropped, so it gets the last slot and the others move up by one."""
+    spark = levels.sparkSession
+    ranked = materialize(rank_rows(levels, ["level"], name="at"), "level-ranks")
+    n = ranked.count()
+    path = new_path(spark, "levels")
+    slot = F.when(F.col("at") == 0, F.lit(n - 1)).otherwise(F.col("at") - 1)
+    ranked.select("level", slot.cast("long").alias("slot")).write.parquet(path)
+    return {"path": path, "n": n}
+
+
 def nan_check(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count of null/NaN feature values (must be 0 before fitting)."""
     return df.agg(F.sum(sum((F.when(F.col(c).isNull() | F.isnan(c), 1).otherwise(0)
@@ -211,36 +258,70 @@ def cv_summary(per_fold: DataFrame) -> DataFrame:
 
 
 def grid_search(prep_fit, df: DataFrame, target: str, make_estimator, grid: list[dict],
-                k: int = 5, order: Sequence[str] = ("date_key", "site_code")) -> DataFrame:
-    """Mean expanding-window CV RMSE for every parameter combination.  Rows are
-    ranked, and each fold split and prepared, once for the whole grid."""
+                k: int = 5, order: Sequence[str] = ("date_key", "site_code"), inert: Sequence[str] = (),
+                workers: int = 4) -> DataFrame:
+    """``params, cv_rmse, cv_std, place``: mean and population deviation of the
+    expanding-window RMSE of every point of ``grid``, best first (ties by
+    ``params``).
+
+    Rows are ranked once; each fold is prepared and its vectors are written
+    once, for all points.  ``workers`` fits run at a time as Spark jobs of their
+    own.  Points that differ only in ``inert`` axes, which the estimator has no
+    parameter for, share one fit and so one score; ``make_estimator`` gets the
+    other axes.  A point whose fit fails has a null score.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     from plantwise.operators.features import expanding_folds
     spark = df.sparkSession
-    folds = expanding_folds(rank_rows(df, list(order)), k)
-    scores: dict[str, list[float]] = {}
+    folds = expanding_folds(materialize(rank_rows(df, list(order)), "grid-rows"), k)
+    sides = []
     for i in range(k):
         f = folds.where(F.col("fold") == i)
-        tr, te = (f.where(F.col("role") == r).drop("fold", "role", "row_rank").cache() for r in ("train", "test"))
+        tr, te = (f.where(F.col("role") == r).drop("fold", "role", "row_rank") for r in ("train", "test"))
         prep = prep_fit(tr)
-        for params in grid:
-            m = fit(prep, tr, target, make_estimator(**params))
-            name = json.dumps(params, sort_keys=True)
-            scores.setdefault(name, []).append(float(evaluate(prep, m, te, target).first()["RMSE"]))
-        tr.unpersist()
-        te.unpersist()
-    rows = [(p, sum(v) / len(v)) for p, v in scores.items()]
-    return spark.createDataFrame(rows, "params string, cv_rmse double").orderBy("cv_rmse")
-
-
-# The random-forest grid of the source analysis.  Its fifth axis,
-# the least rows of a node to split, has no Spark parameter; depth 30 is Spark's
-# greatest and stands for "no limit".
+        sides.append([materialize(prep.assemble(x, keep=[target]).withColumnRenamed(target, "label"), f"grid-fold{i}") for x in (tr, te)])
+    name = lambda p: json.dumps(p, sort_keys=True)
+    live = [{a: v for a, v in p.items() if a not in inert} for p in grid]
+    distinct = {name(p): p for p in live}
+
+    def rmse(job):
+        key, (tr, te) = job
+        model = make_estimator(**distinct[key]).fit(tr)
+        return regression_metrics(model.transform(te).select(F.col("label").alias("y_true"), "prediction")).first()["RMSE"]
+
+    def attempt(job):
+        try:
+            return job[0], float(rmse(job))
+        except Exception:  # noqa: BLE001 -- a failing point is a row without a score
+            return job[0], None
+
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        done = list(pool.map(attempt, [(key, side) for key in distinct for side in sides]))
+    scores: dict[str, list] = {}
+    for key, v in done:
+        scores.setdefault(key, []).append(v)
+    rows = []
+    for p, key in zip(grid, map(name, live)):
+        v = scores[key]
+        known = None not in v
+        rows.append((name(p), float(np.mean(v)) if known else None, float(np.std(v)) if known else None))
+    rows.sort(key=lambda r: (r[1] is None, r[1] or 0.0, r[0]))
+    return spark.createDataFrame([(*r, i + 1) for i, r in enumerate(rows)], "params string, cv_rmse double, cv_std double, place int")
+
+
+# The random-forest grid of the source analysis, 243 points.  The
+# least rows of a node to split have no Spark parameter, so that axis is inert
+# (RF_INERT) and its points share a score; depth 30 is Spark's greatest and
+# stands for "no limit".
 RF_GRID = {
     "numTrees": [300, 600, 900],
     "maxDepth": [30, 6, 10],
+    "minRowsToSplit": [2, 5, 10],
     "minInstancesPerNode": [1, 2, 4],
     "featureSubsetStrategy": ["sqrt", "log2", "0.7"],
 }
+RF_INERT = ["minRowsToSplit"]
 
 
 def grid_points(axes: dict[str, list]) -> list[dict]:
@@ -269,10 +350,7 @@ def unsupervised_prep(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence
 def with_vector(prep: PreprocessModel, df: DataFrame) -> DataFrame:
     """All columns of ``df`` and its feature vector (a column without any value
     counts as 0)."""
-    t = prep.transform(df, keep=[F.col(c) for c in df.columns], prefix="__f_")
-    names = ["__f_" + c for c in prep.output_columns()]
-    t = t.fillna(0.0, subset=names)
-    return VectorAssembler(inputCols=names, outputCol=FEATURES).transform(t).drop(*names)
+    return prep.assemble(df, keep=df.columns, fill=0.0)
 
 
 def kmeans_best_of(df: DataFrame, cols: Sequence[str], k: int = 3, n_init: int = 10,
@@ -372,6 +450,8 @@ def pca_2d(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),
     standardised input (see :func:`unsupervised_prep`), axes by
     :func:`principal_axes`; a second component of one column is 0."""
     prep = unsupervised_prep(df, cols, cat_cols)
+    if prep.wide:
+        raise ValueError(f"axes of all pairs of slots are not for wide categoricals: {list(prep.wide)}")
     names = [f"__f_{c}" for c in prep.output_columns()]
     data = prep.transform(df, keep=[F.col(c) for c in keep], prefix="__f_").fillna(0.0, subset=names)
     axes = principal_axes(data, names) + [[0.0] * len(names)] * 2
@@ -387,7 +467,7 @@ def tree_importances(prep: PreprocessModel, model: PipelineModel, top: int | Non
     spark = SparkSession.getActiveSession()
     est = model.stages[-1]
     imp = est.featureImportances.toArray().tolist()
-    names = prep.output_columns()
+    names = prep.vector_names()
     total = sum(imp) or 1.0
     df = spark.createDataFrame([(n, float(v) / total) for n, v in zip(names, imp)],
                                "feature string, importance double")
@@ -450,9 +530,15 @@ def lasso_certificate(df: DataFrame, cols: Sequence[str], target: str, coefficie
 
 def save_model(prep: PreprocessModel, model: PipelineModel, path: str, target: str,
                input_columns: Sequence[str]) -> str:
-    """PipelineModel plus a JSON side file (preprocessing and feature list)."""
+    """PipelineModel plus a JSON side file (preprocessing and feature list) and
+    the level tables of wide categoricals, all under ``path``."""
     model.write().overwrite().save(os.path.join(path, "pipeline"))
     spark = SparkSession.getActiveSession()
+    stored = {}
+    for i, (c, w) in enumerate(prep.wide.items()):
+        stored[c] = {"path": f"levels-{i}", "n": w["n"]}
+        spark.read.parquet(w["path"]).write.mode("overwrite").parquet(os.path.join(path, f"levels-{i}"))
+    prep = replace(prep, wide=stored)
     meta = {"target": target, "feature_names_in": list(input_columns),
             "preprocess": json.loads(prep.to_json())}
     spark.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
@@ -463,6 +549,7 @@ def save_model(prep: PreprocessModel, model: PipelineModel, path: str, target: s
 def load_model(spark: SparkSession, path: str) -> tuple[PreprocessModel, PipelineModel, dict]:
     meta = json.loads(spark.read.text(os.path.join(path, "meta")).first()[0])
     prep = PreprocessModel(**meta["preprocess"])
+    prep.wide = {c: {**w, "path": os.path.join(path, w["path"])} for c, w in prep.wide.items()}
     return prep, PipelineModel.load(os.path.join(path, "pipeline")), meta
 
 

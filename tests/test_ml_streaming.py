@@ -147,6 +147,64 @@ def test_lasso_certificate(spark):
     assert max(r.slack for r in moved) > 0.05
 
 
+def test_wide_categorical_has_the_slots_of_a_narrow_one(spark, tmpdir_path):
+    """The level table and the level list give the same vectors, for unknown,
+    missing and first levels too, and through save and load."""
+    rows = [(i, f"c{i % 9}" if i % 11 else None, float(i % 5)) for i in range(200)]
+    df = spark.createDataFrame(rows, "k long, c string, x double").repartition(3)
+    new = spark.createDataFrame([(1000, "never seen", 1.0), (1001, "c0", None), (1002, None, 2.0), (1003, "c8", 3.0)], df.schema)
+    narrow, wide = M.fit_preprocess(df, ["x"], ["c"]), M.fit_preprocess(df, ["x"], ["c"], max_levels=4)
+    assert not narrow.wide and wide.wide["c"]["n"] == 9 and narrow.modes == wide.modes
+    assert wide.vector_names() == narrow.output_columns()
+    for part in (df, new):
+        a, b = ({r.k: r.features.toArray().tolist() for r in p.assemble(part, keep=["k"]).collect()} for p in (narrow, wide))
+        assert a == b and len(a) == part.count()
+    fitted = M.fit(wide, df.withColumn("y", F.length("c").cast("double") + F.col("x")).na.drop(), "y", M.regressors()["LinearRegression"])
+    again, model, _ = M.load_model(spark, M.save_model(wide, fitted, f"{tmpdir_path}/wide", "y", ["x", "c"]))
+    assert again.wide["c"]["path"].startswith(f"{tmpdir_path}/wide")
+    assert {r.k: r.prediction for r in M.score(again, model, new).collect()} == {r.k: r.prediction for r in M.predict(wide, fitted, new, keep=["k"]).collect()}
+
+
+def test_fifty_thousand_levels(spark):
+    """Prepared and scored without a column a level."""
+    df = spark.range(100_000).select(F.col("id").alias("k"), F.concat(F.lit("u"), F.col("id") % 50_000).alias("c"), (F.col("id") % 2).cast("double").alias("y"))
+    prep = M.fit_preprocess(df, [], ["c"])
+    assert prep.wide["c"]["n"] == 50_000 and len(prep.output_columns()) == 0 and prep.modes["c"] == "u0"
+    data = prep.assemble(df, keep=["k", "y"])
+    one = data.where("k = 7").first().features
+    assert one.size == 49_999 and one.numNonzeros() == 1
+    from pyspark.ml.regression import LinearRegression
+    model = M.fit(prep, df, "y", LinearRegression(solver="l-bfgs", maxIter=2, regParam=0.1))
+    assert M.score(prep, model, df, keep=["k"]).where("prediction IS NOT NULL").count() == 100_000
+
+
+def test_grid_of_the_forest_and_its_inert_axis(spark):
+    from pyspark.ml.regression import RandomForestRegressor
+    points = M.grid_points(M.RF_GRID)
+    assert len(points) == 243 and set(M.RF_INERT) < set(points[0])
+    grid = M.grid_points({"numTrees": [1, 3], "minRowsToSplit": [2, 5, 10]})
+    made = []
+
+    def forest(**p):
+        made.append(p)
+        return RandomForestRegressor(seed=1, maxDepth=3, **p)
+
+    out = M.grid_search(lambda t: M.fit_preprocess(t, ["x1", "x2"], ["site_code"]), _frame(spark, 90), "y", forest, grid, k=2, inert=M.RF_INERT).collect()
+    assert len(out) == 6 and [r.place for r in out] == list(range(1, 7)) and len(made) == 4
+    assert [r.cv_rmse for r in out] == sorted(r.cv_rmse for r in out) and len({r.cv_rmse for r in out}) == 2
+    bad = M.grid_search(lambda t: M.fit_preprocess(t, ["x1"], []), _frame(spark, 30), "y", lambda numTrees: RandomForestRegressor(numTrees=numTrees),
+                        [{"numTrees": 1}, {"numTrees": -1}], k=2).collect()
+    assert bad[0].cv_rmse is not None and bad[1].cv_rmse is None
+
+
+def test_score_of_a_classifier_has_class_probabilities(spark):
+    from pyspark.ml.classification import LogisticRegression
+    df = _frame(spark, 40).withColumn("up", (F.col("x1") > 10).cast("double"))
+    prep = M.fit_preprocess(df, ["x1"], [])
+    out = M.score(prep, M.fit(prep, df, "up", LogisticRegression()), df, keep=["date_key"])
+    assert all(abs(r.proba_0 + r.proba_1 - 1) < 1e-9 for r in out.collect()) and "probability" not in out.columns
+
+
 def test_streaming_silver_ingest(spark, tmpdir_path):
     src = f"{tmpdir_path}/drop"
     os.makedirs(src)
