@@ -6,7 +6,9 @@ is a logistic regression over words and shape marks (shares of symbols,
 capitals, repeated words and so on), less the corpus' log-odds.  Sites enter as priors: the
 corpus' rate is shrunk into each host's, the host's into each of its paths',
 by beta priors whose strength comes from the variance between hosts and
-between paths; a site with few documents keeps nearly the rate above it.
+between paths; a site with few documents keeps nearly the rate above it.  A
+document's prior is its path's rate without the document itself, so its evidence
+counts once.
 """
 
 from __future__ import annotations
@@ -175,8 +177,10 @@ def _odds(x):
 
 
 def site_posteriors(scored: DataFrame, column: str) -> DataFrame:
-    """``host, path, host_rate, path_rate`` from rows of ``host, path`` and the
-    probability ``column``, by grouped sums: paths first, hosts from paths."""
+    """``host, path, host_rate, path_rate, left``: the posteriors from rows of
+    ``host, path`` and the probability ``column``, by grouped sums, paths first
+    and hosts from paths; ``left`` holds the sums and priors from which
+    :func:`without_own` takes one document out again."""
     p = F.col(column)
     paths = scored.groupBy("host", "path").agg(F.count(F.lit(1)).cast("double").alias("pn"), F.sum(p).alias("pk"))
     hosts = paths.groupBy("host").agg(F.sum("pn").alias("hn"), F.sum("pk").alias("hk"))
@@ -184,9 +188,41 @@ def site_posteriors(scored: DataFrame, column: str) -> DataFrame:
     a, b = beta_prior(*(float(x or 0) for x in sums))
     sums = paths.agg(F.count(F.lit(1)).cast("double"), F.sum("pn"), F.sum("pk"), F.sum(F.col("pk") * F.col("pk") / F.col("pn"))).first()
     c, d = beta_prior(*(float(x or 0) for x in sums))
-    hosts = hosts.select(F.col("host").alias("_h"), ((F.col("hk") + a) / (F.col("hn") + a + b)).alias("host_rate"))
+    hosts = hosts.select(F.col("host").alias("_h"), "hn", "hk", ((F.col("hk") + a) / (F.col("hn") + a + b)).alias("host_rate"))
     both = paths.join(hosts, F.col("host").eqNullSafe(F.col("_h"))).drop("_h")
-    return both.select("host", "path", "host_rate", ((F.col("pk") + (c + d) * F.col("host_rate")) / (F.col("pn") + c + d)).alias("path_rate"))
+    left = F.struct("hn", "hk", "pn", "pk", F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c + d).alias("s"))
+    return both.select("host", "path", "host_rate", ((F.col("pk") + (c + d) * F.col("host_rate")) / (F.col("pn") + c + d)).alias("path_rate"), left.alias("left"))
+
+
+def without_own(left: str, own: str):
+    """The path's posterior as it is without one of its documents, whose own
+    probability is ``own``: a document must not vouch for itself."""
+    x = lambda name: F.col(f"{left}.{name}")
+    rest = lambda k: F.greatest(x(k) - F.col(own), F.lit(0.0))
+    host = (rest("hk") + x("a")) / (x("hn") - 1 + x("a") + x("b"))
+    return (rest("pk") + x("s") * host) / (x("pn") - 1 + x("s"))
+
+
+def combine(scored: DataFrame, rates: list[float], stages: Stages) -> DataFrame:
+    """``doc_id, e_good, e_toxic, host_rate, path_rate, toxic_rate, p_good,
+    p_toxic`` from a written table ``doc_id, host, path, e_good, e_toxic`` of
+    evidence (log-odds beyond the corpus ``rates`` of good and toxic).
+
+    Sites are estimated from the probabilities that evidence and corpus rate
+    give each document; the prior that a document's evidence is then added to
+    is its path's posterior without that document.
+    """
+    first = scored
+    for e, p, r in (("e_good", "_g", rates[0]), ("e_toxic", "_x", rates[1])):
+        first = first.withColumn(p, _odds(F.col(e) + float(np.log(r / (1 - r)))))
+    good = site_posteriors(first, "_g").select(F.col("host").alias("_h"), F.col("path").alias("_p"), "host_rate", "path_rate", F.col("left").alias("_good"))
+    toxic = site_posteriors(first, "_x").select(F.col("host").alias("_h2"), F.col("path").alias("_p2"), F.col("path_rate").alias("toxic_rate"), F.col("left").alias("_toxic"))
+    sites = good.join(toxic, F.col("_h").eqNullSafe(F.col("_h2")) & F.col("_p").eqNullSafe(F.col("_p2"))).drop("_h2", "_p2")
+    sites = stages.write(sites, "sites")
+    out = first.join(sites, F.col("host").eqNullSafe(F.col("_h")) & F.col("path").eqNullSafe(F.col("_p")))
+    out = out.withColumn("p_good", _odds(F.col("e_good") + _logit(without_own("_good", "_g"))))
+    out = out.withColumn("p_toxic", _odds(F.col("e_toxic") + _logit(without_own("_toxic", "_x"))))
+    return out.select("doc_id", "e_good", "e_toxic", "host_rate", "path_rate", "toxic_rate", "p_good", "p_toxic")
 
 
 def site_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang",
@@ -204,7 +240,8 @@ def site_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     are scored but never labelled; of repeated labels the least quality and the
     largest toxicity count; labels with nulls, or none at all, leave evidence
     zero and rates at one half; repeated rows are kept; an empty table gives no
-    rows; other columns are ignored.
+    rows; other columns are ignored.  Ids are whole numbers; other types are an
+    error.
     """
     stages = Stages(docs.sparkSession, "site-quality")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
@@ -221,15 +258,6 @@ def site_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         # Evidence is what the text says beyond the corpus rate.
         base = np.array([v[-1] - np.log(r / (1 - r)) for v, r in zip(fits, rates)])
     scored = stages.write(_evidence(texts, f, w, base), "evidence")
-    by_corpus = lambda e, r: _odds(F.col(e) + float(np.log(r / (1 - r))))
-    first = scored.withColumn("_g", by_corpus("e_good", rates[0])).withColumn("_x", by_corpus("e_toxic", rates[1]))
-    good = site_posteriors(first, "_g").select(F.col("host").alias("_h"), F.col("path").alias("_p"), "host_rate", "path_rate")
-    toxic = site_posteriors(first, "_x").select(F.col("host").alias("_h2"), F.col("path").alias("_p2"), F.col("path_rate").alias("toxic_rate"))
-    sites = good.join(toxic, F.col("_h").eqNullSafe(F.col("_h2")) & F.col("_p").eqNullSafe(F.col("_p2"))).drop("_h2", "_p2")
-    sites = stages.write(sites, "sites")
+    out = combine(scored, rates, stages)
     stages.drop("sample")
-    out = scored.join(sites, F.col("host").eqNullSafe(F.col("_h")) & F.col("path").eqNullSafe(F.col("_p")))
-    out = out.withColumn("p_good", _odds(F.col("e_good") + _logit(F.col("path_rate"))))
-    out = out.withColumn("p_toxic", _odds(F.col("e_toxic") + _logit(F.col("toxic_rate"))))
-    return out.select("doc_id", "e_good", "e_toxic", "host_rate", "path_rate", "toxic_rate", "p_good", "p_toxic",
-                      ((F.col("p_good") >= MIN_GOOD) & (F.col("p_toxic") < MAX_TOXIC)).alias("kept"))
+    return out.withColumn("kept", (F.col("p_good") >= MIN_GOOD) & (F.col("p_toxic") < MAX_TOXIC))

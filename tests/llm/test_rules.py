@@ -1,17 +1,20 @@
 """Rules, classifier, decontamination, archives, the pipeline and the SQL twins."""
 
+import math
 import hashlib
 import os
 import random
 import sys
 
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as E
 import corpus_pipeline
 from plantwise.llm import host_rules, queries, warc, winnowing
-from plantwise.llm.site_quality import site_quality
+from plantwise.llm.common import Stages
+from plantwise.llm.site_quality import combine, site_quality
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "scripts"))
 from oracle_check import rows_of  # noqa: E402
@@ -188,3 +191,45 @@ def test_archives_are_read_in_linear_time():
     assert times[1] < 30 * times[0]
     with pytest.raises(ValueError):
         list(warc.parse_records(small[:-3]))
+
+
+def test_site_priors_against_brute_force(spark):
+    """Given evidence, every document's prior is counted anew from all others:
+    one-document sites, null hosts and paths, repeated rows and a hot host."""
+    rng = np.random.default_rng(5)
+    rows = [(i, *site, float(e), float(t)) for i, (site, e, t) in enumerate(zip(
+        [("hot", "p%d" % (i % 3)) for i in range(60)] + [(None, None)] * 4 + [("hot", None)] * 3 + [("h%d" % i, "only") for i in range(12)] + [("h1", "more")] * 5,
+        rng.normal(1, 2, 84), rng.normal(-2, 1.5, 84)))]
+    rows += [rows[0], (None, "hot", "p0", 0.5, 0.5)]
+    rates = [0.7, 0.1]
+    scored = spark.createDataFrame(rows, "doc_id long, host string, path string, e_good double, e_toxic double").repartition(3)
+    got = combine(scored, rates, Stages(spark, "test-combine")).collect()
+
+    def odds(x):
+        return 1 / (1 + math.exp(-x))
+
+    def prior(groups):
+        n = sum(map(len, groups))
+        m = sum(map(sum, groups)) / n
+        within = m * (1 - m)
+        between = max(0.0, sum(sum(g) ** 2 / len(g) for g in groups) / n - m * m - within * (len(groups) - 1) / n)
+        strength = min(1e4, max(1.0, within / between - 1)) if between > 0 else 1e4
+        return strength * m, strength * (1 - m)
+
+    want = {}
+    for name, at, rate in (("good", 3, rates[0]), ("toxic", 4, rates[1])):
+        own = [odds(r[at] + math.log(rate / (1 - rate))) for r in rows]
+        hosts, paths = {}, {}
+        for r, p in zip(rows, own):
+            hosts.setdefault(r[1], []).append(p)
+            paths.setdefault(r[1:3], []).append(p)
+        (a, b), (c, d) = prior(list(hosts.values())), prior(list(paths.values()))
+        for k, r in enumerate(rows):
+            others = [(x, p) for j, (x, p) in enumerate(zip(rows, own)) if j != k]
+            h = [p for x, p in others if x[1] == r[1]]
+            q = [p for x, p in others if x[1:3] == r[1:3]]
+            host = (sum(h) + a) / (len(h) + a + b)
+            path = (sum(q) + (c + d) * host) / (len(q) + c + d)
+            want.setdefault(k, {})[name] = odds(r[at] + math.log(path / (1 - path)))
+    key = lambda d, e, g, t: (str(d), round(e, 9), round(g, 9), round(t, 9))
+    assert sorted(key(r.doc_id, r.e_good, r.p_good, r.p_toxic) for r in got) == sorted(key(rows[k][0], rows[k][3], w["good"], w["toxic"]) for k, w in want.items())
