@@ -39,6 +39,8 @@ MAGIC = b"S8BIDS01"
 _HEAD = struct.Struct("<8sIIQQ")
 #: Ids after which a task starts its next shard.
 SHARD_IDS = 2_000_000
+#: Shard numbers that a range of documents may take.
+_PART_SHARDS = 100_000
 
 
 def dump_shard(doc_ids: list, docs: list[np.ndarray]) -> bytes:
@@ -71,9 +73,12 @@ def write_token_files(docs: DataFrame, folder: str, vocab: str = "byte_bpe_50k.j
     evaluating it writes into ``folder`` (shared by all executors).
 
     Documents are range-shuffled by id (ties by a hash of the text, null ids
-    first), so the order of shards, and of documents in them, is ascending.
+    first), so the order of shards, and of documents in them, is ascending.  The
+    row's number as read is the last range key: repeated rows, which no other
+    key tells apart, are spread over as many ranges as their number needs.
     """
-    src = keyed_texts(docs, id_col, text_col).repartitionByRange("_id", "_key").sortWithinPartitions("_id", "_key", "_text").select("_id", "_text")
+    src = keyed_texts(docs, id_col, text_col).withColumn("_n", F.monotonically_increasing_id())
+    src = src.repartitionByRange("_id", "_key", "_n").sortWithinPartitions("_id", "_key", "_text").select("_id", "_text")
 
     def write(batches):
         enc, part = encoder(vocabulary(vocab)), TaskContext.get().partitionId()
@@ -88,7 +93,7 @@ def write_token_files(docs: DataFrame, folder: str, vocab: str = "byte_bpe_50k.j
             with fs.open_output_stream(temp) as f:
                 f.write(dump_shard(names, held))
             fs.move(temp, f"{root}/{name}")
-            row = pa.RecordBatch.from_pylist([{"shard": part * 100_000 + done, "name": name, "n_docs": len(names), "n_ids": count}])
+            row = pa.RecordBatch.from_pylist([{"shard": part * _PART_SHARDS + done, "name": name, "n_docs": len(names), "n_ids": count}])
             names, held, count, done = [], [], 0, done + 1
             return row
 
@@ -111,10 +116,15 @@ def read_token_files(spark: SparkSession, folder: str, manifest: DataFrame, with
     """One row per document of the files: ``doc_id, start, n_tokens, ids_crc32``
     and, if asked for, ``ids`` (array of long).
 
-    ``manifest`` must be a written table.  Shard starts are a running sum over
-    it, one row per shard.
+    ``manifest`` must be a written table.  A shard starts where the ranges of
+    documents before its own end (a running sum of one row a range) and the
+    shards before it in its range (a running sum a range).
     """
-    starts = manifest.select("name", (F.sum("n_ids").over(W.orderBy("shard")) - F.col("n_ids")).alias("first"))
+    shards = manifest.withColumn("part", F.floor(F.col("shard") / _PART_SHARDS))
+    ranges = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    ranges = ranges.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("before"))
+    inside = F.sum("n_ids").over(W.partitionBy("part").orderBy("shard")) - F.col("n_ids")
+    starts = shards.withColumn("inside", inside).join(ranges, "part").select("name", (F.col("before") + F.col("inside")).alias("first"))
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.s8b").load(folder)
              .select(F.element_at(F.split("path", "/"), -1).alias("name"), "content"))
     fields = [T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()),
@@ -147,7 +157,8 @@ def token_files(docs: DataFrame, vocab: str = "byte_bpe_50k.json", end_id: int |
     checkpoints).  One shuffle, of the texts; ids are written where they are
     made.  Null texts are empty and yield the end id alone; null ids come
     first; rows with equal ids stand side by side, ordered by text; an empty
-    table writes no shard and returns no row; other columns are ignored.
+    table writes no shard and returns no row; other columns are ignored.  Ids are
+    whole numbers, which the files hold as 64 bits; other types are an error.
     """
     spark = docs.sparkSession
     stages = Stages(spark, "token-files")

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from plantwise.llm import packing, simple8b, token_files
+from plantwise.llm.common import Stages
 from plantwise.llm.encoding import Encoder, vocabulary
 from plantwise.llm.token_counts import token_counts
 
@@ -65,6 +66,28 @@ def test_token_files(spark, odd_docs, no_docs, tmpdir_path):
     assert token_files.token_files(no_docs).count() == 0
 
 
+def test_repeated_rows_are_spread_over_ranges(spark, tmpdir_path):
+    """Rows that no key tells apart, a third and more of all, don't make one task;
+    starts run on over ranges of several shards each."""
+    same = [(None, "the same text again and again")] * 400 + [(i, f"text {i}") for i in range(200)]
+    df = spark.createDataFrame(same, "doc_id long, text string").repartition(5)
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        shards = Stages(spark, "spread").write(token_files.write_token_files(df, f"{tmpdir_path}/spread", shard_ids=50), "manifest")
+        rows = shards.collect()
+        per_range = {}
+        for r in rows:
+            per_range[r.shard // 100_000] = per_range.get(r.shard // 100_000, 0) + r.n_docs
+        assert sum(per_range.values()) == 600 and len(rows) > len(per_range) > 3 and max(per_range.values()) < 300
+        got = sorted(token_files.read_token_files(spark, f"{tmpdir_path}/spread", shards).collect(), key=lambda r: r.start)
+    finally:
+        spark.conf.set(name, before)
+    assert [r.start for r in got] == (np.cumsum([r.n_tokens for r in got]) - [r.n_tokens for r in got]).tolist()
+    assert [r.doc_id for r in got] == [None] * 400 + list(range(200))
+
+
 def test_token_counts(odd_docs, no_docs):
     enc = Encoder(vocabulary("piece_bpe_32k.model"))
     want = sorted((str(r.doc_id), len((r.text or "").encode()), len(enc.call([r.text or ""])[0])) for r in odd_docs.collect())
