@@ -184,13 +184,18 @@ def q_prepared_rows_filled(spark, sf_dir):
     return _prepared(M.fit_preprocess(df, NUM, ["gap_site"], scaler="robust"), df, "gap_site")
 
 
-@register("prepared_gaps", with_star("SELECT CAST(0 AS BIGINT) AS bad_values FROM model_df LIMIT 1", extra_ctes=_F))
+@register("prepared_gaps", with_star("SELECT " + " + ".join(f"COUNT(*) FILTER (gap_{c} IS NULL)" for c in NUM) + """ AS gaps_before,
+  """ + " + ".join(f"COUNT(*) FILTER (coalesce(gap_{c}, m_{c}) IS NULL)" for c in NUM) + " AS bad_values FROM gapped, (SELECT " + ", ".join(
+    f"median(gap_{c}) AS m_{c}" for c in NUM) + " FROM gapped)", extra_ctes=_F + """,
+gapped AS (SELECT """ + ", ".join(f"CASE WHEN date_key % {i + 5} <> 0 THEN {c} END AS gap_{c}" for i, c in enumerate(NUM)) + " FROM model_df)"))
 def q_prepared_gaps(spark, sf_dir):
-    """No gap is left after preparation."""
-    df = _model(spark, sf_dir)
+    """Gaps before and after preparation, where each column lacks the values of
+    some date keys."""
+    df = _model(spark, sf_dir).select("site_code", *[F.when(F.col("date_key") % (i + 5) != 0, F.col(c)).alias(c) for i, c in enumerate(NUM)])
     prep = M.fit_preprocess(df, NUM, ["site_code"])
     t = prep.transform(df)
-    return M.nan_check(t, t.columns).select(F.col("bad_values").cast("long").alias("bad_values"))
+    before, after = (M.nan_check(x, c).select(F.col("bad_values").cast("long")).first()[0] for x, c in ((df, NUM), (t, t.columns)))
+    return spark.createDataFrame([(before, after)], "gaps_before long, bad_values long")
 
 
 # ----------------------------------------------------------- one-feature models
