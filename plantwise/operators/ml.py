@@ -51,6 +51,9 @@ class PreprocessModel:
     levels: dict[str, list[str]] = field(default_factory=dict)
     # Wide categoricals: {"path": table of (level, slot), "n": number of levels}.
     wide: dict[str, dict] = field(default_factory=dict)
+    # Taken off the target before a fit and put back on predictions, so that sums
+    # over many rows of a target far from 0 keep their last digits.
+    target_center: float = 0.0
 
     def output_columns(self) -> list[str]:
         out = list(self.num_cols)
@@ -195,14 +198,29 @@ def elastic_net(alpha: float = 1.0, l1_ratio: float = 0.5) -> LinearRegression:
                             maxIter=10000)
 
 
+def mean_centred(train: DataFrame, cols: Sequence[str], target: str) -> PreprocessModel:
+    """Columns and target about their means, not scaled or filled: with an
+    estimator without intercept, least squares whose predictions carry no rounding
+    of long sums.  Whole and fractional parts are summed apart (whole numbers add
+    up exactly below 2^53); a column without values is centred at 0."""
+    whole = lambda c: F.floor(F.col(c)).cast("double")
+    row = train.agg(*[((F.sum(whole(c)) + F.sum(F.col(c) - whole(c))) / F.count(c)).alias(f"m{i}") for i, c in enumerate([*cols, target])]).first()
+    means = [v or 0.0 for v in row]
+    return PreprocessModel(list(cols), [], medians={c: None for c in cols}, scales={c: 1.0 for c in cols},
+                           centers=dict(zip(cols, means)), target_center=means[-1])
+
+
 def fit(prep: PreprocessModel, train: DataFrame, target: str, estimator) -> PipelineModel:
     data = prep.assemble(train, keep=[target]).withColumnRenamed(target, "label")
+    if prep.target_center:
+        data = data.withColumn("label", F.col("label") - F.lit(prep.target_center))
     return Pipeline(stages=[estimator]).fit(data)
 
 
 def predict(prep: PreprocessModel, model: PipelineModel, df: DataFrame,
             keep: Sequence[str] = ()) -> DataFrame:
-    return model.transform(prep.assemble(df, keep=keep))
+    out = model.transform(prep.assemble(df, keep=keep))
+    return out.withColumn("prediction", F.col("prediction") + F.lit(prep.target_center)) if prep.target_center else out
 
 
 def evaluate(prep: PreprocessModel, model: PipelineModel, test: DataFrame, target: str) -> DataFrame:

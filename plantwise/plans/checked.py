@@ -229,8 +229,8 @@ def q_scored_rows(spark, sf_dir):
     """Predictions of a one-feature fit beside their rows, with residuals."""
     from plantwise.operators.metrics import with_residual
     df = _pairs(spark, sf_dir)
-    prep = _plain(df)
-    m = M.fit(prep, df, Y, M.regressors()["LinearRegression"])
+    prep = M.mean_centred(df, [X], Y)
+    m = M.fit(prep, df, Y, M.regressors()["LinearRegression"].setFitIntercept(False))
     out = with_residual(M.score(prep, m, df, keep=["date_key", "site_code", Y]), Y)
     return _round(out.select("date_key", "site_code", "prediction", "residual"), {"prediction": 4, "residual": 4})
 

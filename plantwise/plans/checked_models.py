@@ -277,8 +277,8 @@ def q_saved_model_rows(spark, sf_dir):
     back from the CSV they were written to."""
     from plantwise.sources import files as S
     df, base = _pairs(spark, sf_dir), new_path(spark, "model")
-    prep = _plain(df)
-    M.save_model(prep, M.fit(prep, df, Y, M.regressors()["LinearRegression"]), base, Y, ["date_key", "site_code", X])
+    prep = M.mean_centred(df, [X], Y)
+    M.save_model(prep, M.fit(prep, df, Y, M.regressors()["LinearRegression"].setFitIntercept(False)), base, Y, ["date_key", "site_code", X])
     prep, model, meta = M.load_model(spark, base)
     aligned, _ = M.align_with_model_features(df, meta["feature_names_in"], meta["target"])
     scored = M.score(prep, model, aligned, keep=["date_key", "site_code"])
