@@ -312,6 +312,17 @@ def offenders(star: Star) -> DataFrame:
 
 # -------------------------------------------------------------- reconciliation
 
+def recon_offenders(star: Star, tol: float = RECON_TOLERANCE) -> DataFrame:
+    """``rule_id, y, m, site_code, rel_diff``: every month and site beyond the
+    tolerance of R11 and R12 as a row of its own (the report lists them in a cell)."""
+    parts = []
+    for rid, other, value, total in (("R11_RECON_COST_VS_PROD", star.fact_manufacturing, "units_ok", "total_units"),
+                                     ("R12_RECON_COST_VS_ENERGY", star.fact_energy, "kwh_day", "total_kwh")):
+        dev = K.recon_deviation(K.recon_base(star.fact_costs, other, value, star.calendar(), total), total)
+        parts.append(dev.where(F.col("rel_diff") > tol).select(F.lit(rid).alias("rule_id"), "y", "m", "site_code", "rel_diff"))
+    return parts[0].unionByName(parts[1])
+
+
 def _recon_row(dev: DataFrame, tol: float) -> DataFrame:
     off = F.struct("y", "m", "site_code", "rel_diff")
     return dev.agg(F.max("rel_diff").alias("mx"), F.sort_array(F.collect_list(F.when(F.col("rel_diff") > tol, off))).alias("off"))

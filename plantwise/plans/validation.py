@@ -20,15 +20,16 @@ from plantwise.sources.files import write_csv, write_parquet
 
 def run_validation(spark: SparkSession, star: Star, gold_dir: str | None = None,
                    results_path: str | None = None, database: str | None = "analytics",
-                   as_of=None, fail_on_error: bool = False) -> dict[str, DataFrame]:
+                   as_of=None, fail_on_error: bool = False, meta_digits: int | None = None) -> dict[str, DataFrame]:
     """Run R1..R13, materialise and export the KPIs, export the QA report.
 
     ``results_path``: parquet folder the results are appended to (history);
     ``database``: catalog database for the KPI tables (None: skip);
-    ``fail_on_error``: raise when an ERROR rule did not pass.
+    ``fail_on_error``: raise when an ERROR rule did not pass;
+    ``meta_digits``: decimals of the deviations in the report's lists.
     """
     run_id = uuid.uuid4().hex
-    results = Q.run_suite(star, as_of=as_of).withColumn("run_id", F.lit(run_id))
+    results = Q.run_suite(star, as_of=as_of, meta_digits=meta_digits).withColumn("run_id", F.lit(run_id))
     rules = Q.rules_frame(spark)
     if results_path:
         results.write.mode("append").parquet(results_path)

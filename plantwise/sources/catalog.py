@@ -48,10 +48,18 @@ def upsert_table(spark: SparkSession, table: str, new: DataFrame, keys: Sequence
     return spark.table(table)
 
 
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> str:
+    """The database, made where it is missing; its tables lie under ``location``
+    instead of the warehouse when one is given."""
+    at = " LOCATION '" + location.replace("\\", "\\\\").replace("'", "\\'") + "'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{at}")
+    return name
+
+
 def materialize_tables(spark: SparkSession, frames: dict[str, DataFrame],
-                       database: str = "analytics") -> list[str]:
+                       database: str = "analytics", location: str | None = None) -> list[str]:
     """``CREATE OR REPLACE TABLE <database>.<name> AS ...`` for each frame."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    create_database(spark, database, location)
     out = []
     for name, df in frames.items():
         df.write.mode("overwrite").saveAsTable(f"{database}.{name}")
