@@ -102,6 +102,7 @@ def test_medallion_end_to_end(spark, tmpdir_path):
     silver = {d: spark.read.parquet(p["silver"]) for d, p in out.items()}
     assert sorted(r.kwh for r in silver["energy"].collect()) == [0.0, 5.0]
     assert spark.read.parquet(f"{tmpdir_path}/gold/energy").count() == 2
+    assert tuple(spark.read.parquet(f"{tmpdir_path}/silver/energy_check").first()) == (0, 0, True)
     # silver -> star -> full rule suite, end to end
     from plantwise.operators.star import build_star
     from plantwise.plans.validation import run_validation

@@ -39,6 +39,25 @@ def test_linear_model_recovers_coefficients(spark):
     assert ev.RMSE < 1e-6
 
 
+def test_mean_centred_fit_keeps_the_last_digits(spark, tmpdir_path):
+    """Least squares about exact means, against fractions; the centre is saved.
+    (Of doubles near 16384 neighbours are 3.6e-12 apart.)"""
+    from fractions import Fraction as Fr
+    rows = [(4000.0 + i % 97 + i / 7, 13000.0 + (i * i) % 8191 + i / 3) for i in range(3000)]
+    df = spark.createDataFrame(rows, "x double, y double")
+    prep = M.mean_centred(df, ["x"], "y")
+    model = M.fit(prep, df, "y", M.regressors()["LinearRegression"].setFitIntercept(False))
+    xs, ys = [Fr(x) for x, _ in rows], [Fr(y) for _, y in rows]
+    mx, my = sum(xs) / len(xs), sum(ys) / len(ys)
+    slope = sum((x - mx) * (y - my) for x, y in zip(xs, ys)) / sum((x - mx) ** 2 for x in xs)
+    M.save_model(prep, model, f"{tmpdir_path}/centred", "y", ["x"])
+    prep, model, _ = M.load_model(spark, f"{tmpdir_path}/centred")
+    for r in M.predict(prep, model, df.limit(50), keep=["x"]).collect():
+        assert abs(Fr(r.prediction) - (my + slope * (Fr(r.x) - mx))) < Fr(1, 10 ** 10)
+    none = M.mean_centred(df.withColumn("x", F.lit(None).cast("double")), ["x"], "y")
+    assert none.centers == {"x": 0.0} and M.mean_centred(df.limit(0), ["x"], "y").target_center == 0.0
+
+
 def test_leaderboard_cv_kmeans_pca(spark, tmpdir_path):
     df = _frame(spark, 120)
     prep = M.fit_preprocess(df, ["x1", "x2"], ["site_code"])

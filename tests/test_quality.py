@@ -106,6 +106,25 @@ def test_recon_message_and_meta(spark):
     assert abs(meta[1]["rel_diff"] - 0.8) < 1e-12
 
 
+def test_recon_offenders_are_the_listed_ones(spark):
+    from plantwise.plans.registry import _star
+    star = _star(spark, "/root/testdata/sf0.001")
+    rows = Q.recon_offenders(star).collect()
+    for rule in (Q.rule_recon_cost_vs_production(star), Q.rule_recon_cost_vs_energy(star)):
+        r = rule.first()
+        listed = sorted((x["site_code"], round(x["rel_diff"], 9)) for x in json.loads(r.meta))
+        assert listed and listed == sorted((o.site_code, round(o.rel_diff, 9)) for o in rows if o.rule_id == r.rule_id)
+
+
+def test_tables_lie_under_the_given_location(spark, tmpdir_path):
+    import os
+    from plantwise.sources import catalog
+    where = f"{tmpdir_path}/it's here"
+    names = catalog.materialize_tables(spark, {"kept": spark.range(3)}, "pw_located", where)
+    assert names == ["pw_located.kept"] and spark.table(names[0]).count() == 3 and os.path.isdir(f"{where}/kept")
+    spark.sql("DROP DATABASE pw_located CASCADE")
+
+
 def test_energy_silver_check(spark):
     df = spark.createDataFrame([(1.0,), (None,), (-1.0,)], "kwh double")
     r = Q.energy_silver_check(df).first()
