@@ -17,46 +17,86 @@ Stretches that begin or end with white space (runs of spaces, a space beside a
 line break, two line breaks) are not safe; their texts are cut only at single spaces between
 two other characters and encoded without the memo.  A tokenizer whose files
 don't show one of these forms gets whole texts.
+
+Where words seldom come twice, most of the time goes into new stretches.  Those
+of the two BPE forms that are plain letters with or without ASCII marks at the
+end have words that are easily told, so each word goes to the library's model of
+the file, in its byte alphabet, without the normaliser and splitting pattern
+before it.
 """
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
 import re
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from plantwise.llm.common import ranges
 
-#: Distinct stretches kept per worker (about 200 bytes each); beyond it the memo starts anew.
-MEMO_PIECES = 1_000_000
+#: Distinct stretches after which a worker's memo starts anew (about 200 bytes each); what is
+#: used again is taken over from the one before, so two of them are kept.
+MEMO_PIECES = 500_000
 #: Texts with longer stretches are encoded without the memo, so its size is bounded in bytes too.
 MEMO_CHARS = 200
 #: Stretches sent to the library in one call.
 CALL_PIECES = 20_000
+#: Bytes of text encoded at a time: of more text, a larger share of the stretches comes twice.
+STEP_BYTES = 4 << 20
 
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 
 #: Marks a stretch that no space precedes; texts that contain it go the plain way.
 _MARK = "\x01"
-
-
-class _Memo(dict):
-    """Stretch -> slot, -1 for one that can't stand alone."""
-
-    def __init__(self, unsafe):
-        super().__init__()
-        self.fresh, self.unsafe = [], unsafe
-
-    def __missing__(self, piece):
-        if len(piece) > MEMO_CHARS or self.unsafe(piece):
-            return -1
-        slot = self[piece] = len(self)
-        self.fresh.append(piece)
-        return slot
+#: In place of the slot of a stretch that the memo lacks.
+_NEW = -2
+
+#: Letters that every Unicode version lower-cases alike and that compose with nothing, and
+#: ASCII marks but for the apostrophe, which may begin a contraction.
+_LETTERS = [chr(c) for c in (*range(65, 91), *range(97, 123), *range(0xC0, 0x100)) if chr(c).isalpha()]
+_MARKS = [chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'"]
+#: Cuts words; a byte that no plain word holds.
+_CUT = "\x02"
+#: The pattern of the word BPE whose words :class:`_Words` can tell.
+_WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _byte_alphabet() -> str:
+    """The character that byte-level BPE writes for each byte; a space for the cut."""
+    own = [*range(33, 127), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    out = {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in own)}
+    return "".join(" " if b == ord(_CUT) else out[b] for b in range(256))
+
+
+class _Words:
+    """Ids of plain words, which are runs of letters or of marks with the space
+    before them, by a tokenizer's model."""
+
+    def __init__(self, tok, added: list[str], lower: bool):
+        first = {t[0].lower() for t in added}  # what begins a special string isn't plain
+        letters, marks = ("".join(map(re.escape, (c for c in chars if c.lower() not in first))) for chars in (_LETTERS, _MARKS))
+        most = MEMO_CHARS // 2 - 1
+        #: A plain word, or one of letters and then one of marks.
+        self.plain = re.compile(f" ?(?:[{letters}]{{1,{most}}}[{marks}]{{0,{most}}}|[{marks}]{{1,{most}}})").fullmatch
+        self.lower, self.alphabet, self.ends = lower, _byte_alphabet(), "".join(_MARKS)
+        self.tokenize = tok.model.tokenize
+
+    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all, ids of each)."""
+        text = _CUT.join(words)
+        signs = codecs.charmap_decode((text.lower() if self.lower else text).encode(), "strict", self.alphabet)[0]
+        ids, sizes, tokenize = [], [], self.tokenize
+        for word in signs.split(" "):
+            tokens = tokenize(word)
+            sizes.append(len(tokens))
+            ids += [t.id for t in tokens]
+        return np.array(ids, np.uint32), np.array(sizes, np.int64)
 
 
 class Encoder:
@@ -65,7 +105,7 @@ class Encoder:
     padding; special strings inside a text as the library treats them."""
 
     def __init__(self, path: str):
-        self.lead, self.blank, self.unsafe = False, False, None
+        self.lead, self.blank, self.unsafe, self.words = False, False, None, None
         if path.endswith(".model"):
             import sentencepiece
 
@@ -85,12 +125,23 @@ class Encoder:
             with open(path, encoding="utf-8") as f:
                 spec = json.load(f)
             pre = spec.get("pre_tokenizer") or {}
+            added = [t["content"] for t in spec.get("added_tokens") or []]
             if not any(t.get("lstrip") or t.get("rstrip") or re.search(r"\s", t["content"]) for t in spec.get("added_tokens") or []):
                 if spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
                     self.lead, self.unsafe = True, self._cannot_stand
+                    self.words = _Words(tok, added, False)
                 elif pre.get("type") == "Sequence" and pre["pretokenizers"][0].get("invert") and "\\s" in json.dumps(pre["pretokenizers"][0]):
                     self.blank, self.unsafe = True, lambda p: False
+                    steps = (spec.get("normalizer") or {}).get("normalizers") or []
+                    split, last = pre["pretokenizers"][0], pre["pretokenizers"][1:]
+                    if ([x["type"] for x in steps] == ["NFC", "Replace", "Lowercase"] and split.get("pattern") == {"Regex": _WORD_PATTERN}
+                            and [(x["type"], x.get("use_regex"), x.get("add_prefix_space")) for x in last] == [("ByteLevel", False, False)]):
+                        self.words = _Words(tok, added, True)
+        self.memo = {}
         self._reset()
+        if self.words and not self._agrees():
+            self.words, self.memo = None, {}
+            self._reset()
         if self.unsafe and not self._agrees():
             self.unsafe = None
 
@@ -101,50 +152,103 @@ class Encoder:
         p = p.removeprefix(_MARK)
         return not p or p[0].isspace() or p[-1].isspace() or _MARK in p
 
-    def _cut(self, text: str) -> list[str]:
-        if self.lead and _MARK in text:
-            return [""]
+    def _cut(self, texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+        """(stretches of each text, texts that can't be cut)."""
+        col = pa.array(texts, pa.large_string())
+        odd = np.zeros(len(texts), bool)
         if self.lead:  # a line break between two other characters is a stretch of its own
-            return (_MARK + text.replace("\n", f" \n {_MARK}")).split(" ")
-        return (text.replace("\n", " ") if self.blank else text).split(" ")
+            odd = pc.match_substring(col, _MARK).to_numpy(zero_copy_only=False)
+            mark, none = (pa.scalar(x, pa.large_string()) for x in (_MARK, ""))
+            col = pc.binary_join_element_wise(mark, pc.replace_substring(col, "\n", f" \n {_MARK}"), none)
+        elif self.blank:
+            col = pc.replace_substring(col, "\n", " ")
+        return pc.split_pattern(col, " "), odd
 
     def _reset(self):
-        self.memo = _Memo(self.unsafe)
+        """Start a new memo, stretch -> slot, and keep the one before."""
+        self.before = self.memo
+        if self.before:
+            self.old = self.start, self.size, self.pool[:self.used]
+        self.memo = {}
         self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def _agrees(self) -> bool:
-        probe = ["A b's c.\nD  e", "x\n y", " a", "a ", "", "  ", "na\u00efve \u4e2d\u6587 1234!? \t z", "a \u0301b \ufb01x", "a \u2581 b"]
+        probe = ["A b's c.\nD  e", "x\n y", " a", "a ", "", "  ", "na\u00efve \u4e2d\u6587 1234!? \t z", "a \u0301b \ufb01x", "a \u2581 b",
+                 "Plain \u00c4\u00f6\u00df, (a-b) x... <|endoftext|> ((c d)) \u00d7 \u00aa's l'\u00e9t\u00e9 e.g. #1"]
         return [x.tolist() for x in self.encode(probe)] == [list(x) for x in self.call(probe)]
 
-    def _learn(self):
-        fresh, self.memo.fresh = self.memo.fresh, []
-        sizes, parts = [], []
-        for k in range(0, len(fresh), CALL_PIECES):
-            keys = fresh[k:k + CALL_PIECES]
-            texts = [x if x == "\n" else x[1:] if x[0] == _MARK else f" {x}" for x in keys] if self.lead else keys
-            for ids in self.call(texts):
-                sizes.append(len(ids))
-                parts.extend(ids)
-        ids, sizes = np.array(parts, dtype=np.uint32), np.array(sizes, dtype=np.int64)
+    def _learn(self, keys: list[str]) -> np.ndarray:
+        """Slots of stretches that the memo lacks, -1 for one that can't stand alone."""
+        slots = np.full(len(keys), -1)
+        found = []  # (places in keys, ids of all, ids of each)
+        old = np.fromiter(map(self.before.get, keys, repeat(-1)), np.int64, len(keys))
+        again = np.flatnonzero(old >= 0)
+        if len(again):
+            start, size, pool = self.old
+            old = old[again]
+            found.append((again, pool[ranges(start[old], size[old])], size[old]))
+        fresh = np.setdiff1d(np.arange(len(keys)), again, assume_unique=True)
+        texts = [keys[i] for i in fresh.tolist()]
+        if self.lead:
+            texts = [x if x == "\n" else x[1:] if x[:1] == _MARK else f" {x}" for x in texts]
+        plain = np.fromiter(map(bool, map(self.words.plain, texts)), bool, len(texts)) if self.words else np.zeros(len(texts), bool)
+        other = [i for i in np.flatnonzero(~plain).tolist() if len(keys[fresh[i]]) <= MEMO_CHARS and not self.unsafe(keys[fresh[i]])]
+        some, ended = [], []  # plain ones; those of letters and marks at the end with the length of the rest
+        for i in np.flatnonzero(plain).tolist():
+            key = keys[fresh[i]]
+            n = len(key.rstrip(self.words.ends))
+            if n == len(key) or key[:n] in ("", _MARK):
+                some.append(i)
+            else:
+                ended.append((fresh[i], key[:n], _MARK + key[n:] if self.lead else key[n:]))
+        for some, step, call in ((some, CALL_PIECES, self.words and self.words.ids), (other, CALL_PIECES, self._by_library)):
+            for k in range(0, len(some), step):
+                here = some[k:k + step]
+                found.append((fresh[here], *call([texts[i] for i in here])))
+        if found:
+            self._keep(keys, slots, *(np.concatenate(x) for x in zip(*found)))
+        if ended:  # marks at the end are a word of their own, and the rest may be known
+            at, *parts = zip(*ended)
+            lacking = [k for k in dict.fromkeys(chain(*parts)) if k not in self.memo]
+            if lacking:
+                self._learn(lacking)
+            a, b = (np.fromiter(map(self.memo.__getitem__, p), np.int64, len(p)) for p in parts)
+            both = np.stack([a, b], axis=1).ravel()
+            self._keep(keys, slots, np.array(at), self.pool[ranges(self.start[both], self.size[both])], self.size[a] + self.size[b])
+        return slots
+
+    def _keep(self, keys: list[str], slots: np.ndarray, at: np.ndarray, ids: np.ndarray, sizes: np.ndarray):
         if self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(ids)), np.uint32)])
         self.pool[self.used:self.used + len(ids)] = ids
+        slots[at] = len(self.memo) + np.arange(len(at))
+        self.memo.update(zip(map(keys.__getitem__, at.tolist()), slots[at].tolist()))
         self.start = np.concatenate([self.start, self.used + np.cumsum(sizes) - sizes])
         self.size = np.concatenate([self.size, sizes])
         self.used += len(ids)
 
+    def _by_library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        parts = self.call(texts)
+        return np.fromiter(chain.from_iterable(parts), np.uint32), np.fromiter(map(len, parts), np.int64, len(parts))
+
     def _slots(self, texts):
         """Slots of all texts' stretches, stretches per text, and the texts
         that have to go to the library as they are."""
         if len(self.memo) > MEMO_PIECES:
             self._reset()
-        parts = [self._cut(t) for t in texts]
-        count = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
-        slots = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(parts)), dtype=np.int64, count=int(count.sum()))
-        if self.memo.fresh:
-            self._learn()
-        odd = np.flatnonzero(np.minimum.reduceat(slots, np.cumsum(count) - count) < 0) if len(texts) else np.zeros(0, np.int64)
+        if not texts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        parts, uncut = self._cut(texts)
+        count = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+        words = parts.flatten().dictionary_encode()  # each distinct stretch is looked up once
+        keys = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        own = np.fromiter(map(self.memo.get, keys, repeat(_NEW)), np.int64, len(keys))
+        new = np.flatnonzero(own == _NEW)
+        if len(new):
+            own[new] = self._learn([keys[i] for i in new.tolist()])
+        slots = own[words.indices.to_numpy()]
+        odd = np.flatnonzero((np.minimum.reduceat(slots, np.cumsum(count) - count) < 0) | uncut)
         return slots, count, odd
 
     def _plainly(self, text) -> np.ndarray:

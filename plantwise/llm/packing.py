@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plantwise.llm.common import Stages, byte_slices, keyed_texts
-from plantwise.llm.encoding import encoder, vocabulary
+from plantwise.llm.encoding import STEP_BYTES, encoder, vocabulary
 
 #: Length classes that patterns are enumerated over at most.
 CLASSES = 512
@@ -43,7 +43,7 @@ def token_pieces(docs: DataFrame, vocab: str, end_id: int | None, limit: int,
         enc = encoder(vocabulary(vocab))
         end = np.array([] if end_id is None else [end_id], np.uint32)
         for batch in batches:
-            for part in byte_slices(batch, 2):
+            for part in byte_slices(batch, 2, STEP_BYTES):
                 rows, cols, kept = [], [[], [], [], []], []
                 for k, ids in enumerate(enc.encode(part.column(2).to_pylist())):
                     ids = np.append(ids, end).astype("<u4")

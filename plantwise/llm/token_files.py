@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from plantwise.llm import simple8b
 from plantwise.llm.common import Stages, byte_slices, keyed_texts, shared_fs
-from plantwise.llm.encoding import encoder, vocabulary
+from plantwise.llm.encoding import STEP_BYTES, encoder, vocabulary
 
 MAGIC = b"S8BIDS01"
 _HEAD = struct.Struct("<8sIIQQ")
@@ -98,7 +98,7 @@ def write_token_files(docs: DataFrame, folder: str, vocab: str = "byte_bpe_50k.j
             return row
 
         for batch in batches:
-            for piece in byte_slices(batch, 1):
+            for piece in byte_slices(batch, 1, STEP_BYTES):
                 end = [] if end_id is None else [end_id]
                 for d, ids in zip(piece.column(0).to_pylist(), enc.encode(piece.column(1).to_pylist())):
                     names.append(d)
