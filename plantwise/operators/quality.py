@@ -452,47 +452,63 @@ def energy_silver_check(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------- one-scan suite over key tables
 
-KEY_COLS = {
-    "costs": ["date_key", "site_code"],
-    "manufacturing": ["date_key", "site_code", "line_code", "product_code"],
-    "energy": ["date_key", "site_code", "line_code"],
-}
+# The kinds of keys that each fact is reduced to.
+KEY_SETS = {"pair": ["date_key", "site_code"], "line": ["site_code", "line_code"], "prod": ["product_code"]}
+_SETS_OF = {"costs": ["pair"], "manufacturing": ["pair", "line", "prod"], "energy": ["pair", "line"]}
+
+
+def _reduced(fact: DataFrame, kinds: list[str], *aggs: Column) -> DataFrame:
+    """``kind``, the key columns and ``aggs`` of every key of each kind: one scan,
+    one shuffle of at most a row a key and task."""
+    cols = list(dict.fromkeys(c for k in kinds for c in KEY_SETS[k]))
+    # A key of the fact may be null, so the kind is told by the columns left out.
+    left_out = {k: sum(1 << i for i, c in enumerate(reversed(cols)) if c not in KEY_SETS[k]) for k in kinds}
+    kind = reduce(lambda x, k: x.when(F.col("__id") == left_out[k], k), kinds, F)
+    out = fact.groupingSets([[F.col(c) for c in KEY_SETS[k]] for k in kinds], *[F.col(c) for c in cols])
+    return out.agg(F.grouping_id().alias("__id"), *aggs).withColumn("kind", kind).drop("__id")
 
 
 def fact_key_tables(star: Star, materialized: bool = True) -> dict[str, DataFrame]:
-    """Each fact reduced once to its key combinations with the row count
-    ``n``, the invalid-row count ``bad`` and the sums the rules need.
+    """Each fact reduced once to the keys of its kinds (:data:`KEY_SETS`) with the
+    row count ``n``, the invalid-row count ``bad`` and the sums the rules need.
 
     Every rule, dimension and KPI of the suite is derived from these tables,
-    so a run scans each fact exactly once; they are bounded by the key
-    domains (days x sites x lines x products), not by fact rows, and are
-    materialised so later stages never re-read the facts.
+    so a run scans each fact exactly once.  Their rows are the *sum* of the
+    kinds' domains (days x sites, lines, products); no rule asks for a
+    combination of all columns, of which there are about as many as fact rows.
+    They are materialised so later stages never re-read the facts.
     """
     from plantwise.functions.materialize import materialize_all
     one = F.count(F.lit(1)).alias("n")
     fc, fm, fe = star.fact_costs, star.fact_manufacturing, star.fact_energy
     out = {
-        "costs": fc.groupBy(*KEY_COLS["costs"]).agg(
-            one, F.count_if(costs_invalid(fc)).alias("bad"), F.sum("amount_br").alias("s"),
+        "costs": _reduced(
+            fc, _SETS_OF["costs"], one, F.count_if(costs_invalid(fc)).alias("bad"), F.sum("amount_br").alias("s"),
             F.sum(F.col("amount_br").cast("double") - F.col("amount_fx") * F.col("fx_rate"))
             .alias("s_fx")),
-        "manufacturing": fm.groupBy(*KEY_COLS["manufacturing"]).agg(
-            one, F.count_if(manufacturing_invalid(fm)).alias("bad"), F.sum("units_ok").alias("s")),
-        "energy": fe.groupBy(*KEY_COLS["energy"]).agg(
-            one, F.count_if(energy_invalid(fe)).alias("bad"), F.sum("kwh_day").alias("s")),
+        "manufacturing": _reduced(
+            fm, _SETS_OF["manufacturing"], one, F.count_if(manufacturing_invalid(fm)).alias("bad"), F.sum("units_ok").alias("s")),
+        "energy": _reduced(
+            fe, _SETS_OF["energy"], one, F.count_if(energy_invalid(fe)).alias("bad"), F.sum("kwh_day").alias("s")),
     }
     if materialized:
         out = materialize_all(out)
     return out
 
 
+def of_kind(keys: dict[str, DataFrame], kind: str) -> dict[str, DataFrame]:
+    """The rows of one kind of each key table that has it."""
+    return {name: df.where(F.col("kind") == kind).drop("kind") for name, df in keys.items() if kind in _SETS_OF[name]}
+
+
 def dims_from_keys(keys: dict[str, DataFrame]) -> Star:
     """The four dimensions from the key tables (same rows as from the facts);
     facts are left as the key tables themselves."""
     from plantwise.operators import star as S
-    c, m, e = keys["costs"], keys["manufacturing"], keys["energy"]
-    return Star(c, m, e, S.dim_site(c, m, e), S.dim_line(m, e), S.dim_product(m),
-                S.dim_date(c, m, e), derived=True)
+    c, m, e = (of_kind(keys, "pair")[name] for name in _FACTS)
+    lines = of_kind(keys, "line")
+    return Star(keys["costs"], keys["manufacturing"], keys["energy"], S.dim_site(c, m, e), S.dim_line(lines["manufacturing"], lines["energy"]),
+                S.dim_product(of_kind(keys, "prod")["manufacturing"]), S.dim_date(c, m, e), derived=True)
 
 
 def _results(row: DataFrame, rules: list[tuple]) -> DataFrame:
@@ -505,6 +521,7 @@ def _results(row: DataFrame, rules: list[tuple]) -> DataFrame:
 
 
 _FACTS = {"costs": "c", "manufacturing": "m", "energy": "e"}
+_OF_KIND = {"pair": ["date", "site"], "line": ["line"], "prod": ["prod"]}
 _WHICH = {"costs": ["date", "site"], "manufacturing": ["date", "site", "line", "prod"], "energy": ["date", "site", "line"]}
 _KEY_OF = {"date": ["date_key"], "site": ["site_code"], "line": ["site_code", "line_code"], "prod": ["product_code"]}
 
@@ -514,9 +531,8 @@ def key_ledger(keys: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFr
     its kind, with the dimension rows ``dim_n`` (of dates also ``day``) and, per
     fact, rows ``n_*`` and invalid rows ``bad_*`` behind it.
 
-    The facts' kinds are grouping sets over their key tables; facts and
-    dimensions meet in one grouped union, so every table is read once and one
-    shuffle answers what the rules ask of any of them.
+    Facts and dimensions meet in one grouped union, so every table is read once
+    and one shuffle answers what the rules ask of any of them.
     """
     none = F.lit(None)
 
@@ -530,7 +546,8 @@ def key_ledger(keys: dict[str, DataFrame], dims: dict[str, DataFrame]) -> DataFr
 
     parts = []
     for name, t in _FACTS.items():
-        f = keys[name].select(F.explode(F.array(*[tagged(w) for w in _WHICH[name]])).alias("g"), "n", "bad")
+        tags = reduce(lambda x, k: x.when(F.col("kind") == k, F.array(*[tagged(w) for w in _OF_KIND[k]])), _SETS_OF[name], F)
+        f = keys[name].select(F.explode(tags).alias("g"), "n", "bad")
         parts.append(wide(f, F.lit(0), none, **{f"n_{t}": F.col("n"), f"bad_{t}": F.col("bad")}))
     for which, dim in dims.items():
         day = [F.col("date").alias("day")] if which == "date" else []
@@ -568,9 +585,10 @@ def pair_sums(keys: dict[str, DataFrame]) -> DataFrame:
     """Per (date_key, site): sum and row count of each fact and the FX sum, from
     one grouped union of the key tables; what a fact lacks is null."""
     parts = []
+    pair = of_kind(keys, "pair")
     for name, t in _FACTS.items():
         cols = [F.col("s").alias(f"s_{t}"), F.col("n").alias(f"n_{t}"), *([F.col("s_fx")] if t == "c" else [])]
-        parts.append(keys[name].select("date_key", "site_code", *cols))
+        parts.append(pair[name].select("date_key", "site_code", *cols))
     both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return both.groupBy("date_key", "site_code").agg(*[F.sum(c).alias(c) for c in both.columns[2:]])
 
@@ -590,15 +608,16 @@ def _fanned(pairs: DataFrame, dd: DataFrame) -> DataFrame:
 
 
 def run_suite(star: Star, as_of=None, meta_digits: int | None = None,
-              materialized: bool = True) -> DataFrame:
+              materialized: bool = True, keys: dict[str, DataFrame] | None = None) -> DataFrame:
     """The 15 results of R1..R13 with one scan per fact (see
     :func:`fact_key_tables`); same rows as :func:`run_rules`.
 
     The facts are judged against the star's own dimensions and calendar; only
     a star whose dimensions were derived from its facts (``build_star``) has
-    them rebuilt from the key tables, which gives the same rows."""
+    them rebuilt from the key tables, which gives the same rows.  ``keys``: the
+    star's :func:`fact_key_tables`, where they are there already."""
     from plantwise.functions.materialize import materialize, materialize_all
-    keys = fact_key_tables(star, materialized)
+    keys = keys or fact_key_tables(star, materialized)
     ks = dims_from_keys(keys) if star.derived else star
     dims = {"date": ks.dim_date, "site": ks.dim_site, "line": ks.dim_line, "prod": ks.dim_product}
     pairs = pair_sums(keys)

@@ -33,15 +33,16 @@ LAG_ROLL_COLS = W.IMP_COLS
 OUTLIER_KEYS = ["site_code", "m"]
 
 
-def kpi_frames(star: Star, shared: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+def kpi_frames(star: Star, shared: bool = True, keys: dict[str, DataFrame] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Cost, energy and FX KPIs.  ``shared``: each fact is aggregated once per
     (date, site) into a small table (materialised, the three jobs run
-    concurrently) and all KPIs are derived from those."""
+    concurrently) and all KPIs are derived from those.  ``keys``: these tables,
+    where they are there already."""
     if not shared:
         return (K.kpi_cost_per_unit(star.fact_costs, star.fact_manufacturing, star.calendar()),
                 K.kpi_energy_per_unit(star.fact_energy, star.fact_manufacturing, star.calendar()),
                 K.kpi_fx_effect(star.fact_costs))
-    keys = materialize_all(K.key_sums(star.fact_costs, star.fact_manufacturing, star.fact_energy))
+    keys = keys or materialize_all(K.key_sums(star.fact_costs, star.fact_manufacturing, star.fact_energy))
     return K.kpis_from_key_sums(keys, star.calendar())
 
 

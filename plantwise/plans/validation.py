@@ -29,7 +29,8 @@ def run_validation(spark: SparkSession, star: Star, gold_dir: str | None = None,
     ``meta_digits``: decimals of the deviations in the report's lists.
     """
     run_id = uuid.uuid4().hex
-    results = Q.run_suite(star, as_of=as_of, meta_digits=meta_digits).withColumn("run_id", F.lit(run_id))
+    keys = Q.fact_key_tables(star)   # each fact aggregated once for the rules and all three KPIs
+    results = Q.run_suite(star, as_of=as_of, meta_digits=meta_digits, keys=keys).withColumn("run_id", F.lit(run_id))
     rules = Q.rules_frame(spark)
     if results_path:
         results.write.mode("append").parquet(results_path)
@@ -40,7 +41,7 @@ def run_validation(spark: SparkSession, star: Star, gold_dir: str | None = None,
         results = materialize(results, "qa-results")
     from plantwise.plans.feature_table import kpi_frames
     kpis = dict(zip(("kpi_cost_per_unit", "kpi_energy_per_unit", "kpi_fx_effect"),
-                    kpi_frames(star)))   # each fact aggregated once for all three
+                    kpi_frames(star, keys=Q.of_kind(keys, "pair"))))
     if database:
         materialize_tables(spark, kpis, database)
     rep = Q.report(rules, results)
