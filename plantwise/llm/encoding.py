@@ -173,6 +173,13 @@ class Encoder:
         self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
+    def forget(self):
+        """Drop both memos and hand what they held back to the system: a worker
+        lives on after its task, while other stages need the executor's memory."""
+        self.memo, self.old = {}, None
+        self._reset()
+        pa.default_memory_pool().release_unused()
+
     def _agrees(self) -> bool:
         probe = ["A b's c.\nD  e", "x\n y", " a", "a ", "", "  ", "na\u00efve \u4e2d\u6587 1234!? \t z", "a \u0301b \ufb01x", "a \u2581 b",
                  "Plain \u00c4\u00f6\u00df, (a-b) x... <|endoftext|> ((c d)) \u00d7 \u00aa's l'\u00e9t\u00e9 e.g. #1"]

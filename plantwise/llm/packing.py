@@ -32,7 +32,8 @@ RANK_GROUP = 50_000
 def token_pieces(docs: DataFrame, vocab: str, end_id: int | None, limit: int,
                  id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """``_id, _key, piece, start, length, ids_crc32`` (and ``ids``) of every
-    piece; only documents over ``limit`` ids are cut."""
+    piece; only documents over ``limit`` ids are cut.  A worker's memo of words
+    ends with its task."""
     src = keyed_texts(docs, id_col, text_col)
     fields = [T.StructField("_id", src.schema["_id"].dataType), T.StructField("_key", T.LongType())]
     fields += [T.StructField(c, T.LongType()) for c in ("piece", "start", "length", "ids_crc32")]
@@ -42,23 +43,26 @@ def token_pieces(docs: DataFrame, vocab: str, end_id: int | None, limit: int,
     def cut(batches):
         enc = encoder(vocabulary(vocab))
         end = np.array([] if end_id is None else [end_id], np.uint32)
-        for batch in batches:
-            for part in byte_slices(batch, 2, STEP_BYTES):
-                rows, cols, kept = [], [[], [], [], []], []
-                for k, ids in enumerate(enc.encode(part.column(2).to_pylist())):
-                    ids = np.append(ids, end).astype("<u4")
-                    for p, a in enumerate(range(0, len(ids), limit)):
-                        piece = ids[a:a + limit]
-                        rows.append(k)
-                        for c, v in zip(cols, (p, a, len(piece), zlib.crc32(piece))):
-                            c.append(v)
-                        if with_ids:
-                            kept.append(piece.tolist())
-                at = pa.array(rows, pa.int64())
-                out = [part.column(0).take(at), part.column(1).take(at), *(pa.array(c, pa.int64()) for c in cols)]
-                if with_ids:
-                    out.append(pa.array(kept, pa.list_(pa.int64())))
-                yield pa.RecordBatch.from_arrays(out, names=[f.name for f in fields])
+        try:
+            for batch in batches:
+                for part in byte_slices(batch, 2, STEP_BYTES):
+                    rows, cols, kept = [], [[], [], [], []], []
+                    for k, ids in enumerate(enc.encode(part.column(2).to_pylist())):
+                        ids = np.append(ids, end).astype("<u4")
+                        for p, a in enumerate(range(0, len(ids), limit)):
+                            piece = ids[a:a + limit]
+                            rows.append(k)
+                            for c, v in zip(cols, (p, a, len(piece), zlib.crc32(piece))):
+                                c.append(v)
+                            if with_ids:
+                                kept.append(piece.tolist())
+                    at = pa.array(rows, pa.int64())
+                    out = [part.column(0).take(at), part.column(1).take(at), *(pa.array(c, pa.int64()) for c in cols)]
+                    if with_ids:
+                        out.append(pa.array(kept, pa.list_(pa.int64())))
+                    yield pa.RecordBatch.from_arrays(out, names=[f.name for f in fields])
+        finally:
+            enc.forget()  # the worker may be idle for stages
 
     return src.mapInArrow(cut, T.StructType(fields))
 

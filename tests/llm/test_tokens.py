@@ -4,12 +4,13 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from plantwise.llm import packing, simple8b, token_files
+from plantwise.llm import encoding, packing, simple8b, token_files
 from plantwise.llm.common import Stages
 from plantwise.llm.encoding import Encoder, vocabulary
 from plantwise.llm.token_counts import token_counts
@@ -131,6 +132,31 @@ def test_packing(spark, odd_docs, no_docs):
     assert packing.pack(no_docs).count() == 0
 
 
+def test_packing_leaves_no_memo_behind(spark):
+    """The workers live on after packing, without the words they have seen."""
+    docs = spark.range(400).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 60), i -> concat('w', id * 60 + i))) AS text").repartition(8)
+    assert packing.pack(docs).agg(F.sum("length")).first()[0] > 400 * 60
+
+    def kept(batches):
+        for batch in batches:
+            have = [len(e.memo) + len(e.before) for e in encoding._KEPT.values()]
+            yield pa.RecordBatch.from_arrays([pa.array([len(have)]), pa.array([sum(have)])], names=["encoders", "pieces"])
+
+    found = spark.range(0, 400, 1, 8).mapInArrow(kept, "encoders long, pieces long").agg(F.max("encoders"), F.max("pieces")).first()
+    assert found[0] == 1 and found[1] == 0
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_encoder_after_forgetting(name):
+    texts = [" ".join(f"word{k * j} Other, x" for j in range(40)) for k in range(60)]
+    enc = Encoder(vocabulary(name))
+    before = [x.tolist() for x in enc.encode(texts)]
+    assert enc.memo
+    enc.forget()
+    assert not enc.memo and not enc.before and enc.used == 0
+    assert [x.tolist() for x in enc.encode(texts)] == before == [list(x) for x in enc.call(texts)]
+
+
 def test_templates_fill_sequences():
     lengths = np.minimum(4096, 1 + np.random.default_rng(3).exponential(900, 20000).astype(int))
     hist = np.bincount(lengths, minlength=4097)
