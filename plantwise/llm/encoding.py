@@ -31,7 +31,7 @@ import codecs
 import json
 import os
 import re
-from itertools import chain, repeat
+from itertools import chain, islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +42,8 @@ from plantwise.llm.common import ranges
 #: Distinct stretches after which a worker's memo starts anew (about 200 bytes each); what is
 #: used again is taken over from the one before, so two of them are kept.
 MEMO_PIECES = 500_000
+#: Of them, those that :meth:`Encoder.forget` keeps.
+KEPT_PIECES = 50_000
 #: Texts with longer stretches are encoded without the memo, so its size is bounded in bytes too.
 MEMO_CHARS = 200
 #: Stretches sent to the library in one call.
@@ -174,10 +176,15 @@ class Encoder:
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def forget(self):
-        """Drop both memos and hand what they held back to the system: a worker
-        lives on after its task, while other stages need the executor's memory."""
-        self.memo, self.old = {}, None
-        self._reset()
+        """Keep only the first ``KEPT_PIECES`` stretches of the memo, which come
+        often, and hand the rest back to the system: a worker lives on after its
+        task, while other stages need the executor's memory."""
+        self.before, self.old = {}, None
+        self.memo = dict(islice(self.memo.items(), KEPT_PIECES))
+        n = len(self.memo)
+        self.start, self.size = self.start[:n].copy(), self.size[:n].copy()
+        self.used = int(self.size.sum())
+        self.pool = self.pool[:self.used].copy()
         pa.default_memory_pool().release_unused()
 
     def _agrees(self) -> bool:

@@ -32,8 +32,8 @@ RANK_GROUP = 50_000
 def token_pieces(docs: DataFrame, vocab: str, end_id: int | None, limit: int,
                  id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """``_id, _key, piece, start, length, ids_crc32`` (and ``ids``) of every
-    piece; only documents over ``limit`` ids are cut.  A worker's memo of words
-    ends with its task."""
+    piece; only documents over ``limit`` ids are cut.  Little of a worker's
+    memo of words outlives its task."""
     src = keyed_texts(docs, id_col, text_col)
     fields = [T.StructField("_id", src.schema["_id"].dataType), T.StructField("_key", T.LongType())]
     fields += [T.StructField(c, T.LongType()) for c in ("piece", "start", "length", "ids_crc32")]
