@@ -18,11 +18,12 @@ line break, two line breaks) are not safe; their texts are cut only at single sp
 two other characters and encoded without the memo.  A tokenizer whose files
 don't show one of these forms gets whole texts.
 
-Where words seldom come twice, most of the time goes into new stretches.  Those
-of the two BPE forms that are plain letters with or without ASCII marks at the
-end have words that are easily told, so each word goes to the library's model of
-the file, in its byte alphabet, without the normaliser and splitting pattern
-before it.
+Where words seldom come twice, most of the time goes into new stretches.  In the
+two BPE forms, ASCII marks after plain letters are a word of their own and are
+taken off before the memo is asked, so a word is learnt once, whatever follows
+it.  A stretch that is plain letters or marks is one word and goes to the
+library's model of the file, in its byte alphabet, without the normaliser and
+splitting pattern before it.
 """
 
 from __future__ import annotations
@@ -58,6 +59,8 @@ _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 _MARK = "\x01"
 #: In place of the slot of a stretch that the memo lacks.
 _NEW = -2
+#: Slot of no ids: that of a stretch that can't stand alone.
+_NONE = -1
 
 #: Letters that every Unicode version lower-cases alike and that compose with nothing, and
 #: ASCII marks but for the apostrophe, which may begin a contraction.
@@ -80,25 +83,42 @@ class _Words:
     """Ids of plain words, which are runs of letters or of marks with the space
     before them, by a tokenizer's model."""
 
-    def __init__(self, tok, added: list[str], lower: bool):
+    def __init__(self, tok, added: list[str], lead: bool, lower: bool):
         first = {t[0].lower() for t in added}  # what begins a special string isn't plain
         letters, marks = ("".join(map(re.escape, (c for c in chars if c.lower() not in first))) for chars in (_LETTERS, _MARKS))
-        most = MEMO_CHARS // 2 - 1
-        #: A plain word, or one of letters and then one of marks.
-        self.plain = re.compile(f" ?(?:[{letters}]{{1,{most}}}[{marks}]{{0,{most}}}|[{marks}]{{1,{most}}})").fullmatch
-        self.lower, self.alphabet, self.ends = lower, _byte_alphabet(), "".join(_MARKS)
+        mark = f"{_MARK}?" if lead else ""
+        #: A plain word; one of letters and the one of marks after it.
+        self.plain = f"^{mark}(?:[{letters}]+|[{marks}]+)$"
+        self.ended = f"^(?P<rest>{mark}[{letters}]+)(?P<tail>[{marks}]+)$"
+        self.lead, self.lower, self.alphabet = lead, lower, _byte_alphabet()
         self.tokenize = tok.model.tokenize
 
-    def ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all, ids of each)."""
-        text = _CUT.join(words)
+    def split(self, keys: pa.Array) -> tuple[pa.Array, np.ndarray, pa.Array]:
+        """(stretches without the marks at their end, places of those that had some, the marks)."""
+        parts = pc.extract_regex(keys, self.ended)
+        ended = pc.and_(pc.is_valid(parts), self._short(keys))
+        rest, tail = pc.struct_field(parts, "rest"), pc.struct_field(parts, "tail").filter(ended)
+        if self.lead:
+            mark, none = (pa.scalar(x, pa.large_string()) for x in (_MARK, ""))
+            tail = pc.binary_join_element_wise(mark, tail, none)
+        return pc.if_else(ended, rest, keys), np.flatnonzero(ended.to_numpy(zero_copy_only=False)), tail
+
+    def are_plain(self, keys: pa.Array) -> np.ndarray:
+        return pc.and_(pc.match_substring_regex(keys, self.plain), self._short(keys)).to_numpy(zero_copy_only=False)
+
+    @staticmethod
+    def _short(keys: pa.Array) -> pa.Array:
+        return pc.less_equal(pc.utf8_length(keys), MEMO_CHARS // 2)
+
+    def ids(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all, ids of each) of plain stretches."""
+        text = " " + f"{_CUT} ".join(keys) if self.lead else _CUT.join(keys)
+        if self.lead:
+            text = text.replace(f" {_MARK}", "")
         signs = codecs.charmap_decode((text.lower() if self.lower else text).encode(), "strict", self.alphabet)[0]
-        ids, sizes, tokenize = [], [], self.tokenize
-        for word in signs.split(" "):
-            tokens = tokenize(word)
-            sizes.append(len(tokens))
-            ids += [t.id for t in tokens]
-        return np.array(ids, np.uint32), np.array(sizes, np.int64)
+        tokens = list(map(self.tokenize, signs.split(" ")))
+        return (np.array([t.id for word in tokens for t in word], np.uint32),
+                np.fromiter(map(len, tokens), np.int64, len(tokens)))
 
 
 class Encoder:
@@ -131,14 +151,14 @@ class Encoder:
             if not any(t.get("lstrip") or t.get("rstrip") or re.search(r"\s", t["content"]) for t in spec.get("added_tokens") or []):
                 if spec.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
                     self.lead, self.unsafe = True, self._cannot_stand
-                    self.words = _Words(tok, added, False)
+                    self.words = _Words(tok, added, True, False)
                 elif pre.get("type") == "Sequence" and pre["pretokenizers"][0].get("invert") and "\\s" in json.dumps(pre["pretokenizers"][0]):
                     self.blank, self.unsafe = True, lambda p: False
                     steps = (spec.get("normalizer") or {}).get("normalizers") or []
                     split, last = pre["pretokenizers"][0], pre["pretokenizers"][1:]
                     if ([x["type"] for x in steps] == ["NFC", "Replace", "Lowercase"] and split.get("pattern") == {"Regex": _WORD_PATTERN}
                             and [(x["type"], x.get("use_regex"), x.get("add_prefix_space")) for x in last] == [("ByteLevel", False, False)]):
-                        self.words = _Words(tok, added, True)
+                        self.words = _Words(tok, added, False, True)
         self.memo = {}
         self._reset()
         if self.words and not self._agrees():
@@ -192,44 +212,37 @@ class Encoder:
                  "Plain \u00c4\u00f6\u00df, (a-b) x... <|endoftext|> ((c d)) \u00d7 \u00aa's l'\u00e9t\u00e9 e.g. #1"]
         return [x.tolist() for x in self.encode(probe)] == [list(x) for x in self.call(probe)]
 
+    def _known(self, stretches: pa.Array) -> np.ndarray:
+        """Slot of each stretch; those that the memo lacks are learnt."""
+        coded = stretches.dictionary_encode()  # each distinct one is looked up once
+        keys = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        own = np.fromiter(map(self.memo.get, keys, repeat(_NEW)), np.int64, len(keys))
+        new = np.flatnonzero(own == _NEW)
+        if len(new):
+            own[new] = self._learn([keys[i] for i in new.tolist()])
+        return own[coded.indices.to_numpy()]
+
     def _learn(self, keys: list[str]) -> np.ndarray:
-        """Slots of stretches that the memo lacks, -1 for one that can't stand alone."""
-        slots = np.full(len(keys), -1)
+        """Slots of stretches that the memo lacks, ``_NONE`` for one that can't stand alone."""
+        slots = np.full(len(keys), _NONE)
         found = []  # (places in keys, ids of all, ids of each)
-        old = np.fromiter(map(self.before.get, keys, repeat(-1)), np.int64, len(keys))
-        again = np.flatnonzero(old >= 0)
-        if len(again):
+        fresh = np.arange(len(keys))
+        if self.before:
+            old = np.fromiter(map(self.before.get, keys, repeat(_NONE)), np.int64, len(keys))
+            again, fresh = np.flatnonzero(old != _NONE), np.flatnonzero(old == _NONE)
             start, size, pool = self.old
             old = old[again]
             found.append((again, pool[ranges(start[old], size[old])], size[old]))
-        fresh = np.setdiff1d(np.arange(len(keys)), again, assume_unique=True)
-        texts = [keys[i] for i in fresh.tolist()]
-        if self.lead:
-            texts = [x if x == "\n" else x[1:] if x[:1] == _MARK else f" {x}" for x in texts]
-        plain = np.fromiter(map(bool, map(self.words.plain, texts)), bool, len(texts)) if self.words else np.zeros(len(texts), bool)
-        other = [i for i in np.flatnonzero(~plain).tolist() if len(keys[fresh[i]]) <= MEMO_CHARS and not self.unsafe(keys[fresh[i]])]
-        some, ended = [], []  # plain ones; those of letters and marks at the end with the length of the rest
-        for i in np.flatnonzero(plain).tolist():
-            key = keys[fresh[i]]
-            n = len(key.rstrip(self.words.ends))
-            if n == len(key) or key[:n] in ("", _MARK):
-                some.append(i)
-            else:
-                ended.append((fresh[i], key[:n], _MARK + key[n:] if self.lead else key[n:]))
-        for some, step, call in ((some, CALL_PIECES, self.words and self.words.ids), (other, CALL_PIECES, self._by_library)):
-            for k in range(0, len(some), step):
-                here = some[k:k + step]
-                found.append((fresh[here], *call([texts[i] for i in here])))
+        plain = np.zeros(len(fresh), bool)
+        if self.words and len(fresh):
+            plain = self.words.are_plain(pa.array([keys[i] for i in fresh.tolist()], pa.large_string()))
+        other = [i for i in fresh[~plain].tolist() if len(keys[i]) <= MEMO_CHARS and not self.unsafe(keys[i])]
+        for some, call in ((fresh[plain].tolist(), self.words and self.words.ids), (other, self._by_library)):
+            for k in range(0, len(some), CALL_PIECES):
+                here = some[k:k + CALL_PIECES]
+                found.append((np.array(here), *call([keys[i] for i in here])))
         if found:
             self._keep(keys, slots, *(np.concatenate(x) for x in zip(*found)))
-        if ended:  # marks at the end are a word of their own, and the rest may be known
-            at, *parts = zip(*ended)
-            lacking = [k for k in dict.fromkeys(chain(*parts)) if k not in self.memo]
-            if lacking:
-                self._learn(lacking)
-            a, b = (np.fromiter(map(self.memo.__getitem__, p), np.int64, len(p)) for p in parts)
-            both = np.stack([a, b], axis=1).ravel()
-            self._keep(keys, slots, np.array(at), self.pool[ranges(self.start[both], self.size[both])], self.size[a] + self.size[b])
         return slots
 
     def _keep(self, keys: list[str], slots: np.ndarray, at: np.ndarray, ids: np.ndarray, sizes: np.ndarray):
@@ -242,28 +255,38 @@ class Encoder:
         self.size = np.concatenate([self.size, sizes])
         self.used += len(ids)
 
-    def _by_library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        parts = self.call(texts)
+    def _by_library(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if self.lead:
+            keys = [x if x == "\n" else x[1:] if x[:1] == _MARK else f" {x}" for x in keys]
+        parts = self.call(keys)
         return np.fromiter(chain.from_iterable(parts), np.uint32), np.fromiter(map(len, parts), np.int64, len(parts))
 
     def _slots(self, texts):
-        """Slots of all texts' stretches, stretches per text, and the texts
-        that have to go to the library as they are."""
+        """Two slots of each distinct stretch (the second of the marks at its
+        end), all texts' stretches as places among those, stretches per text, and
+        the texts that have to go to the library as they are."""
         if len(self.memo) > MEMO_PIECES:
             self._reset()
         if not texts:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return np.zeros((0, 2), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         parts, uncut = self._cut(texts)
         count = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
-        words = parts.flatten().dictionary_encode()  # each distinct stretch is looked up once
-        keys = words.dictionary.to_numpy(zero_copy_only=False).tolist()
-        own = np.fromiter(map(self.memo.get, keys, repeat(_NEW)), np.int64, len(keys))
-        new = np.flatnonzero(own == _NEW)
-        if len(new):
-            own[new] = self._learn([keys[i] for i in new.tolist()])
-        slots = own[words.indices.to_numpy()]
-        odd = np.flatnonzero((np.minimum.reduceat(slots, np.cumsum(count) - count) < 0) | uncut)
-        return slots, count, odd
+        words = parts.flatten().dictionary_encode()
+        keys, at = words.dictionary, words.indices.to_numpy()
+        slots = np.full((len(keys), 2), _NONE)
+        if self.words:
+            keys, ended, tails = self.words.split(keys)
+            slots[ended, 1] = self._known(tails)
+        slots[:, 0] = self._known(keys)
+        alone = slots[:, 0] != _NONE
+        odd = np.flatnonzero(~np.logical_and.reduceat(alone[at], np.cumsum(count) - count) | uncut)
+        return slots, at, count, odd
+
+    def _sizes(self, slots: np.ndarray) -> np.ndarray:
+        """Ids of each distinct stretch."""
+        known, size = slots != _NONE, np.zeros(slots.shape, np.int64)
+        size[known] = self.size[slots[known]]
+        return size.sum(axis=1)
 
     def _plainly(self, text) -> np.ndarray:
         if self.unsafe is None:
@@ -279,12 +302,11 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.unsafe is None:
             return [np.array(x, dtype=np.uint32) for x in self.call(texts)]
-        slots, count, odd = self._slots(texts)
-        slots = np.maximum(slots, 0)
-        if not len(self.size):  # nothing could be learnt
-            return [self._plainly(t) for t in texts]
-        size = self.size[slots]
-        ids = self.pool[ranges(self.start[slots], size)]
+        slots, at, count, odd = self._slots(texts)
+        known, size = slots[slots != _NONE], self._sizes(slots)
+        pool = self.pool[ranges(self.start[known], self.size[known])]  # of the distinct stretches
+        start, size = (np.cumsum(size) - size)[at], size[at]
+        ids = pool[ranges(start, size)]
         ends = np.cumsum(size)[np.cumsum(count) - 1] if len(texts) else []
         out, a = [], 0
         for b in ends:
@@ -298,10 +320,9 @@ class Encoder:
         """Numbers of ids only."""
         if self.unsafe is None:
             return np.array([len(x) for x in self.call(texts)], dtype=np.int64)
-        slots, count, odd = self._slots(texts)
-        if not len(self.size):
-            return np.array([len(self._plainly(t)) for t in texts], dtype=np.int64)
-        out = np.add.reduceat(self.size[np.maximum(slots, 0)], np.cumsum(count) - count) if len(texts) else np.zeros(0, np.int64)
+        slots, at, count, odd = self._slots(texts)
+        size = self._sizes(slots)[at]
+        out = np.add.reduceat(size, np.cumsum(count) - count) if len(texts) else np.zeros(0, np.int64)
         for k in odd:
             out[k] = len(self._plainly(texts[k]))
         return out

@@ -16,11 +16,16 @@ import numpy as np
 LAYOUT = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60))
 ESCAPE = 15
 BLOCK = 256
+#: Bits that each value under 2^16 needs.
+_SHORT = np.maximum(np.frexp(np.arange(1 << 16))[1], 1).astype(np.uint8)
 
 
 def _widths(v: np.ndarray) -> np.ndarray:
     """Bits that each value needs (1 at least)."""
-    if len(v) and int(v.max()) < 1 << 53:  # exact as doubles
+    most = int(v.max()) if len(v) else 0
+    if most < 1 << 16:
+        return _SHORT[v.astype(np.uint16)]
+    if most < 1 << 53:  # exact as doubles
         return np.maximum(np.frexp(v.astype(np.float64))[1], 1).astype(np.uint8)
     w = np.ones(len(v), np.uint8)
     for s in (32, 16, 8, 4, 2, 1):
@@ -38,12 +43,10 @@ def pack(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray
     if not n:
         return np.zeros(0, np.uint64), np.zeros(1, np.uint64)
     # Selector for a word that starts at each place: the densest whose values all fit.
-    bits = np.full(n_blocks * block, 1, np.uint8)
-    bits[:n] = _widths(v)
-    left = np.tile(np.arange(block, 0, -1).astype(np.int16 if block < 1 << 15 else np.int64), n_blocks)
-    left[-block:] -= n_blocks * block - n
-    sel = np.full(len(bits), ESCAPE, np.uint8)
-    reach = bits.copy()  # widest of the next `have` values
+    reach = np.full(n_blocks * block, 255, np.uint8)  # widest of the next `have` values; no word goes past the last
+    reach[:n] = _widths(v)
+    sel = np.full(len(reach), ESCAPE, np.uint8)
+    by_block, fits = sel.reshape(n_blocks, block), reach.reshape(n_blocks, block)
     have = 1
     for s in range(len(LAYOUT) - 1, -1, -1):
         count, width = LAYOUT[s]
@@ -53,20 +56,18 @@ def pack(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray
             step = min(have, count - have)
             np.maximum(reach[:-step], reach[step:], out=reach[:-step])
             have += step
-        np.putmask(sel, (reach <= width) & (left >= count), s)
+        within = slice(0, block - count + 1)
+        np.copyto(by_block[:, within], s, where=fits[:, within] <= width)
     # All blocks advance together, a word a step.
     count = np.array([c for c, _ in LAYOUT] + [0, 1], np.int64)
     at = np.arange(n_blocks, dtype=np.int64) * block
     end = np.minimum(at + block, n)
-    live, places, owners = np.arange(n_blocks), [], []
+    live, heads = np.arange(n_blocks), np.zeros(n, bool)
     while len(live):
-        places.append(at[live])
-        owners.append(live)
+        heads[at[live]] = True
         at[live] += count[sel[at[live]]]
         live = live[at[live] < end[live]]
-    place, owner = np.concatenate(places), np.concatenate(owners)
-    place.sort()
-    owner.sort()
+    place = np.flatnonzero(heads)
     kind = sel[place]
     width = 1 + (kind == ESCAPE)
     first = np.cumsum(width) - width
@@ -81,7 +82,7 @@ def pack(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray
     k = np.flatnonzero(kind == ESCAPE)
     words[first[k]] = np.uint64(ESCAPE << 60)
     words[first[k] + 1] = v[place[k]]
-    per_block = np.bincount(owner, weights=width, minlength=n_blocks).astype(np.uint64)
+    per_block = np.bincount(place // block, weights=width, minlength=n_blocks).astype(np.uint64)
     return words, np.concatenate([np.zeros(1, np.uint64), np.cumsum(per_block, dtype=np.uint64)])
 
 

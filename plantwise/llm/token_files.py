@@ -41,6 +41,8 @@ _HEAD = struct.Struct("<8sIIQQ")
 SHARD_IDS = 2_000_000
 #: Shard numbers that a range of documents may take.
 _PART_SHARDS = 100_000
+#: Ranges whose shards share a file of the manifest.
+_FILE_PARTS = 64
 
 
 def dump_shard(doc_ids: list, docs: list[np.ndarray]) -> bytes:
@@ -163,7 +165,9 @@ def token_files(docs: DataFrame, vocab: str = "byte_bpe_50k.json", end_id: int |
     spark = docs.sparkSession
     stages = Stages(spark, "token-files")
     folder = folder or stages.path("shards")
-    manifest = stages.write(write_token_files(docs, folder, vocab, end_id, id_col, text_col), "manifest")
+    manifest = write_token_files(docs, folder, vocab, end_id, id_col, text_col)
+    # One file for many ranges, not one for each encoding task.
+    manifest = stages.write(manifest.repartition(F.floor(F.col("shard") / (_PART_SHARDS * _FILE_PARTS))), "manifest")
     if manifest.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
     return read_token_files(spark, folder, manifest)

@@ -30,3 +30,16 @@ def test_plain_words_by_the_model(vocab, monkeypatch):
         enc.encode(plain[k:k + 500])
     assert not library and len(asked) == len(set(asked))  # "abc" and "abc." ask for "abc" once
     assert len([x for x in asked if x.strip(" ").isalpha()]) == len({w.strip(".,!") for w in words})
+
+
+@pytest.mark.parametrize("vocab", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_marks_make_no_new_words(vocab):
+    """The memo holds a word once, whatever marks follow it."""
+    rnd = random.Random(3)
+    words = sorted({"".join(rnd.choice("abdeinorstä") for _ in range(7)) for _ in range(500)})
+    texts = [f"x {w}{m}" for m in ["", ".", ",", "!?", "***", "..."] for w in words]
+    enc = encoding.Encoder(encoding.vocabulary(vocab))
+    before = len(enc.memo)
+    assert [x.tolist() for k in range(0, len(texts), 700) for x in enc.encode(texts[k:k + 700])] == [list(x) for x in enc.call(texts)]
+    assert enc.count(texts).tolist() == [len(x) for x in enc.call(texts)]
+    assert len(words) <= len(enc.memo) - before <= len(words) + 5

@@ -89,6 +89,28 @@ def test_repeated_rows_are_spread_over_ranges(spark, tmpdir_path):
     assert [r.doc_id for r in got] == [None] * 400 + list(range(200))
 
 
+def test_manifest_has_few_files(spark, monkeypatch):
+    """Encoding tasks make no file of the manifest each."""
+    files = []
+
+    class Seen(Stages):
+        def write(self, df, name):
+            out = super().write(df, name)
+            files.extend(out.inputFiles())
+            return out
+
+    monkeypatch.setattr(token_files, "Stages", Seen)
+    df = spark.range(300).selectExpr("id AS doc_id", "concat('text ', id) AS text").repartition(5)
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        got = sorted(token_files.token_files(df).collect(), key=lambda r: r.start)
+    finally:
+        spark.conf.set(name, before)
+    assert [r.doc_id for r in got] == list(range(300)) and 0 < len(files) <= 2
+
+
 def test_token_counts(odd_docs, no_docs):
     enc = Encoder(vocabulary("piece_bpe_32k.model"))
     want = sorted((str(r.doc_id), len((r.text or "").encode()), len(enc.call([r.text or ""])[0])) for r in odd_docs.collect())
