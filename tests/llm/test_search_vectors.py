@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 from collections import Counter
@@ -155,6 +156,51 @@ def test_embeddings_against_brute_force(spark, cell_rows, tile_rows):
     assert set(unlinked) <= set(got)
 
 
+@pytest.mark.parametrize("block_bytes,tile_rows", [(1 << 14, 16384), (1 << 12, 5)])
+def test_embeddings_in_many_files(spark, monkeypatch, block_bytes, tile_rows):
+    """Labels and cells over several files, members around leaders, few visits
+    held at a time: the links of one file."""
+    monkeypatch.setattr(ed, "VISITS", 500)
+    for cell_rows in (100_000, 20):
+        rows = some_vectors(block_bytes, hot=150)
+        df = frame(spark, rows)
+        got, whole = (sorted([tuple(r) for r in ed.embedding_dedup(df, cell_rows=cell_rows, **x).collect()], key=str) for x in (dict(block_bytes=block_bytes, tile_rows=tile_rows, chunk=16), {}))
+        assert got == whole
+        if cell_rows == 100_000:
+            assert got == sorted(plain_links(rows, 0.93), key=str)
+
+
+def test_embeddings_on_disk(spark, monkeypatch):
+    """What a run writes and shuffles at a time stays in proportion to its
+    vectors, however many cells each of them visits."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((6000, 64)).astype(np.float32)
+    x[:500] = x[0] + 0.02 * rng.standard_normal((500, 64))
+    df = spark.createDataFrame([(i, v, i % 2) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>, label int")
+    written, write = {}, ed.Stages.write
+
+    def watched(self, table, name):
+        out = write(self, table, name)
+        path = self.path(name).removeprefix("file:")
+        written[name] = sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(path) for f in fs)
+        return out
+
+    monkeypatch.setattr(ed.Stages, "write", watched)
+    got = {r.vec_id: r for r in ed.embedding_dedup(df, cell_rows=16, tile_rows=512).collect()}
+    assert got[0].n_links >= 245 and got[0].component_id == 0 and not got[2].kept
+    assert sum(written.values()) < 2.5 * x.nbytes, written
+
+
+def test_embeddings_of_many_labels(spark):
+    """Labels of one to three vectors, and one over several files."""
+    rng = np.random.default_rng(11)
+    rows = [(i, v, int(rng.integers(150)) if i < 200 else 77) for i, v in enumerate(rng.standard_normal((400, 8)).tolist())]
+    rows += [(1000 + k, near(rng, np.array(v), 0.99).tolist(), lab) for k, (_, v, lab) in enumerate(rows[::2])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long").repartition(3)
+    got = sorted(tuple(r) for r in ed.embedding_dedup(df, block_bytes=1 << 12).collect())
+    assert got == sorted(plain_links(rows, 0.93)) and sum(r[1] for r in got) >= 400
+
+
 def test_index_recall(spark):
     """Pairs just above the threshold, on a grid of 400 cells."""
     rng = np.random.default_rng(5)
